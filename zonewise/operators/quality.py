@@ -67,7 +67,7 @@ def parse_telemetry(raw: DataFrame, column: str = "raw") -> DataFrame:
             ~text.startswith("{"),
             F.when(F.try_parse_json(F.col(column)).isNull(), "undecodable").otherwise("not_object"),
         )
-        .when(unreadable, "undecodable")
+        .when(unreadable | ~F.rtrim(F.col(column)).endswith("}"), "undecodable")
         .when(
             rec["vehicleId"].isNull() | F.to_json(rec["vehicleId"]).isin(_EMPTY_IDS),
             "missing_vehicle",
