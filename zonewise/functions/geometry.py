@@ -1,5 +1,9 @@
 """Polygon and track geometry as Column expressions.
 
+Arguments are column names, SQL expressions or numbers, like those of ``F.expr``; the
+expressions are built as SQL text because one parsed text is far cheaper to set up than a
+tree of Column calls.  ``*_sql`` functions return the text itself for use inside others.
+
 A ring is ``array<array<double>>`` of ``[lat, lon]`` points, closed or not.  Rings are
 turned once into an array of directed edges (``ring_edges``); containment and distance
 are then folds over that array, so a table of polygons pays for the preparation once
@@ -8,8 +12,6 @@ per polygon and not once per position.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -18,131 +20,145 @@ ON_EDGE_EPS = 1e-9
 METRES_PER_DEGREE = 111_320.0
 LAST_PROGRESS = 0.9999
 
+_EPS = f"{ON_EDGE_EPS!r}D"
+_METRES = f"{METRES_PER_DEGREE!r}D"
 
-def _c(value) -> Column:
-    return value if isinstance(value, Column) else F.lit(value)
 
+def _text(value: str | float) -> str:
+    """A SQL operand: the expression in parentheses, or a double literal."""
+    return f"({value})" if isinstance(value, str) else f"({float(value)!r}D)"
 
-def _let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body(value)`` with ``value`` evaluated once, however often the body names it."""
-    return F.get(F.transform(F.array(value), body), 0)
 
+def _let(name: str, value: str, body: str) -> str:
+    """``body`` with ``name`` standing for ``value``, evaluated once."""
+    return f"get(transform(array({value}), {name} -> {body}), 0)"
 
-def open_ring(ring: Column) -> Column:
-    """The ring without its closing duplicate point."""
 
-    def opened(r: Column) -> Column:
-        closed = (F.size(r) > 1) & (F.try_element_at(r, F.lit(1)) == F.try_element_at(r, F.lit(-1)))
-        return F.when(closed, F.slice(r, F.lit(1), F.greatest(F.size(r) - 1, F.lit(0)))).otherwise(r)
+# ---------------------------------------------------------------- rings
 
-    return _let(ring, opened)
 
+def open_ring_sql(ring: str) -> str:
+    closed = "size(r) > 1 AND get(r, 0) = get(r, size(r) - 1)"
+    return _let("r", ring, f"if({closed}, slice(r, 1, size(r) - 1), r)")
 
-def ring_edges(ring: Column) -> Column:
-    """``array<struct<ax, ay, bx, by>>`` with x = longitude and y = latitude."""
-    def edge(a: Column, b: Column) -> Column:
-        return F.struct(
-            F.get(a, 1).cast("double").alias("ax"),
-            F.get(a, 0).cast("double").alias("ay"),
-            F.get(b, 1).cast("double").alias("bx"),
-            F.get(b, 0).cast("double").alias("by"),
-        )
 
-    def edges(points: Column) -> Column:
-        rest = F.slice(points, F.lit(2), F.greatest(F.size(points) - 1, F.lit(0)))
-        return F.zip_with(points, F.concat(rest, F.slice(points, F.lit(1), F.lit(1))), edge)
+def open_ring(ring: str) -> Column:
+    """The ring without its closing duplicate point."""
+    return F.expr(open_ring_sql(ring))
+
 
-    return _let(open_ring(ring), edges)
+def ring_edges_sql(ring: str) -> str:
+    edge = ", ".join(
+        f"'{name}', cast(get({point}, {i}) AS double)"
+        for name, point, i in (("ax", "a", 1), ("ay", "a", 0), ("bx", "b", 1), ("by", "b", 0))
+    )
+    followers = "concat(slice(p, 2, greatest(size(p) - 1, 0)), slice(p, 1, 1))"
+    return _let("p", open_ring_sql(ring), f"zip_with(p, {followers}, (a, b) -> named_struct({edge}))")
+
+
+def ring_edges(ring: str) -> Column:
+    """``array<struct<ax, ay, bx, by>>`` with x = longitude and y = latitude."""
+    return F.expr(ring_edges_sql(ring))
 
 
-def edges_box(edges: Column) -> Column:
+def edges_box(edges: str) -> Column:
     """Bounding box of the edges, widened by the on-edge tolerance."""
-    ys = F.transform(edges, lambda e: e["ay"])
-    xs = F.transform(edges, lambda e: e["ax"])
-    return F.struct(
-        (F.array_min(ys) - ON_EDGE_EPS).alias("south"),
-        (F.array_max(ys) + ON_EDGE_EPS).alias("north"),
-        (F.array_min(xs) - ON_EDGE_EPS).alias("west"),
-        (F.array_max(xs) + ON_EDGE_EPS).alias("east"),
+    sides = [("south", "min", "ay", "-"), ("north", "max", "ay", "+"), ("west", "min", "ax", "-"), ("east", "max", "ax", "+")]
+    fields = ", ".join(
+        f"'{side}', array_{pick}(transform({edges}, e -> e.{axis})) {sign} {_EPS}" for side, pick, axis, sign in sides
     )
+    return F.expr(f"named_struct({fields})")
 
 
-def in_box(lat: Column, lon: Column, box: Column) -> Column:
-    return lat.between(box["south"], box["north"]) & lon.between(box["west"], box["east"])
+def in_box_sql(lat: str, lon: str, box: str) -> str:
+    return f"({lat} BETWEEN {box}.south AND {box}.north AND {lon} BETWEEN {box}.west AND {box}.east)"
 
 
-def _touches(x: Column, y: Column, e: Column) -> Column:
-    cross = (e["bx"] - e["ax"]) * (y - e["ay"]) - (e["by"] - e["ay"]) * (x - e["ax"])
-    within_x = x.between(F.least(e["ax"], e["bx"]) - ON_EDGE_EPS, F.greatest(e["ax"], e["bx"]) + ON_EDGE_EPS)
-    within_y = y.between(F.least(e["ay"], e["by"]) - ON_EDGE_EPS, F.greatest(e["ay"], e["by"]) + ON_EDGE_EPS)
-    return (F.abs(cross) <= ON_EDGE_EPS) & within_x & within_y
+# ---------------------------------------------------------------- containment
 
 
-def _crosses_east(x: Column, y: Column, e: Column) -> Column:
-    straddles = (e["ay"] > y) != (e["by"] > y)
-    at = F.try_divide((e["bx"] - e["ax"]) * (y - e["ay"]), e["by"] - e["ay"]) + e["ax"]
-    return straddles & (x < at)
+def edges_contain_sql(lat: str | float, lon: str | float, edges: str, boundary_inside: bool = True) -> str:
+    y, x = _text(lat), _text(lon)
+    touches = (
+        f"abs((e.bx - e.ax) * ({y} - e.ay) - (e.by - e.ay) * ({x} - e.ax)) <= {_EPS} "
+        f"AND {x} BETWEEN least(e.ax, e.bx) - {_EPS} AND greatest(e.ax, e.bx) + {_EPS} "
+        f"AND {y} BETWEEN least(e.ay, e.by) - {_EPS} AND greatest(e.ay, e.by) + {_EPS}"
+    )
+    crosses = (
+        f"(e.ay > {y}) <> (e.by > {y}) "
+        f"AND {x} < try_divide((e.bx - e.ax) * ({y} - e.ay), e.by - e.ay) + e.ax"
+    )
+    return (
+        f"CASE WHEN size({edges}) < 3 THEN false "
+        f"WHEN exists({edges}, e -> {touches}) THEN {str(boundary_inside).lower()} "
+        f"ELSE size(filter({edges}, e -> {crosses})) % 2 = 1 END"
+    )
 
 
-def edges_contain(lat, lon, edges: Column, boundary_inside: bool = True) -> Column:
+def edges_contain(lat: str | float, lon: str | float, edges: str, boundary_inside: bool = True) -> Column:
     """Containment for a prepared edge array; the boundary counts as inside by default."""
-    x, y = _c(lon).cast("double"), _c(lat).cast("double")
-    crossings = F.size(F.filter(edges, lambda e: _crosses_east(x, y, e)))
-    return (
-        F.when(F.size(edges) < 3, F.lit(False))
-        .when(F.exists(edges, lambda e: _touches(x, y, e)), F.lit(boundary_inside))
-        .otherwise(crossings % 2 == 1)
-    )
+    return F.expr(edges_contain_sql(lat, lon, edges, boundary_inside))
 
 
-def point_in_polygon(lat, lon, ring: Column, boundary_inside: bool = True) -> Column:
+def point_in_polygon(lat: str | float, lon: str | float, ring: str, boundary_inside: bool = True) -> Column:
     """Is the position inside the ring?  Concave rings are fine; fewer than 3 points never contain."""
-    return edges_contain(lat, lon, ring_edges(ring), boundary_inside)
+    contained = edges_contain_sql(lat, lon, "edges_", boundary_inside)
+    return F.expr(_let("edges_", ring_edges_sql(ring), contained))
+
+
+# ---------------------------------------------------------------- distance
 
 
-def edges_distance_m(lat, lon, edges: Column) -> Column:
+def edges_distance_sql(lat: str | float, lon: str | float, edges: str) -> str:
+    y, x = _text(lat), _text(lon)
+    # Metres per degree of longitude at this latitude, then each edge relative to the position.
+    local = (
+        f"named_struct('ax', (e.ax - {x}) * kx, 'ay', (e.ay - {y}) * {_METRES}, "
+        f"'dx', (e.bx - e.ax) * kx, 'dy', (e.by - e.ay) * {_METRES})"
+    )
+    along = (
+        "greatest(0D, least(1D, coalesce("
+        "try_divide(-(s.ax * s.dx + s.ay * s.dy), s.dx * s.dx + s.dy * s.dy), 0D)))"
+    )
+    distance = _let("t", along, "hypot(s.ax + t * s.dx, s.ay + t * s.dy)")
+    nearest = f"array_min(transform(transform({edges}, e -> {local}), s -> {distance}))"
+    scaled = _let("kx", f"{_METRES} * cos(radians({y}))", nearest)
+    return f"if(size({edges}) < 2, double('Infinity'), {scaled})"
+
+
+def edges_distance_m(lat: str | float, lon: str | float, edges: str) -> Column:
     """Metres to the nearest edge in a local equirectangular projection around the position."""
-    lat, lon = _c(lat).cast("double"), _c(lon).cast("double")
-    ky = F.lit(METRES_PER_DEGREE)
-    kx = F.lit(METRES_PER_DEGREE) * F.cos(F.radians(lat))
-    px, py = lon * kx, lat * ky
+    return F.expr(edges_distance_sql(lat, lon, edges))
+
+
+def distance_to_boundary_m(lat: str | float, lon: str | float, ring: str) -> Column:
+    return F.expr(_let("edges_", ring_edges_sql(ring), edges_distance_sql(lat, lon, "edges_")))
 
-    def distance(e: Column) -> Column:
-        ax, ay = e["ax"] * kx, e["ay"] * ky
-        dx, dy = e["bx"] * kx - ax, e["by"] * ky - ay
-        along = F.coalesce(F.try_divide((px - ax) * dx + (py - ay) * dy, dx * dx + dy * dy), F.lit(0.0))
-        along = F.greatest(F.lit(0.0), F.least(F.lit(1.0), along))
-        return F.hypot(px - (ax + along * dx), py - (ay + along * dy))
 
-    return F.when(F.size(edges) < 2, F.lit(float("inf"))).otherwise(F.array_min(F.transform(edges, distance)))
+# ---------------------------------------------------------------- tracks
 
 
-def distance_to_boundary_m(lat, lon, ring: Column) -> Column:
-    return edges_distance_m(lat, lon, ring_edges(ring))
+def bearing_sql(lat1: str, lon1: str, lat2: str, lon2: str) -> str:
+    p1, p2 = f"radians({lat1})", f"radians({lat2})"
+    turn = f"(radians({lon2}) - radians({lon1}))"
+    east = f"sin({turn}) * cos({p2})"
+    north = f"cos({p1}) * sin({p2}) - sin({p1}) * cos({p2}) * cos({turn})"
+    return f"pmod(degrees(atan2({east}, {north})) + 360, 360)"
 
 
-def bearing_deg(lat1, lon1, lat2, lon2) -> Column:
+def bearing_deg(lat1: str | float, lon1: str | float, lat2: str | float, lon2: str | float) -> Column:
     """Initial bearing from the first to the second point, in [0, 360)."""
-    phi1, phi2 = F.radians(_c(lat1)), F.radians(_c(lat2))
-    delta = F.radians(_c(lon2)) - F.radians(_c(lon1))
-    east = F.sin(delta) * F.cos(phi2)
-    north = F.cos(phi1) * F.sin(phi2) - F.sin(phi1) * F.cos(phi2) * F.cos(delta)
-    return F.pmod(F.degrees(F.atan2(east, north)) + 360.0, F.lit(360.0))
+    return F.expr(bearing_sql(*[_text(v) for v in (lat1, lon1, lat2, lon2)]))
 
 
-def position_along(route: Column, progress) -> Column:
+def position_along(route: str, progress: str | float) -> Column:
     """``struct<lat, lon, heading>`` at ``progress`` of a polyline; every leg has equal weight."""
-    legs = F.size(route) - 1
-    scaled = F.least(F.greatest(_c(progress).cast("double"), F.lit(0.0)), F.lit(LAST_PROGRESS)) * legs
-    leg = F.floor(scaled).cast("int")
-    part = scaled - leg
-    a, b = F.get(route, leg), F.get(route, leg + 1)
-    lat_a, lon_a, lat_b, lon_b = F.get(a, 0), F.get(a, 1), F.get(b, 0), F.get(b, 1)
-    return F.when(
-        legs >= 1,
-        F.struct(
-            (lat_a + (lat_b - lat_a) * part).alias("lat"),
-            (lon_a + (lon_b - lon_a) * part).alias("lon"),
-            bearing_deg(lat_a, lon_a, lat_b, lon_b).alias("heading"),
-        ),
+    scaled = f"least(greatest({_text(progress)}, 0D), {LAST_PROGRESS!r}D) * (size({route}) - 1)"
+    a, b = f"get({route}, int(floor(s)))", f"get({route}, int(floor(s)) + 1)"
+    lat1, lon1, lat2, lon2 = f"get({a}, 0)", f"get({a}, 1)", f"get({b}, 0)", f"get({b}, 1)"
+    place = (
+        f"named_struct('lat', {lat1} + ({lat2} - {lat1}) * (s - floor(s)), "
+        f"'lon', {lon1} + ({lon2} - {lon1}) * (s - floor(s)), "
+        f"'heading', {bearing_sql(lat1, lon1, lat2, lon2)})"
     )
+    return F.expr(f"if(size({route}) > 1, {_let('s', scaled, place)}, null)")

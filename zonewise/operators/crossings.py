@@ -22,7 +22,7 @@ from zonewise.operators.ordered import (
     lookback,
     span_segment,
 )
-from zonewise.operators.spatial import ZoneIndex, build_index, inside_pairs
+from zonewise.operators.spatial import NO_KEY, ZoneIndex, build_index, inside_pairs
 from zonewise.operators.zones import with_activity
 from zonewise.schemas import SIGNALS
 from zonewise.session import materialize
@@ -41,13 +41,16 @@ _ZONE_COLUMNS = ["zoneId", "zoneName", "zoneKind"]
 
 def detect_edge(was: Column, now: Column) -> Column:
     """``entry``, ``exit`` or null; an unknown former state gives null."""
-    return F.when(was.isNull(), F.lit(None)).when(~was & now, F.lit(ENTRY)).when(was & ~now, F.lit(EXIT))
+    return F.when(~was & now, F.lit(ENTRY)).when(was & ~now, F.lit(EXIT))
 
 
-def is_breach(kind: Column, edge: Column) -> Column:
-    """Does this crossing go against the zone's purpose?"""
-    rules = [(kind == name) & edge.isin(*edges) for name, edges in BREACHING_EDGES.items()]
-    return F.coalesce(reduce(Column.__or__, rules), F.lit(False))
+def is_breach(kind: str, edge: str) -> Column:
+    """Does this crossing (column names) go against the zone's purpose?"""
+    rules = [
+        f"({kind} = '{name}' AND {edge} IN ({', '.join(repr(e) for e in edges)}))"
+        for name, edges in BREACHING_EDGES.items()
+    ]
+    return F.expr(f"coalesce({' OR '.join(rules)}, false)")
 
 
 def edges_of_sequence(flags: Column) -> Column:
@@ -65,22 +68,17 @@ def edges_of_sequence(flags: Column) -> Column:
 def flat_positions(telemetry: DataFrame) -> DataFrame:
     """The fields detection and the breach event use, one column each."""
 
-    def signal(name: str) -> Column:
-        return F.col(f"vss.`{SIGNALS[name][0]}`").alias(name)
-
-    return telemetry.select(
+    signals = ("ignition", "fuelLevel", "gear", "engineTemperature", "brakeFluidLevel", "doorOpen")
+    return telemetry.selectExpr(
         "vehicleId",
         "seq",
         "timestamp",
         "ingestTime",
-        F.col("location.latitude").alias("lat"),
-        F.col("location.longitude").alias("lon"),
-        F.col("location.accuracy").alias("accuracy"),
-        F.col("location.speed").alias("speed"),
-        *[
-            signal(n)
-            for n in ("ignition", "fuelLevel", "gear", "engineTemperature", "brakeFluidLevel", "doorOpen")
-        ],
+        "location.latitude AS lat",
+        "location.longitude AS lon",
+        "location.accuracy AS accuracy",
+        "location.speed AS speed",
+        *[f"vss.`{SIGNALS[name][0]}` AS {name}" for name in signals],
     )
 
 
@@ -99,48 +97,29 @@ def hops(
 
 
 def _probes(moves: DataFrame, index: ZoneIndex, versioned: bool) -> DataFrame:
-    """Two lookups per hop: zones around the position (may be entered) and around its predecessor."""
-    clock = F.col("clock") if versioned else None
-    prev_clock = F.col("prev_clock") if versioned else None
-    asks = [
-        F.struct(F.lit(True).alias("enters"), key.alias("key"))
-        for key in index.probe_keys(F.col("lat"), F.col("lon"), clock)
-    ] + [
-        F.struct(F.lit(False).alias("enters"), key.alias("key"))
-        for key in index.probe_keys(F.col("prev_lat"), F.col("prev_lon"), prev_clock)
-    ]
-    if not asks:
-        return moves.where(F.lit(False)).select(
-            "*",
-            F.lit(True).alias("enters"),
-            F.lit(0).cast("long").alias("cell"),
-            F.lit(0).cast("long").alias("slot"),
-        )
-    return moves.withColumn("__ask", F.explode(F.array(*asks))).select(
-        *moves.columns,
-        F.col("__ask.enters").alias("enters"),
-        F.col("__ask.key.cell").alias("cell"),
-        F.col("__ask.key.slot").alias("slot"),
-    )
-
-
-def _contains(lat: Column, lon: Column) -> Column:
-    return G.in_box(lat, lon, F.col("box")) & G.edges_contain(lat, lon, F.col("edges"))
-
+    """Two lookups per hop: zones around the position (may be entered) and around its predecessor.
 
-def _ends() -> tuple[Column, Column, Column, Column]:
-    """The point looked up (lat, lon) and the other end of the hop (lat, lon)."""
-    enters = F.col("enters")
+    ``at_*`` is the end of the hop looked up, ``off_*`` the other one.
+    """
+    now = index.probe_keys("lat", "lon", "clock") or [NO_KEY]
+    before = index.probe_keys("prev_lat", "prev_lon", "prev_clock") or [NO_KEY]
+    asks = [f"struct(true AS enters, {key} AS key)" for key in now]
+    asks += [f"struct(false AS enters, {key} AS key)" for key in before]
+    ends = [
+        f"if(enters, {a}{name}, {b}{name}) AS {side}_{name}"
+        for side, a, b in (("at", "", "prev_"), ("off", "prev_", ""))
+        for name in (("lat", "lon", "clock") if versioned else ("lat", "lon"))
+    ]
     return (
-        F.when(enters, F.col("lat")).otherwise(F.col("prev_lat")),
-        F.when(enters, F.col("lon")).otherwise(F.col("prev_lon")),
-        F.when(enters, F.col("prev_lat")).otherwise(F.col("lat")),
-        F.when(enters, F.col("prev_lon")).otherwise(F.col("lon")),
+        moves.withColumn("__ask", F.expr(f"explode(array({', '.join(asks)}))"))
+        .selectExpr(*moves.columns, "__ask.enters AS enters", "__ask.key.cell AS cell", "__ask.key.slot AS slot")
+        .selectExpr("*", f"if(enters, '{ENTRY}', '{EXIT}') AS edge", *ends)
     )
 
 
-def _edge_name() -> Column:
-    return F.when(F.col("enters"), F.lit(ENTRY)).otherwise(F.lit(EXIT))
+def _contains_sql(end: str) -> str:
+    lat, lon = f"{end}_lat", f"{end}_lon"
+    return f"({G.in_box_sql(lat, lon, 'box')} AND {G.edges_contain_sql(lat, lon, 'edges')})"
 
 
 def crossings(moves: DataFrame, index: ZoneIndex, breaches_only: bool = False) -> DataFrame:
@@ -150,15 +129,11 @@ def crossings(moves: DataFrame, index: ZoneIndex, breaches_only: bool = False) -
     is the other way round; so entries are found from the position's cell, exits from the
     predecessor's, and no pair is found twice.
     """
-    at_lat, at_lon, off_lat, off_lon = _ends()
-    found = index.join(_probes(moves, index, versioned=False)).withColumn("edge", _edge_name())
+    found = index.join(_probes(moves, index, versioned=False))
     if breaches_only:
-        found = found.where(is_breach(F.col("zoneKind"), F.col("edge")))
-    return (
-        found.where(G.in_box(at_lat, at_lon, F.col("box")))
-        .where(G.edges_contain(at_lat, at_lon, F.col("edges")))
-        .where(~_contains(off_lat, off_lon))
-        .select(*moves.columns, *_ZONE_COLUMNS, "edge", "edges")
+        found = found.where(is_breach("zoneKind", "edge"))
+    return found.where(f"{_contains_sql('at')} AND NOT {_contains_sql('off')}").select(
+        *moves.columns, *_ZONE_COLUMNS, "edge", "edges"
     )
 
 
@@ -167,26 +142,17 @@ def crossings(moves: DataFrame, index: ZoneIndex, breaches_only: bool = False) -
 
 def breach_event(rows: DataFrame) -> DataFrame:
     """Flat crossing rows (position columns, zone columns, ``edge``, ``edges``) as breach events."""
-    outside = F.when(F.col("edge") == ENTRY, F.lit(0.0)).otherwise(
-        G.edges_distance_m(F.col("lat"), F.col("lon"), F.col("edges"))
-    )
-    return rows.select(
+    outside = f"if(edge = '{ENTRY}', 0D, {G.edges_distance_sql('lat', 'lon', 'edges')})"
+    return rows.selectExpr(
         "vehicleId",
         *_ZONE_COLUMNS,
-        F.col("edge").alias("breachType"),
+        "edge AS breachType",
         "timestamp",
-        F.struct(F.col("lat").alias("latitude"), F.col("lon").alias("longitude"), "accuracy").alias("location"),
-        F.round(outside, 1).alias("distanceOutsideM"),
-        F.lit(0).cast("long").alias("durationInStateS"),
-        F.struct(
-            "speed", "ignition", "fuelLevel", "gear", "engineTemperature", "brakeFluidLevel", "doorOpen"
-        ).alias("vehicle"),
-        F.struct(
-            F.col("timestamp").alias("eventTime"),
-            "ingestTime",
-            F.lit(None).cast("long").alias("flinkRead"),
-            F.lit(None).cast("long").alias("flinkEmit"),
-        ).alias("trace"),
+        "struct(lat AS latitude, lon AS longitude, accuracy) AS location",
+        f"round({outside}, 1) AS distanceOutsideM",
+        "0L AS durationInStateS",
+        "struct(speed, ignition, fuelLevel, gear, engineTemperature, brakeFluidLevel, doorOpen) AS vehicle",
+        "struct(timestamp AS eventTime, ingestTime, bigint(null) AS flinkRead, bigint(null) AS flinkEmit) AS trace",
         "seq",
     )
 
@@ -281,32 +247,16 @@ def edges_versioned(
         segment=span_segment("clock", span_ms),
         carry=("lat", "lon", "clock"),
     )
-    at_lat, at_lon, off_lat, off_lon = _ends()
-    enters = F.col("enters")
-    at_clock = F.when(enters, F.col("clock")).otherwise(F.col("prev_clock"))
-    same_version = F.when(enters, F.col("prev_clock") >= F.col("valid_from")).otherwise(
-        F.col("clock") < F.col("valid_to")
-    )
-    same_period = F.when(enters, F.col("prev_clock") >= F.col("activity_from")).otherwise(
-        F.col("clock") < F.col("activity_to")
-    )
     base = positions.columns
     out = [*base, *_ZONE_COLUMNS, "edge", "edges"]
     hits = (
         index.join(_probes(moves, index, versioned=True))
-        .where((at_clock >= F.col("valid_from")) & (at_clock < F.col("valid_to")))
-        .where(G.in_box(at_lat, at_lon, F.col("box")))
-        .where(G.edges_contain(at_lat, at_lon, F.col("edges")))
-        .where(~same_version | ~_contains(off_lat, off_lon))
-        .select(
-            *out[:-2],
-            _edge_name().alias("edge"),
-            "edges",
-            "activity_from",
-            "enters",
-            same_version.alias("settled"),
-            same_period.alias("same_period"),
-        )
+        .where("at_clock >= valid_from AND at_clock < valid_to")
+        .where(_contains_sql("at"))
+        .withColumn("settled", F.expr("if(enters, prev_clock >= valid_from, clock < valid_to)"))
+        .withColumn("same_period", F.expr("if(enters, prev_clock >= activity_from, clock < activity_to)"))
+        .where(f"NOT settled OR NOT {_contains_sql('off')}")
+        .select(*out, "activity_from", "enters", "settled", "same_period")
     )
     if facts["versions"] > facts["zones"]:
         # Read by up to three branches and small beside the positions: computed once.
@@ -314,7 +264,7 @@ def edges_versioned(
 
     plain = hits.where("settled")
     if breaches_only:
-        plain = plain.where(is_breach(F.col("zoneKind"), F.col("edge")))
+        plain = plain.where(is_breach("zoneKind", "edge"))
     results = [plain.select(*out)]
 
     loose = []
@@ -345,7 +295,7 @@ def edges_versioned(
         )
 
     found = reduce(DataFrame.unionByName, results)
-    return found.where(is_breach(F.col("zoneKind"), F.col("edge"))) if breaches_only else found
+    return found.where(is_breach("zoneKind", "edge")) if breaches_only else found
 
 
 def _gap_crossings(positions: DataFrame, ends: DataFrame, spans: DataFrame, span_ms: int) -> DataFrame:

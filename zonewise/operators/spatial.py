@@ -32,21 +32,25 @@ ALWAYS = SLOT_LEVELS  # level of versions too long, or open-ended, for slots
 
 BROADCAST_LIMIT_BYTES = 64 << 20
 
+NO_KEY = "named_struct('cell', -1L, 'slot', 0L)"  # matches nothing: there are no zones
+
 # A cell key is (level, y, x) in one long, a slot key (level, slot).
 _OFFSET = 1 << 28
 _WIDTH = 1 << 29
 _SLOTS = 1 << 48
 
 
-def position_cell(lat: Column, lon: Column, level: int, base: float) -> Column:
-    size = base * CELL_GROWTH**level
-    row = F.lit(level * _WIDTH + _OFFSET).cast("long") + F.floor(lat / size)
-    return row * F.lit(_WIDTH).cast("long") + F.floor(lon / size) + _OFFSET
+def position_cell_sql(lat: str, lon: str, level: int, base: float) -> str:
+    size = f"{base * CELL_GROWTH**level!r}D"
+    row = f"{level * _WIDTH + _OFFSET}L + floor({lat} / {size})"
+    return f"({row}) * {_WIDTH}L + floor({lon} / {size}) + {_OFFSET}L"
 
 
-def position_slot(clock: Column, level: int) -> Column:
-    start = F.lit(level * _SLOTS).cast("long")
-    return start if level == ALWAYS else start + F.floor(clock / F.lit(BASE_SLOT_MS * SLOT_GROWTH**level))
+def position_slot_sql(clock: str, level: int | None) -> str:
+    if level is None:
+        return "0L"
+    start = f"{level * _SLOTS}L"
+    return start if level == ALWAYS else f"{start} + floor({clock} / {BASE_SLOT_MS * SLOT_GROWTH**level})"
 
 
 @dataclass(frozen=True)
@@ -59,13 +63,13 @@ class ZoneIndex:
     base_cell: float
     small: bool  # measured size is below the broadcast limit
 
-    def probe_keys(self, lat: Column, lon: Column, clock: Column | None = None) -> list[Column]:
-        keys = []
-        for level, slot_level in self.combos:
-            cell = position_cell(lat, lon, level, self.base_cell).alias("cell")
-            slot = F.lit(0).cast("long") if slot_level is None else position_slot(clock, slot_level)
-            keys.append(F.struct(cell, slot.alias("slot")))
-        return keys
+    def probe_keys(self, lat: str, lon: str, clock: str | None = None) -> list[str]:
+        """SQL structs ``(cell, slot)`` under which a position finds its zones."""
+        return [
+            f"named_struct('cell', {position_cell_sql(lat, lon, level, self.base_cell)}, "
+            f"'slot', {position_slot_sql(clock, slot_level)})"
+            for level, slot_level in self.combos
+        ]
 
     def join(self, probes: DataFrame) -> DataFrame:
         """Probes with ``cell`` and ``slot`` against the zones that may contain them."""
@@ -81,10 +85,10 @@ def prepare_zones(zones: DataFrame) -> DataFrame:
             F.col("id").alias("zoneId"),
             F.coalesce(F.nullif(F.col("name"), F.lit("")), F.col("id")).alias("zoneName"),
             F.col("kind").alias("zoneKind"),
-            G.ring_edges(F.col("polygon")).alias("edges"),
+            G.ring_edges("polygon").alias("edges"),
             *extra,
         )
-        .withColumn("box", G.edges_box(F.col("edges")))
+        .withColumn("box", G.edges_box("edges"))
     )
 
 
@@ -157,14 +161,9 @@ def build_index(
 
 def inside_pairs(positions: DataFrame, index: ZoneIndex, lat: str = "lat", lon: str = "lon") -> DataFrame:
     """Every (position, zone) pair with the position inside the zone."""
-    keys = index.probe_keys(F.col(lat), F.col(lon))
-    if not keys:
-        keys = [F.struct(F.lit(-1).cast("long").alias("cell"), F.lit(0).cast("long").alias("slot"))]
-    probes = positions.withColumn("__key", F.explode(F.array(*keys))).select(
+    keys = index.probe_keys(lat, lon) or [NO_KEY]
+    probes = positions.withColumn("__key", F.expr(f"explode(array({', '.join(keys)}))")).select(
         *positions.columns, F.col("__key.cell").alias("cell"), F.col("__key.slot").alias("slot")
     )
-    return (
-        index.join(probes)
-        .where(G.in_box(F.col(lat), F.col(lon), F.col("box")))
-        .where(G.edges_contain(F.col(lat), F.col(lon), F.col("edges")))
-    )
+    contained = F.expr(f"{G.in_box_sql(lat, lon, 'box')} AND {G.edges_contain_sql(lat, lon, 'edges')}")
+    return index.join(probes).where(contained)

@@ -133,7 +133,7 @@ def boundary_distance(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = X.build_index(X.active_zones(seed_zones(spark)))
     positions = X.flat_positions(tb.telemetry(spark, sf_dir)).select("vehicleId", "seq", "lat", "lon")
     inside = X.inside_pairs(positions, index)
-    distance = G.edges_distance_m(F.col("lat"), F.col("lon"), F.col("edges"))
+    distance = G.edges_distance_m("lat", "lon", "edges")
     return inside.select("vehicleId", "seq", "zoneId", F.round(distance, 3).alias("distance_m"))
 
 
@@ -302,7 +302,7 @@ WHERE p1 IS NOT NULL""",
 def heading(spark: SparkSession, sf_dir: str) -> DataFrame:
     positions = X.flat_positions(tb.telemetry(spark, sf_dir)).select("vehicleId", "seq", "lat", "lon")
     moves = X.hops(positions)
-    course = G.bearing_deg(F.col("prev_lat"), F.col("prev_lon"), F.col("lat"), F.col("lon"))
+    course = G.bearing_deg("prev_lat", "prev_lon", "lat", "lon")
     return moves.select("vehicleId", "seq", F.round(course, 4).alias("heading"))
 
 
@@ -332,7 +332,7 @@ def position_along(spark: SparkSession, sf_dir: str) -> DataFrame:
         ]
     )
     picked = F.get(routes, (F.col("event_id") % 3).cast("int"))
-    at = G.position_along(F.col("r.points"), F.col("value") / 450 - 0.05)
+    at = G.position_along("r.points", "value / 450 - 0.05D")
     return (
         tb.read_table(spark, sf_dir, "events")
         .select(F.col("event_id").alias("seq"), "value", picked.alias("r"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from zonewise.schemas import SIGNALS
@@ -13,11 +13,10 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(table_path(sf_dir, name))
 
 
-def epoch_millis(ts: Column) -> Column:
+def epoch_millis_sql(ts: str) -> str:
     """Epoch milliseconds of a timestamp without zone, whatever the session time zone."""
-    day = F.unix_date(ts.cast("date")).cast("long") * 86_400_000
-    clock = F.hour(ts).cast("long") * 3_600_000 + F.minute(ts).cast("long") * 60_000
-    return day + clock + F.floor(F.date_part(F.lit("SECOND"), ts) * 1000).cast("long")
+    clock = f"hour({ts}) * 3600000L + minute({ts}) * 60000L + floor(extract(SECOND FROM {ts}) * 1000)"
+    return f"unix_date(date({ts})) * 86400000L + {clock}"
 
 
 def telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -25,131 +24,99 @@ def telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Columns beyond the canonical schema: ``flinkRead``, ``flinkEmit``, ``alertsArrival``.
     """
-    events = read_table(spark, sf_dir, "events")
-    seq, user = F.col("event_id"), F.col("user_id")
-    value, kind = F.col("value"), F.col("event_type")
-    stamped = events.select(
-        F.concat(F.lit("veh-"), F.lpad(user.cast("string"), 5, "0")).alias("vehicleId"),
-        seq.alias("seq"),
-        epoch_millis(F.col("ts")).alias("timestamp"),
-        (F.lit(51.0005) + ((seq * 7919 + user * 31) % 180).cast("double") * 0.001).alias("lat"),
-        (F.lit(-114.1205) + ((seq * 104729 + user * 17) % 140).cast("double") * 0.001).alias("lon"),
-        kind.alias("event_type"),
-        value.alias("value"),
+    stamped = read_table(spark, sf_dir, "events").selectExpr(
+        "concat('veh-', lpad(string(user_id), 5, '0')) AS vehicleId",
+        "event_id AS seq",
+        f"{epoch_millis_sql('ts')} AS timestamp",
+        "51.0005D + double((event_id * 7919L + user_id * 31L) % 180L) * 0.001D AS lat",
+        "-114.1205D + double((event_id * 104729L + user_id * 17L) % 140L) * 0.001D AS lon",
+        "event_type",
+        "value",
     )
-    ingest = F.col("timestamp") + 50 + F.col("seq") % 400
-    read = ingest + 20 + F.col("seq") % 300
-    emit = read + F.col("seq") % 9
-    value, kind = F.col("value"), F.col("event_type")
-
-    def signal(name: str, made: Column) -> Column:
-        return made.alias(SIGNALS[name][0])
-
-    return stamped.select(
+    ingest = "timestamp + 50 + seq % 400"
+    read = f"{ingest} + 20 + seq % 300"
+    emit = f"{read} + seq % 9"
+    signals = {
+        "speed": "value % 160",
+        "ignition": "event_type <> 'view'",
+        "fuelLevel": "value % 100 / 100",
+        "odometer": "value * 100",
+        "gear": "if(event_type = 'view', 'park', 'drive')",
+        "brakeFluidLevel": "0.85D",
+        "doorOpen": "event_type = 'error'",
+        "engineTemperature": "60D + value % 70",
+    }
+    vss = ", ".join(f"{made} AS `{SIGNALS[name][0]}`" for name, made in signals.items())
+    return stamped.selectExpr(
         "vehicleId",
-        F.lit("zone-airport-yyc").alias("geoFenceId"),
+        "'zone-airport-yyc' AS geoFenceId",
         "timestamp",
-        ingest.alias("ingestTime"),
+        f"{ingest} AS ingestTime",
         "seq",
-        F.struct(
-            F.col("lat").alias("latitude"),
-            F.col("lon").alias("longitude"),
-            (F.lit(1040.0) + value % 11).alias("altitude"),
-            (value * 7 % 360).alias("heading"),
-            (value % 160).alias("speed"),
-            (F.lit(3.0) + value % 27).alias("accuracy"),
-        ).alias("location"),
-        F.struct(
-            signal("speed", value % 160),
-            signal("ignition", kind != "view"),
-            signal("fuelLevel", value % 100 / 100),
-            signal("odometer", value * 100),
-            signal("gear", F.when(kind == "view", "park").otherwise("drive")),
-            signal("brakeFluidLevel", F.lit(0.85)),
-            signal("doorOpen", kind == "error"),
-            signal("engineTemperature", F.lit(60.0) + value % 70),
-        ).alias("vss"),
-        F.struct(
-            (F.lit(1500.0) + value).alias("engineRpm"),
-            F.lit(12.6).alias("batteryVoltage"),
-            F.lit(-8.0).alias("outsideTemperature"),
-            F.struct(F.lit(0.0).alias("x"), F.lit(0.0).alias("y"), F.lit(1.0).alias("z")).alias("accelerometerData"),
-        ).alias("telemetry"),
-        F.struct(
-            F.concat(F.lit("tracker-"), F.right(F.col("vehicleId"), F.lit(4))).alias("deviceId"),
-            F.lit("2.3.5").alias("firmwareVersion"),
-            (F.lit(70.0) + value % 30).alias("signalStrength"),
-        ).alias("deviceInfo"),
-        F.struct(F.lit("highway").alias("routeType"), kind.alias("routeName")).alias("routeInfo"),
-        F.when(F.col("seq") % 17 != 0, read).alias("flinkRead"),
-        emit.alias("flinkEmit"),
-        (emit + 30 + F.col("seq") % 90).alias("alertsArrival"),
+        """struct(lat AS latitude, lon AS longitude, 1040D + value % 11 AS altitude, value * 7 % 360 AS heading,
+             value % 160 AS speed, 3D + value % 27 AS accuracy) AS location""",
+        f"struct({vss}) AS vss",
+        """struct(1500D + value AS engineRpm, 12.6D AS batteryVoltage, -8D AS outsideTemperature,
+             struct(0D AS x, 0D AS y, 1D AS z) AS accelerometerData) AS telemetry""",
+        """struct(concat('tracker-', right(vehicleId, 4)) AS deviceId, '2.3.5' AS firmwareVersion,
+             70D + value % 30 AS signalStrength) AS deviceInfo""",
+        "struct('highway' AS routeType, event_type AS routeName) AS routeInfo",
+        f"if(seq % 17 <> 0, {read}, null) AS flinkRead",
+        f"{emit} AS flinkEmit",
+        f"{emit} + 30 + seq % 90 AS alertsArrival",
+        "event_type",
+        "value",
     )
 
 
-def _notched_ring(lat: Column, lon: Column, height: Column, width: Column) -> Column:
+def _notched_ring(lat: str, lon: str, height: str, width: str) -> str:
     """A closed ring around a concave six-corner plot: a rectangle without its north-east quarter."""
+    north, middle_lat = f"{lat} + {height} * 0.002D", f"{lat} + {height} * 0.001D"
+    east, middle_lon = f"{lon} + {width} * 0.002D", f"{lon} + {width} * 0.001D"
+    corners = [
+        (lat, lon),
+        (north, lon),
+        (north, middle_lon),
+        (middle_lat, middle_lon),
+        (middle_lat, east),
+        (lat, east),
+        (lat, lon),
+    ]
+    return "array(" + ", ".join(f"array({y}, {x})" for y, x in corners) + ")"
 
-    def point(y: Column, x: Column) -> Column:
-        return F.array(y, x)
-
-    north, middle_lat = lat + height * 0.002, lat + height * 0.001
-    east, middle_lon = lon + width * 0.002, lon + width * 0.001
-    return F.array(
-        point(lat, lon),
-        point(north, lon),
-        point(north, middle_lon),
-        point(middle_lat, middle_lon),
-        point(middle_lat, east),
-        point(lat, east),
-        point(lat, lon),
-    )
 
+def _kind(number: str) -> str:
+    return f"get(array('exclusion', 'containment', 'dwell'), int({number} % 3))"
 
-def _kind(number: Column) -> Column:
-    return F.get(F.array(F.lit("exclusion"), F.lit("containment"), F.lit("dwell")), (number % 3).cast("int"))
+
+def _site_ring(number: str, height: str, width: str) -> str:
+    lat = f"(51.0D + double({number} * 37 % 170) * 0.001D)"
+    lon = f"(-114.12D + double({number} * 53 % 130) * 0.001D)"
+    return _notched_ring(lat, lon, f"double({height})", f"double({width})")
 
 
 def supplier_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One concave zone per supplier; the zone set grows with the data."""
-    key = F.col("s_suppkey")
-    return read_table(spark, sf_dir, "supplier").select(
-        F.concat(F.lit("site-"), key.cast("string")).alias("id"),
-        F.col("s_name").alias("name"),
-        _kind(key).alias("kind"),
-        _notched_ring(
-            F.lit(51.0) + (key * 37 % 170).cast("double") * 0.001,
-            F.lit(-114.12) + (key * 53 % 130).cast("double") * 0.001,
-            (2 + key % 5).cast("double"),
-            (2 + key % 7).cast("double"),
-        ).alias("polygon"),
-        (F.col("s_acctbal") > 0).alias("active"),
-        F.lit(1704067200000).cast("long").alias("updatedAt"),
+    return read_table(spark, sf_dir, "supplier").selectExpr(
+        "concat('site-', s_suppkey) AS id",
+        "s_name AS name",
+        f"{_kind('s_suppkey')} AS kind",
+        f"{_site_ring('s_suppkey', '2 + s_suppkey % 5', '2 + s_suppkey % 7')} AS polygon",
+        "s_acctbal > 0 AS active",
+        "1704067200000L AS updatedAt",
     )
 
 
 def order_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders read as edits of customer zones, spread over the event month."""
-    key, customer = F.col("o_orderkey"), F.col("o_custkey")
-    zone = F.floor(customer / 15)
-    days = F.datediff(F.col("o_orderdate").cast("date"), F.to_date(F.lit("1995-01-01"))).cast("long")
-    op = (
-        F.when(F.col("o_orderstatus") == "O", "INSERT")
-        .when(F.col("o_orderstatus") == "F", "MODIFY")
-        .otherwise("REMOVE")
-    )
-    return read_table(spark, sf_dir, "orders").select(
-        op.alias("op"),
-        F.concat(F.lit("cust-"), zone.cast("string")).alias("id"),
-        (F.col("o_orderpriority") != "5-LOW").alias("active"),
-        _kind(zone).alias("kind"),
-        _notched_ring(
-            F.lit(51.0) + (zone * 37 % 170).cast("double") * 0.001,
-            F.lit(-114.12) + (zone * 53 % 130).cast("double") * 0.001,
-            (3 + key % 4).cast("double"),
-            (3 + key % 5).cast("double"),
-        ).alias("polygon"),
-        (F.lit(1704067200000) + days * 1_078_203).alias("updatedAt"),
-        F.when(F.col("o_orderstatus") != "F", F.concat(F.lit("Customer site "), zone.cast("string"))).alias("name"),
-        key.alias("seq"),
+    zoned = read_table(spark, sf_dir, "orders").withColumn("zone", F.expr("o_custkey div 15"))
+    return zoned.selectExpr(
+        "CASE o_orderstatus WHEN 'O' THEN 'INSERT' WHEN 'F' THEN 'MODIFY' ELSE 'REMOVE' END AS op",
+        "concat('cust-', zone) AS id",
+        "o_orderpriority <> '5-LOW' AS active",
+        f"{_kind('zone')} AS kind",
+        f"{_site_ring('zone', '3 + o_orderkey % 4', '3 + o_orderkey % 5')} AS polygon",
+        "1704067200000L + datediff(date(o_orderdate), date'1995-01-01') * 1078203L AS updatedAt",
+        "if(o_orderstatus <> 'F', concat('Customer site ', zone), null) AS name",
+        "o_orderkey AS seq",
     )
