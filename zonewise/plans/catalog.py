@@ -2,6 +2,9 @@
 
 from zonewise.plans import (  # noqa: F401
     detection,
+    quality,
+    triage,
+    zones,
 )
 from zonewise.plans.registry import PLANS, SQL
 

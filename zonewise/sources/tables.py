@@ -120,3 +120,9 @@ def order_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
         "if(o_orderstatus <> 'F', concat('Customer site ', zone), null) AS name",
         "o_orderkey AS seq",
     )
+
+
+def with_ingest_time(rows: DataFrame, clock: str | None = None) -> DataFrame:
+    """Stamp rows on arrival: with a given column, or with the current time."""
+    stamp = F.col(clock).cast("long") if clock else F.unix_millis(F.current_timestamp())
+    return rows.withColumn("ingestTime", stamp)
