@@ -6,6 +6,7 @@ import math
 import os
 import sys
 import time
+from decimal import Decimal
 
 import duckdb
 
@@ -55,7 +56,11 @@ def compare(spark, con, sf_dir: str, name: str) -> tuple[bool, str]:
         return False, f"columns {sorted(df.columns)} != {sorted(names)}"
     kinds = {n: t for n, t in df.dtypes}
     a, b = _sorted(got, df.columns), _sorted(want, names)
-    if a == b:
+    odd = {n for r in got for n, v in zip(df.columns, r) if isinstance(v, (Decimal, list, dict, tuple))}
+    odd |= {n for r in want for n, v in zip(names, r) if isinstance(v, (Decimal, list, dict, tuple))}
+    if odd:
+        return False, f"{note} values that do not hash plainly: {sorted(odd)}"
+    if a == b and [[type(v) for v in r] for r in a] == [[type(v) for v in r] for r in b]:
         return True, note
     differing = [(x, y) for x, y in zip(a, b) if x != y][:3]
     return False, f"{note} differ: {differing} {kinds}"

@@ -40,8 +40,8 @@ def minute_stats(metrics: DataFrame, ts: str = "ts") -> DataFrame:
     return counted.groupBy(*keys).agg(
         F.max("value").alias("max"),
         F.sum(F.col("value") * F.col("n")).alias("sum"),
-        F.percentile("value", 0.5, "n").alias("p50"),
-        F.percentile("value", 0.99, "n").alias("p99"),
+        F.percentile("value", 0.5, F.col("n")).alias("p50"),
+        F.percentile("value", 0.99, F.col("n")).alias("p99"),
     )
 
 

@@ -145,7 +145,7 @@ def stream_health(telemetry: DataFrame, arrival: str, span: int = ARRIVALS_PER_S
         F.greatest(F.coalesce(F.max("worst"), F.lit(0)), F.lit(0)).alias("max_latency_ms"),
         F.coalesce(F.sum("late"), F.lit(0)).alias("out_of_order"),
     )
-    latency = F.col("max_latency_ms") / 1000
+    latency = F.col("max_latency_ms").cast("double") / 1000
     ok = (F.col("records") > 0) & (latency < MAX_LATENCY_S) & (F.col("out_of_order") == 0)
     return totals.select(
         "records",

@@ -1,7 +1,10 @@
 """Imports every plan module, so that all queries are registered."""
 
 from zonewise.plans import (  # noqa: F401
+    delivery,
     detection,
+    evaluation,
+    monitoring,
     quality,
     triage,
     zones,

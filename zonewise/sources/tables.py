@@ -15,7 +15,7 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def epoch_millis_sql(ts: str) -> str:
     """Epoch milliseconds of a timestamp without zone, whatever the session time zone."""
-    clock = f"hour({ts}) * 3600000L + minute({ts}) * 60000L + floor(extract(SECOND FROM {ts}) * 1000)"
+    clock = f"hour({ts}) * 3600000L + minute({ts}) * 60000L + bigint(floor(extract(SECOND FROM {ts}) * 1000))"
     return f"unix_date(date({ts})) * 86400000L + {clock}"
 
 
@@ -126,3 +126,9 @@ def with_ingest_time(rows: DataFrame, clock: str | None = None) -> DataFrame:
     """Stamp rows on arrival: with a given column, or with the current time."""
     stamp = F.col(clock).cast("long") if clock else F.unix_millis(F.current_timestamp())
     return rows.withColumn("ingestTime", stamp)
+
+
+def keyed_json(rows: DataFrame, key: str) -> DataFrame:
+    """Rows as log records: ``key`` and one JSON ``value`` each, nulls kept."""
+    fields = F.struct(*[F.col(c) for c in rows.columns])
+    return rows.select(F.col(key).alias("key"), F.to_json(fields, {"ignoreNullFields": "false"}).alias("value"))
