@@ -15,6 +15,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from zonewise.functions.once import let_sql
+
 # Fixed values.
 ON_EDGE_EPS = 1e-9
 METRES_PER_DEGREE = 111_320.0
@@ -29,17 +31,12 @@ def _text(value: str | float) -> str:
     return f"({value})" if isinstance(value, str) else f"({float(value)!r}D)"
 
 
-def _let(name: str, value: str, body: str) -> str:
-    """``body`` with ``name`` standing for ``value``, evaluated once."""
-    return f"get(transform(array({value}), {name} -> {body}), 0)"
-
-
 # ---------------------------------------------------------------- rings
 
 
 def open_ring_sql(ring: str) -> str:
     closed = "size(r) > 1 AND get(r, 0) = get(r, size(r) - 1)"
-    return _let("r", ring, f"if({closed}, slice(r, 1, size(r) - 1), r)")
+    return let_sql("r", ring, f"if({closed}, slice(r, 1, size(r) - 1), r)")
 
 
 def open_ring(ring: str) -> Column:
@@ -53,7 +50,7 @@ def ring_edges_sql(ring: str) -> str:
         for name, point, i in (("ax", "a", 1), ("ay", "a", 0), ("bx", "b", 1), ("by", "b", 0))
     )
     followers = "concat(slice(p, 2, greatest(size(p) - 1, 0)), slice(p, 1, 1))"
-    return _let("p", open_ring_sql(ring), f"zip_with(p, {followers}, (a, b) -> named_struct({edge}))")
+    return let_sql("p", open_ring_sql(ring), f"zip_with(p, {followers}, (a, b) -> named_struct({edge}))")
 
 
 def ring_edges(ring: str) -> Column:
@@ -103,7 +100,7 @@ def edges_contain(lat: str | float, lon: str | float, edges: str, boundary_insid
 def point_in_polygon(lat: str | float, lon: str | float, ring: str, boundary_inside: bool = True) -> Column:
     """Is the position inside the ring?  Concave rings are fine; fewer than 3 points never contain."""
     contained = edges_contain_sql(lat, lon, "edges_", boundary_inside)
-    return F.expr(_let("edges_", ring_edges_sql(ring), contained))
+    return F.expr(let_sql("edges_", ring_edges_sql(ring), contained))
 
 
 # ---------------------------------------------------------------- distance
@@ -120,9 +117,9 @@ def edges_distance_sql(lat: str | float, lon: str | float, edges: str) -> str:
         "greatest(0D, least(1D, coalesce("
         "try_divide(-(s.ax * s.dx + s.ay * s.dy), s.dx * s.dx + s.dy * s.dy), 0D)))"
     )
-    distance = _let("t", along, "hypot(s.ax + t * s.dx, s.ay + t * s.dy)")
+    distance = let_sql("t", along, "hypot(s.ax + t * s.dx, s.ay + t * s.dy)")
     nearest = f"array_min(transform(transform({edges}, e -> {local}), s -> {distance}))"
-    scaled = _let("kx", f"{_METRES} * cos(radians({y}))", nearest)
+    scaled = let_sql("kx", f"{_METRES} * cos(radians({y}))", nearest)
     return f"if(size({edges}) < 2, double('Infinity'), {scaled})"
 
 
@@ -132,7 +129,7 @@ def edges_distance_m(lat: str | float, lon: str | float, edges: str) -> Column:
 
 
 def distance_to_boundary_m(lat: str | float, lon: str | float, ring: str) -> Column:
-    return F.expr(_let("edges_", ring_edges_sql(ring), edges_distance_sql(lat, lon, "edges_")))
+    return F.expr(let_sql("edges_", ring_edges_sql(ring), edges_distance_sql(lat, lon, "edges_")))
 
 
 # ---------------------------------------------------------------- tracks
@@ -161,4 +158,4 @@ def position_along(route: str, progress: str | float) -> Column:
         f"'lon', {lon1} + ({lon2} - {lon1}) * (s - floor(s)), "
         f"'heading', {bearing_sql(lat1, lon1, lat2, lon2)})"
     )
-    return F.expr(f"if(size({route}) > 1, {_let('s', scaled, place)}, null)")
+    return F.expr(f"if(size({route}) > 1, {let_sql('s', scaled, place)}, null)")

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from zonewise.functions.once import let_sql
+
 # What a telemetry message must carry, by parent path.
 REQUIRED = {
     "": ["vehicleId", "geoFenceId", "timestamp", "location", "vss", "telemetry", "deviceInfo", "routeInfo"],
@@ -52,16 +54,7 @@ FACT_FIELDS = {
 JUDGEMENT_FIELDS = ["severity", "reason", "violation_name"]
 
 
-def _path(pointer: str) -> str:
-    return "$" + pointer.replace("/", ".")
-
-
-def _get(pointer: str, message: str) -> str:
-    return f"try_variant_get({message}, '{_path(pointer)}', 'variant')" if pointer else message
-
-
-def _is(kind: str, value: str) -> str:
-    shape = f"schema_of_variant({value})"
+def _is(kind: str, shape: str, value: str) -> str:
     number = f"try_variant_get({value}, '$', 'double')"
     numeric = f"({shape} IN ('BIGINT', 'DOUBLE', 'FLOAT') OR {shape} LIKE 'DECIMAL%')"
     return {
@@ -73,33 +66,46 @@ def _is(kind: str, value: str) -> str:
 
 
 def message_errors(message: str) -> Column:
-    """All rule violations of the VARIANT column ``message``, as ``array<string>``."""
-    root_ok = f"coalesce({_is('object', message)}, false)"
+    """All rule violations of the VARIANT column ``message``, as ``array<string>``.
+
+    Every field the rules name is looked up once (``f``) and its JSON type found once (``s``).
+    """
+    pointers = list(dict.fromkeys(["", *[f"{p}/{n}" for p, names in REQUIRED.items() for n in names], *FIELD_TYPES]))
+    typed = [p for p in pointers if p == "" or p in FIELD_TYPES]
+    number_of = {p: i for i, p in enumerate(pointers)}
+    value = {p: f"f.v{i}" for p, i in number_of.items()}
+    shape = {p: f"s.t{number_of[p]}" for p in typed}
+    values = ", ".join(
+        f"'v{i}', " + (f"try_variant_get({message}, '${p.replace('/', '.')}', 'variant')" if p else message)
+        for p, i in number_of.items()
+    )
+    shapes = ", ".join(f"'t{number_of[p]}', schema_of_variant({value[p]})" for p in typed)
+
+    root_ok = f"coalesce({_is('object', shape[''], value[''])}, false)"
     found = [f"CASE WHEN NOT {root_ok} THEN 'message / must be object' END"]
 
     def add(condition: str, pointer: str, text: str) -> None:
         quoted = text.replace("'", "\\'")
-        found.append(f"CASE WHEN {root_ok} AND {condition} THEN 'message {pointer or '/'} {quoted}' END")
+        found.append(f"CASE WHEN {condition} THEN 'message {pointer or '/'} {quoted}' END")
 
     for parent, names in REQUIRED.items():
-        holder = _get(parent, message)
-        present = f"coalesce({_is('object', holder)}, false)"
+        present = f"coalesce({_is('object', shape[parent], value[parent])}, false)"
         for name in names:
-            missing = f"{_get(f'{parent}/{name}', message)} IS NULL"
+            missing = f"{value[f'{parent}/{name}']} IS NULL"
             add(f"{present} AND {missing}", parent, f"must have required property '{name}'")
     for pointer, kind in FIELD_TYPES.items():
-        value = _get(pointer, message)
-        add(f"{value} IS NOT NULL AND NOT coalesce({_is(kind, value)}, false)", pointer, f"must be {kind}")
+        wrong = f"NOT coalesce({_is(kind, shape[pointer], value[pointer])}, false)"
+        add(f"{value[pointer]} IS NOT NULL AND {wrong}", pointer, f"must be {kind}")
     for pointer, (low, high) in RANGES.items():
-        value = _get(pointer, message)
-        number = f"try_variant_get({value}, '$', 'double')"
-        add(f"coalesce({_is('number', value)} AND {number} < {low}, false)", pointer, f"must be >= {low}")
-        add(f"coalesce({_is('number', value)} AND {number} > {high}, false)", pointer, f"must be <= {high}")
+        numeric = _is("number", shape[pointer], value[pointer])
+        number = f"try_variant_get({value[pointer]}, '$', 'double')"
+        add(f"coalesce({numeric} AND {number} < {low}, false)", pointer, f"must be >= {low}")
+        add(f"coalesce({numeric} AND {number} > {high}, false)", pointer, f"must be <= {high}")
     for pointer in NON_EMPTY:
-        value = _get(pointer, message)
-        empty = f"coalesce({_is('string', value)} AND try_variant_get({value}, '$', 'string') = '', false)"
-        add(empty, pointer, "must NOT have fewer than 1 characters")
-    return F.expr(f"filter(array({', '.join(found)}), e -> e IS NOT NULL)")
+        text = f"{shape[pointer]} = 'STRING' AND try_variant_get({value[pointer]}, '$', 'string') = ''"
+        add(f"coalesce({text}, false)", pointer, "must NOT have fewer than 1 characters")
+    rules = f"filter(array({', '.join(found)}), e -> e IS NOT NULL)"
+    return F.expr(let_sql("f", f"named_struct({values})", let_sql("s", f"named_struct({shapes})", rules)))
 
 
 def zone_errors(zone_id: str, polygon: str) -> Column:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from zonewise.functions.once import once
 from zonewise.operators.ordered import ARRIVALS_PER_SEGMENT, lookback, span_segment
 from zonewise.schemas import LOCATION, TELEMETRY
 
@@ -47,9 +48,8 @@ def parse_telemetry(raw: DataFrame, column: str = "raw") -> DataFrame:
 
     One parse; nothing fails.  Other columns of ``raw`` are kept.
     """
-    parsed = raw.withColumn(
-        "__r", F.from_json(column, _LOOSE, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
-    )
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    parsed = raw.withColumn("__r", once(F.from_json(column, _LOOSE, options)))
     rec = F.col("__r")
     lat, lon = rec["location"]["latitude"], rec["location"]["longitude"]
 

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from zonewise.functions import triage as T
+from zonewise.functions.once import once
 from zonewise.operators.ordered import MILLIS_PER_SEGMENT, asof_join, lookback, span_segment
 
 HISTORY_DAYS = 90
@@ -102,7 +103,7 @@ def parse_decisions(answers: DataFrame, raw: str = "raw", breach: str = "breach"
     """
     direct = F.try_parse_json(F.col(raw))
     recovered = F.try_parse_json(T.first_json_object(raw))
-    read = answers.withColumn("__a", F.coalesce(direct, recovered))
+    read = answers.withColumn("__a", once(F.coalesce(direct, recovered)))
     answer = F.col("__a")
     severity = F.upper(F.try_variant_get(answer, "$.severity", "string"))
     is_object = F.schema_of_variant(answer).startswith("OBJECT")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from zonewise.operators import zones as Z
 from zonewise.plans import sql as S
 from zonewise.plans.registry import plan
-from zonewise.schemas import CHANGE_RECORD
+from zonewise.sources import envelopes
 from zonewise.sources import tables as tb
 from zonewise.sources.fixed import seed_zones
 
@@ -81,7 +81,7 @@ def change_records(spark: SparkSession, sf_dir: str) -> DataFrame:
       'OldImage', if(op = 'INSERT', null, {image}),
       'SequenceNumber', string(seq))))"""
     raw = tb.order_changes(spark, sf_dir).selectExpr(f"{text} AS raw")
-    return raw.select(F.from_json("raw", CHANGE_RECORD).alias("r")).select("r.*")
+    return envelopes.decode_change_records(raw)
 
 
 @plan(

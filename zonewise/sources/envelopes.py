@@ -6,16 +6,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from zonewise.schemas import BREACH, DELIVERY
+from zonewise.functions.once import once
+from zonewise.schemas import BREACH, CHANGE_RECORD, DELIVERY
 
 
 def _decoded(df: DataFrame, text: str, schema: StructType, name: str) -> DataFrame:
     """Adds the parsed record and ``decode_error`` (null when the text is a JSON object)."""
     object_text = F.ltrim(F.col(text)).startswith("{") & F.try_parse_json(F.col(text)).isNotNull()
     usable = F.coalesce(object_text, F.lit(False))
-    return df.withColumn(
-        "decode_error", F.when(~usable, F.lit("undecodable record"))
-    ).withColumn(name, F.when(usable, F.from_json(text, schema)))
+    read = df.withColumn("__ok", usable).withColumn(name, once(F.when(F.col("__ok"), F.from_json(text, schema))))
+    return read.withColumn("decode_error", F.when(~F.col("__ok"), F.lit("undecodable record"))).drop("__ok")
 
 
 def decode_stream_records(records: DataFrame, data: str = "data") -> DataFrame:
@@ -33,3 +33,8 @@ def encode_stream_records(breaches: DataFrame, *keep: str) -> DataFrame:
     """Breach events as base64 JSON in ``data``."""
     event = F.struct(*[F.col(f.name) for f in BREACH])
     return breaches.select(*keep, F.base64(F.to_json(event).cast("binary")).alias("data"))
+
+
+def decode_change_records(lines: DataFrame, raw: str = "raw") -> DataFrame:
+    """JSON lines of zone change records as ``schemas.CHANGE_RECORD`` columns."""
+    return lines.select(once(F.from_json(raw, CHANGE_RECORD)).alias("r")).select("r.*")
