@@ -140,8 +140,11 @@ def crossings(moves: DataFrame, index: ZoneIndex, breaches_only: bool = False) -
 # ---------------------------------------------------------------- breach events
 
 
-def breach_event(rows: DataFrame) -> DataFrame:
-    """Flat crossing rows (position columns, zone columns, ``edge``, ``edges``) as breach events."""
+def breach_event(rows: DataFrame, read: str = "null", emit: str = "null") -> DataFrame:
+    """Flat crossing rows (position columns, zone columns, ``edge``, ``edges``) as breach events.
+
+    ``read`` and ``emit`` are SQL expressions of the processor's stamps, where known.
+    """
     outside = f"if(edge = '{ENTRY}', 0D, {G.edges_distance_sql('lat', 'lon', 'edges')})"
     return rows.selectExpr(
         "vehicleId",
@@ -152,7 +155,8 @@ def breach_event(rows: DataFrame) -> DataFrame:
         f"round({outside}, 1) AS distanceOutsideM",
         "0L AS durationInStateS",
         "struct(speed, ignition, fuelLevel, gear, engineTemperature, brakeFluidLevel, doorOpen) AS vehicle",
-        "struct(timestamp AS eventTime, ingestTime, bigint(null) AS flinkRead, bigint(null) AS flinkEmit) AS trace",
+        f"""struct(timestamp AS eventTime, ingestTime, bigint({read}) AS flinkRead, bigint({emit}) AS flinkEmit)
+            AS trace""",
         "seq",
     )
 
