@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,7 +13,9 @@ from zonewise.operators.zones import zone_versions
 from zonewise.plans import sql as S
 from zonewise.plans.registry import plan
 from zonewise.sources import tables as tb
+from zonewise.session import shared_dir, table_path
 from zonewise.sources.fixed import ROUTES, seed_zones
+from zonewise.streaming.breaches import breach_stream, state_store
 
 def flat_breaches(found: DataFrame) -> DataFrame:
     return found.select(
@@ -232,6 +236,34 @@ def breaches_versioned(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _flat_versioned(X.breaches_versioned(tb.telemetry(spark, sf_dir), versions))
 
 
+@plan(
+    "c3_stream_breaches",
+    S.with_(S.TELEMETRY, S.CHANGES, S.VERSIONS, _JUDGED.format(cap=1000), _VERSIONED, select=_VERSIONED_BREACHES),
+)
+def stream_breaches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same as ``c2_breaches_versioned``, found by the streaming job over the same rows."""
+    folder = f"{shared_dir(spark)}/stream-{uuid.uuid4()}"
+
+    def stream(name: str) -> DataFrame:
+        source = tb.read_table(spark, sf_dir, name)
+        files = table_path(sf_dir, name).replace(".parquet", "*.parquet")
+        return spark.readStream.schema(source.schema).parquet(files)
+
+    telemetry = tb.telemetry_of(stream("events"))
+    rules = tb.order_changes_of(stream("orders"))
+    found = breach_stream(telemetry, rules)
+    with state_store(spark):
+        query = (
+            found.writeStream.format("parquet")
+            .option("path", f"{folder}/out")
+            .option("checkpointLocation", f"{folder}/checkpoint")
+            .trigger(availableNow=True)
+            .start()
+        )
+        query.awaitTermination()
+    return _flat_versioned(spark.read.schema(found.schema).parquet(f"{folder}/out"))
+
+
 # The seed zones switched on ten days into the events: what came before waits for them.
 _LATE_SEED = """
 versions AS (

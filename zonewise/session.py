@@ -8,6 +8,8 @@ import tempfile
 from pyspark.sql import SparkSession
 
 CHECKPOINT_DIR_KEY = "spark.checkpoint.dir"
+STATE_STORE_KEY = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB_STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 def local_session(
@@ -31,10 +33,7 @@ def local_session(
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        .config(
-            "spark.sql.streaming.stateStore.providerClass",
-            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
-        )
+        .config(STATE_STORE_KEY, ROCKSDB_STATE_STORE)
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")

@@ -20,11 +20,17 @@ def epoch_millis_sql(ts: str) -> str:
 
 
 def telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``events`` as canonical telemetry, plus the later stamps of each record's way.
+    """``events`` as canonical telemetry, plus the later stamps of each record's way."""
+    return telemetry_of(read_table(spark, sf_dir, "events"))
 
-    Columns beyond the canonical schema: ``flinkRead``, ``flinkEmit``, ``alertsArrival``.
+
+def telemetry_of(events: DataFrame) -> DataFrame:
+    """Event rows, batch or streaming, as canonical telemetry.
+
+    Columns beyond the canonical schema: ``flinkRead``, ``flinkEmit``, ``alertsArrival``,
+    ``event_type`` and ``value``.
     """
-    stamped = read_table(spark, sf_dir, "events").selectExpr(
+    stamped = events.selectExpr(
         "concat('veh-', lpad(string(user_id), 5, '0')) AS vehicleId",
         "event_id AS seq",
         f"{epoch_millis_sql('ts')} AS timestamp",
@@ -109,7 +115,12 @@ def supplier_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def order_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders read as edits of customer zones, spread over the event month."""
-    zoned = read_table(spark, sf_dir, "orders").withColumn("zone", F.expr("o_custkey div 15"))
+    return order_changes_of(read_table(spark, sf_dir, "orders"))
+
+
+def order_changes_of(orders: DataFrame) -> DataFrame:
+    """Order rows, batch or streaming, as zone edits."""
+    zoned = orders.withColumn("zone", F.expr("o_custkey div 15"))
     return zoned.selectExpr(
         "CASE o_orderstatus WHEN 'O' THEN 'INSERT' WHEN 'F' THEN 'MODIFY' ELSE 'REMOVE' END AS op",
         "concat('cust-', zone) AS id",
