@@ -50,7 +50,7 @@ def location_text(location: Column) -> Column:
 
 def _metres(value: Column) -> Column:
     """Shortest text of a double, without an exponent."""
-    return F.when(F.abs(value) < 1e7, value.cast("string")).otherwise(F.format_string("%.1f", value))
+    return F.when(F.abs(value) < 1e7, value.cast("string")).when(value.isNotNull(), F.format_string("%.1f", value))
 
 
 def _facts() -> dict[str, Column]:

@@ -232,8 +232,9 @@ def edges_versioned(
 
     The second and third case concern only positions inside a zone next to an edit.
     """
-    # The zone log is read for the index, the periods and the final lookup: computed once.
-    spans = materialize(with_activity(versions))
+    # The zone log is small beside the positions and read for the index, the periods and the
+    # final lookup: computed once.
+    spans = materialize(with_activity(materialize(versions)))
     facts = spans.agg(
         F.min("valid_from").alias("first_active"),
         F.count(F.lit(1)).alias("versions"),
@@ -292,7 +293,7 @@ def edges_versioned(
     if loose:
         # Their zone columns come from the version in force at the crossing.
         in_force = index.zones.select("zoneId", "zoneName", "zoneKind", "edges", "valid_from")
-        rows = reduce(DataFrame.unionByName, loose)
+        rows = materialize(reduce(DataFrame.unionByName, loose))
         dated = asof_join(rows, in_force, ["zoneId"], "clock", "valid_from", "version", span=span_ms)
         results.append(
             dated.select(*base, "zoneId", "version.zoneName", "version.zoneKind", "edge", "version.edges")
@@ -325,7 +326,7 @@ def _gap_crossings(positions: DataFrame, ends: DataFrame, spans: DataFrame, span
     ).where(F.col("first.clock") < F.col("activity_to"))
 
     marks = (
-        visits.select("vehicleId", "zoneId", "activity_from", "first")
+        materialize(visits.select("vehicleId", "zoneId", "activity_from", "first"))
         .unionByName(ends, allowMissingColumns=True)
         .groupBy("vehicleId", "zoneId", "activity_from")
         .agg(

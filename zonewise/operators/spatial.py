@@ -27,7 +27,7 @@ CELLS_PER_ZONE = 64
 BASE_SLOT_MS = 3_600_000
 SLOT_GROWTH = 8
 SLOT_LEVELS = 6
-SLOTS_PER_VERSION = 16
+SLOTS_PER_VERSION = 4
 ALWAYS = SLOT_LEVELS  # level of versions too long, or open-ended, for slots
 
 BROADCAST_LIMIT_BYTES = 64 << 20
