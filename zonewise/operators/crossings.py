@@ -82,6 +82,15 @@ def flat_positions(telemetry: DataFrame) -> DataFrame:
     )
 
 
+def co_partition(positions: DataFrame, segment: Column | None = None) -> DataFrame:
+    """Positions hash-partitioned as detection needs them: by vehicle, long histories by segment too.
+
+    Detection does this by itself; written out for jobs that store positions partitioned.
+    """
+    segment = span_segment("seq", ARRIVALS_PER_SEGMENT) if segment is None else segment
+    return positions.repartition(F.col("vehicleId"), segment)
+
+
 def hops(
     positions: DataFrame,
     order: tuple[str, ...] = ("seq",),

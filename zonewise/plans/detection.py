@@ -141,6 +141,19 @@ def boundary_distance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return inside.select("vehicleId", "seq", "zoneId", F.round(distance, 3).alias("distance_m"))
 
 
+@plan(
+    "b16_co_partition",
+    S.with_(S.TELEMETRY, select="SELECT vehicleId, count(*) AS positions, 1::BIGINT AS tasks FROM telemetry GROUP BY vehicleId"),
+)
+def co_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All positions of a vehicle (within one segment) meet in one task."""
+    placed = X.co_partition(tb.telemetry(spark, sf_dir).select("vehicleId", "seq")).withColumn(
+        "task", F.spark_partition_id()
+    )
+    per_task = placed.groupBy("vehicleId", "task").agg(F.count(F.lit(1)).alias("n"))
+    return per_task.groupBy("vehicleId").agg(F.sum("n").alias("positions"), F.count(F.lit(1)).alias("tasks"))
+
+
 @plan(
     "e2_edge_sequence",
     """

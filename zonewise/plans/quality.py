@@ -11,6 +11,7 @@ from zonewise.plans import sql as S
 from zonewise.plans.detection import seed_breaches
 from zonewise.plans.registry import plan
 from zonewise.schemas import BREACH, TELEMETRY
+from zonewise.sources import streams
 from zonewise.sources import tables as tb
 from zonewise.sources.fixed import ROUTES
 
@@ -48,6 +49,23 @@ def telemetry_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+_WINDOW = (1704067200000 + 5 * 86_400_000, 1704067200000 + 12 * 86_400_000)
+
+
+@plan(
+    "a6_window_read",
+    S.with_(
+        S.TELEMETRY,
+        select=f"""
+SELECT vehicleId, seq, ingestTime FROM telemetry WHERE ingestTime >= {_WINDOW[0]} AND ingestTime < {_WINDOW[1]}""",
+    ),
+)
+def window_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One week of arrivals: the bounded read of a verification window."""
+    rows = tb.telemetry(spark, sf_dir).select("vehicleId", "seq", "ingestTime")
+    return streams.read_window(rows, "ingestTime", *_WINDOW)
+
+
 def _damaged(spark: SparkSession, sf_dir: str) -> DataFrame:
     """JSON lines some of which are broken in the ways the parser must survive."""
     return tb.telemetry(spark, sf_dir).selectExpr(
