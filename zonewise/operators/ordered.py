@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 # Rows (or arrival numbers) per segment: large enough that border rows stay a few percent
 # of a fleet's data, small enough that one segment sorts inside an executor.
 ARRIVALS_PER_SEGMENT = 1 << 24
-MILLIS_PER_SEGMENT = 6 * 3_600_000
+MILLIS_PER_SEGMENT = 3_600_000
 
 _SEGMENT = "__segment"
 _HEAD = "__head"

@@ -11,7 +11,7 @@ from zonewise.operators import triage
 from zonewise.plans import sql as S
 from zonewise.plans.detection import seed_breaches
 from zonewise.plans.registry import plan
-from zonewise.plans.triage import BASELINE_SQL, DECISIONS_SQL, decided
+from zonewise.plans.triage import DECISIONS_SQL, decided
 from zonewise.schemas import BREACH
 from zonewise.sources import envelopes
 from zonewise.sources import tables as tb
