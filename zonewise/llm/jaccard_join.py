@@ -245,11 +245,13 @@ def _verify(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
 
 def _differences(members: DataFrame, sets: DataFrame) -> DataFrame:
     """``root, key, n, n_p, d, items``, stored: how each member of a cluster differs from its pivot."""
-    firsts = materialize(members.groupBy("sig").agg(F.min("key").alias("a"), F.count(F.lit(1)).alias("size")))
-    placed = materialize(members.join(firsts, "sig").select("a", "size", "key"))
-    found = components(placed.select("a", F.col("key").alias("b")).filter("a <> b").distinct())
-    # The pivot is the member that meets the most others, as a rule the text that the others were made from.
-    met = materialize(placed.groupBy("key").agg(F.sum("size").alias("met")))
+    # A member that meets many others is as a rule the text that the others were made from.  Buckets are tied
+    # together at such members, which are the same in many buckets, and one of them is the pivot.
+    sizes = materialize(members.groupBy("sig").agg(F.count(F.lit(1)).alias("size")))
+    met = materialize(members.join(sizes, "sig").groupBy("key").agg(F.sum("size").alias("met")))
+    ranked = materialize(members.select("sig", "key").join(met, "key"))
+    centres = materialize(ranked.groupBy("sig").agg(F.max(F.struct("met", "key")).alias("m")).select("sig", F.col("m.key").alias("a")))
+    found = components(ranked.join(centres, "sig").filter("a <> key").select("a", F.col("key").alias("b")))
     central = found.join(met, "key").groupBy("root").agg(F.max(F.struct("met", "key")).alias("m"))
     central = materialize(central.select("root", F.col("m.key").alias("pivot")))
     clusters = found.join(central, "root").select("key", F.col("pivot").alias("root"))
