@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -9,9 +10,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from zonewise.session import materialize, table_path
+from zonewise.session import materialize, shared_dir, table_path
 
-__all__ = ["as_text", "ascii_lower", "field", "map_rows", "materialize", "read", "table_path"]
+__all__ = ["as_text", "ascii_lower", "field", "map_rows", "materialize", "read", "stored", "table_path"]
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
@@ -35,6 +36,18 @@ def read(spark, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(table_path(sf_dir, name))
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """``df`` written to the shared folder and read again.
+
+    For loops: unlike a checkpoint, the table read again knows its true size.  The size estimate of a
+    checkpoint is that of its plan, which multiplies with every join of a loop.
+    """
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def map_rows(df: DataFrame, function, added: dict[str, str], drop: tuple[str, ...] = ()) -> DataFrame:
     """Append columns that ``function`` computes batch by batch.
 
