@@ -8,8 +8,8 @@ the sum of rate x tokens x probability over all documents, should match the doma
 
 by accelerated projected gradient descent.  A document's gradient depends on the others only through the
 residual of each domain.  So a step is one distributed sum over all documents, and what returns to the driver is one
-number for each domain; the rates themselves are never stored but follow from the list of residuals, in a
-fold of built-in functions.
+number for each domain; the rates themselves are never stored but follow from the list of residuals, worked out
+batch by batch.
 
 Learning uses at most about ``SAMPLE_ROWS`` labelled rows, chosen by a hash of the id; rows with a null label are left
 out.  Without labelled rows, or with one domain, all rates are the same.  A null or empty text has no tokens; its rate
@@ -30,7 +30,7 @@ from zonewise.llm.ngrams import fit_classes, softmax, word_counts
 
 SAMPLE_ROWS = 4000
 FEATURES = 4096
-STEPS = 60
+STEPS = 40
 RIDGE = 1e-3
 TOLERANCE = 1e-4
 SHARPNESS = 1.0
@@ -121,19 +121,32 @@ def memberships(docs: DataFrame, model: DomainModel, text_col: str = "text") ->
     return map_rows(docs, _posteriors(shared, text_col), {"n_tokens": "long", "posteriors": "array<double>"})
 
 
-def _rate(history: list[tuple[list[float], float]], ridge: float, posteriors: Column, ahead: bool) -> Column:
-    """The rate after the steps so far, or the point ahead of it where the next gradient is taken."""
-    steps = F.array(*[F.struct(F.array(*[F.lit(float(g)) for g in gs]).alias("g"), F.lit(float(m)).alias("m")) for gs, m in history])
-    first = F.struct(F.lit(1.0).alias("r"), F.lit(1.0).alias("y"))
-    if not history:
-        return F.lit(1.0)
+def rates(posteriors: np.ndarray, history: list, ridge: float) -> tuple[np.ndarray, np.ndarray]:
+    """The rates after the steps so far, and the points ahead of them where the next gradient is taken."""
+    now = ahead = np.ones(len(posteriors))
+    for residual, pull in history:
+        new = np.maximum(0, ahead - (posteriors @ np.array(residual) + ridge * (ahead - 1)) / (1 + ridge))
+        now, ahead = new, new + pull * (new - now)
+    return now, ahead
 
-    def step(state, s):
-        slope = F.aggregate(F.zip_with(posteriors, s["g"], lambda p, g: p * g), F.lit(0.0), lambda a, x: a + x)
-        new = F.greatest(F.lit(0.0), state["y"] - (slope + F.lit(ridge) * (state["y"] - 1.0)) / F.lit(1.0 + ridge))
-        return F.struct(new.alias("r"), (new + s["m"] * (new - state["r"])).alias("y"))
 
-    return F.aggregate(steps, first, step)["y" if ahead else "r"]
+def _matrix(column, width: int) -> np.ndarray:
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
+
+
+def _sums(width: int, history: list, ridge: float, at_rates: bool):
+    """For each batch one row for each domain: its expected tokens."""
+
+    def run(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            p = _matrix(batch.column(1), width)
+            rate = rates(p, history, ridge)[0 if at_rates else 1]
+            sums = (batch.column(0).to_numpy() * rate) @ p
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(width)), pa.array(sums)], names=["domain", "tokens"])
+
+    return run
 
 
 @dataclass
@@ -144,8 +157,14 @@ class Mix:
     targets: dict[str, float]
     expected: dict[str, float]
 
-    def rate(self, posteriors: str = "posteriors") -> Column:
-        return _rate(self.history, self.ridge, F.col(posteriors), False)
+    def rated(self, members: DataFrame) -> DataFrame:
+        """``members`` with the column ``rate``."""
+        width, history, ridge = len(self.model.domains), self.history, self.ridge
+
+        def start():
+            return lambda batch: [rates(_matrix(batch.column(batch.schema.get_field_index("posteriors")), width), history, ridge)[0]]
+
+        return map_rows(members, start, {"rate": "double"})
 
 
 def solve(members: DataFrame, model: DomainModel, targets: dict[str, float], steps: int = STEPS, ridge: float = RIDGE) -> Mix:
@@ -156,22 +175,20 @@ def solve(members: DataFrame, model: DomainModel, targets: dict[str, float], ste
     total = members.agg(F.coalesce(F.sum("n_tokens"), F.lit(0))).first()[0]
     history: list[tuple[list[float], float]] = []
 
-    def expected(ahead: bool) -> np.ndarray:
-        rate = _rate(history, ridge, F.col("posteriors"), ahead)
-        # A document's rate is worked out once and then used for every domain.
-        parts = members.select(F.col("n_tokens").cast("double").alias("t"), "posteriors", F.explode(F.array(rate)).alias("rate"))
-        row = parts.agg(*[F.coalesce(F.sum(F.col("t") * F.col("rate") * F.col("posteriors")[i]), F.lit(0.0)) for i in range(width)]).first()
-        return np.array(row, float) / max(total, 1)
+    def expected(at_rates: bool) -> np.ndarray:
+        parts = members.select("n_tokens", "posteriors").mapInArrow(_sums(width, list(history), ridge, at_rates), "domain long, tokens double")
+        found = {r[0]: r[1] for r in parts.groupBy("domain").agg(F.sum("tokens")).collect()}
+        return np.array([found.get(i, 0.0) for i in range(width)]) / max(total, 1)
 
     momentum = 1.0
     for _ in range(steps if total and width > 1 else 0):
-        residual = expected(True) - share
+        residual = expected(False) - share
         following = (1 + np.sqrt(1 + 4 * momentum**2)) / 2
         history.append((residual.tolist(), (momentum - 1) / following))
         momentum = following
         if np.abs(residual).max() < TOLERANCE:
             break
-    reached = expected(False) * total
+    reached = expected(True) * total
     return Mix(model, history, ridge, dict(zip(model.domains, share * total)), dict(zip(model.domains, reached)))
 
 
@@ -182,7 +199,7 @@ def mixed(docs: DataFrame, mix: Mix, id_col: str = "doc_id", text_col: str = "te
     rate's fraction is settled by a hash of the id, and a document with a positive rate stands once at least.
     """
     members = memberships(docs.select(F.struct("*").alias("x_row"), field(text_col).alias("x_text")), mix.model, "x_text")
-    rated = members.select("x_row", F.explode(F.array(mix.rate())).alias("rate")).filter("rate > 0")
+    rated = mix.rated(members.select("x_row", "posteriors")).filter("rate > 0")
     fraction = F.pmod(F.xxhash64(F.col("x_row").getField(id_col), F.lit("copies")), F.lit(1 << 20)) / F.lit(1 << 20)
     copies = F.greatest(F.lit(1), F.floor("rate").cast("int") + (fraction < F.col("rate") - F.floor("rate")).cast("int"))
     counted = rated.withColumn("copies", copies)

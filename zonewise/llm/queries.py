@@ -92,7 +92,7 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     members = materialize(mixing.memberships(docs, model).drop("text"))
     mix = mixing.solve(members, model, TARGETS)
     shares = [F.col("posteriors")[i].alias(f"p_{d}") for i, d in enumerate(model.domains)]
-    return members.select("doc_id", "n_tokens", mix.rate().alias("rate"), *shares)
+    return mix.rated(members).select("doc_id", "n_tokens", "rate", *shares)
 
 
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
