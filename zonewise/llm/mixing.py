@@ -77,7 +77,7 @@ def train(
     # Rare domains are taken whole, as far as an even share of the sample goes.
     each, steps = max(1, rows // len(sizes)), 1 << 20
     limits = F.create_map(*[F.lit(x) for k, n in sorted(sizes.items()) for x in (k, min(steps, steps * each // n + 1))])
-    chosen = materialize(known.filter(F.pmod(F.xxhash64("x_id"), F.lit(steps)) < F.element_at(limits, "x_domain")))
+    chosen = materialize(known.filter(F.pmod(F.xxhash64("x_id"), F.lit(steps)) < F.element_at(limits, F.col("x_domain"))))
     # About ``rows`` rows of two columns, so their size is bounded.
     texts = docs.select(field(id_col).alias("x_id"), field(text_col).alias("x_text")).join(F.broadcast(chosen), "x_id")
     got = map_rows(texts, _features(features), {"x_features": "binary"}, drop=("x_text",)).collect()
@@ -88,9 +88,8 @@ def train(
     x = np.array([np.frombuffer(r["x_features"], np.float16) for r in got], np.float32)
     of = np.array([domains.index(r["x_domain"]) for r in got])
     weights, offset = fit_classes(x, of, len(domains))
-    # The sample is even over the domains; the offsets are put back to the shares of the labelled table.
-    seen = np.bincount(of, minlength=len(domains)) + 1.0
-    prior = np.array([sizes[d] for d in domains]) / seen
+    # In training the domains weigh the same; the offsets are put back to the shares of the labelled table.
+    prior = np.array([sizes[d] for d in domains], float)
     return DomainModel(domains, weights, (offset + np.log(prior / prior.sum())).astype(np.float32))
 
 

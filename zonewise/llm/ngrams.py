@@ -74,7 +74,9 @@ def softmax(scores: np.ndarray) -> np.ndarray:
     return e / e.sum(axis=-1, keepdims=True)
 
 
-def fit_classes(x: np.ndarray, labels: np.ndarray, classes: int, steps: int = 300, rate: float = 20.0, decay: float = 1e-5):
-    """Softmax regression."""
+def fit_classes(x: np.ndarray, labels: np.ndarray, classes: int, steps: int = 300, rate: float = 10.0, decay: float = 1e-5):
+    """Softmax regression in which every class weighs the same."""
     target = np.eye(classes, dtype=np.float32)[labels]
-    return descend(x, lambda s: softmax(s) - target, classes, steps, np.float32(rate), np.float32(decay))
+    sizes = np.maximum(1, np.bincount(labels, minlength=classes))
+    weight = (len(labels) / (classes * sizes[labels])).astype(np.float32)[:, None]
+    return descend(x, lambda s: weight * (softmax(s) - target), classes, steps, np.float32(rate), np.float32(decay))
