@@ -59,7 +59,7 @@ def map_rows(df: DataFrame, function, added: dict[str, str], drop: tuple[str, ..
     kept = [f for f in df.schema.fields if f.name.lower() not in gone]
     extra = T._parse_datatype_string(", ".join(f"`{n}` {t}" for n, t in added.items()))
     schema = T.StructType(kept + extra.fields)
-    names = [f.name for f in kept]
+    given, names = df.columns, [f.name for f in kept]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark.sql.pandas.types import to_arrow_type
@@ -68,9 +68,12 @@ def map_rows(df: DataFrame, function, added: dict[str, str], drop: tuple[str, ..
         work = None
         for batch in batches:
             work = work or function()
+            batch = batch.rename_columns(given)
             values = work(batch)
             arrays = [batch.column(batch.schema.get_field_index(n)) for n in names]
             arrays += [v if isinstance(v, (pa.Array, pa.ChunkedArray)) else pa.array(v, t) for v, t in zip(values, types)]
-            yield pa.RecordBatch.from_arrays(arrays, names=[*names, *added])
+            yield pa.RecordBatch.from_arrays(arrays, names=[f"c{i}" for i in range(len(arrays))])
 
-    return df.mapInArrow(run, schema)
+    # Columns travel under plain names, as names with dots are not taken.
+    plain = T.StructType([T.StructField(f"c{i}", f.dataType) for i, f in enumerate(schema)])
+    return df.toDF(*[f"c{i}" for i in range(len(given))]).mapInArrow(run, plain).toDF(*schema.names)
