@@ -101,12 +101,12 @@ def test_positions_before_the_first_zone_are_replayed(spark, points, want):
     assert types(found) == want
 
 
-def test_hold_cap_keeps_the_newest(spark):
+def test_hold_keeps_every_early_position(spark):
     points = [(1, 1)] + [(5, 5)] * 999 + [(1, 1)]
     log = versions(spark, [change("INSERT", "excl", 10_000)])
     assert types(X.breaches_versioned(pings(spark, points), log)) == ["entry"]
     kept = X.hold_until(X.judged_positions(pings(spark, points)), 10_000)
-    assert kept.count() == 1000 and kept.agg(F.min("seq")).first()[0] == 1
+    assert kept.count() == 1001 and kept.agg(F.min("seq")).first()[0] == 0
     assert types(X.breaches_versioned(pings(spark, points), log, hold_cap=1)) == []
 
 
@@ -204,3 +204,11 @@ def test_fixed_zones_with_small_segments(spark):
     whole = X.breaches(telemetry, zones(spark, *ZONES))
     split = X.breaches(telemetry, zones(spark, *ZONES), segment=span_segment("seq", 3))
     assert sorted(map(str, whole.collect())) == sorted(map(str, split.collect())) and whole.count() > 50
+
+
+def test_positions_off_the_earth_are_outside(spark):
+    rows = spark.createDataFrame([(510005000.0, 1.0), (1e300, float("nan")), (1.5, 1.5), (None, 1.0)], "lat double, lon double")
+    from zonewise.operators.spatial import position_cell_sql
+
+    got = rows.selectExpr(f"{position_cell_sql('lat', 'lon', 0, 0.01)} AS cell").collect()
+    assert [r.cell is None for r in got] == [True, True, False, True]

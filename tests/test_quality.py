@@ -147,3 +147,11 @@ def test_ingest_stamp(spark):
     df = spark.createDataFrame([(7,)], "t long")
     assert with_ingest_time(df, "t").first().ingestTime == 7
     assert with_ingest_time(df).first().ingestTime > 1_700_000_000_000
+
+
+def test_white_space_around_a_record_loses_nothing(spark):
+    good = '{"vehicleId": "v", "location": {"latitude": 51.0, "longitude": -114.0}}'
+    raws = [f"{good}\n", f"\n{good}", f"\t{good}\r\n"]
+    rows = spark.createDataFrame([(i, r) for i, r in enumerate(raws)], "n int, raw string")
+    got = {r.n: r.poison_reason for r in ops.parse_telemetry(rows).collect()}
+    assert got == {0: None, 1: None, 2: None}

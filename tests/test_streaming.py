@@ -170,3 +170,17 @@ def test_progress_listener_gives_metric_rows(spark, folder):
 
 def test_throttle_names():
     assert len(rules_fn.THROTTLE_ERRORS) == 4
+
+
+def test_outbox_keeps_alerts_of_an_earlier_checkpoint(spark, folder):
+    from zonewise.streaming.delivery import batch_path
+
+    context = spark.sparkContext
+    rows = spark.createDataFrame([("a",)], "k string")
+    try:
+        context.setLocalProperty("sql.streaming.queryId", "one")
+        first = batch_path(folder, rows, 0)
+        context.setLocalProperty("sql.streaming.queryId", "two")
+        assert batch_path(folder, rows, 0) != first
+    finally:
+        context.setLocalProperty("sql.streaming.queryId", None)

@@ -31,7 +31,6 @@ from zonewise.session import materialize
 ENTRY = "entry"
 EXIT = "exit"
 BREACHING_EDGES = {"exclusion": (ENTRY,), "containment": (EXIT,), "dwell": (ENTRY, EXIT)}
-HOLD_CAP = 1000
 
 _ZONE_COLUMNS = ["zoneId", "zoneName", "zoneKind"]
 
@@ -204,11 +203,13 @@ def grid_edges(telemetry: DataFrame, zones: DataFrame, cell_deg: float) -> DataF
 # ---------------------------------------------------------------- live-edited zones
 
 
-def hold_until(positions: DataFrame, first_active: int, hold_cap: int = HOLD_CAP) -> DataFrame:
+def hold_until(positions: DataFrame, first_active: int, hold_cap: int | None = None) -> DataFrame:
     """Positions from before the first active zone are judged when it appears.
 
-    No more than the newest ``hold_cap`` of them are kept, by definition of the hold.
+    All of them are kept, and so are positions without a clock; ``hold_cap`` keeps the newest so many only.
     """
+    if hold_cap is None:
+        return positions.withColumn("clock", F.greatest("clock", F.lit(first_active).cast("long")))
     early = F.col("clock") < first_active
     kept = positions.where(early).orderBy(F.desc("seq")).limit(hold_cap)
     held = kept.withColumn("clock", F.lit(first_active).cast("long"))
@@ -223,7 +224,7 @@ def judged_positions(telemetry: DataFrame) -> DataFrame:
 def edges_versioned(
     telemetry: DataFrame,
     versions: DataFrame,
-    hold_cap: int = HOLD_CAP,
+    hold_cap: int | None = None,
     span_ms: int = MILLIS_PER_SEGMENT,
     breaches_only: bool = False,
 ) -> DataFrame:
@@ -370,7 +371,7 @@ def _no_crossings(positions: DataFrame) -> DataFrame:
 def breaches_versioned(
     telemetry: DataFrame,
     versions: DataFrame,
-    hold_cap: int = HOLD_CAP,
+    hold_cap: int | None = None,
     span_ms: int = MILLIS_PER_SEGMENT,
 ) -> DataFrame:
     """Breach events under live-edited zones; see ``edges_versioned``."""

@@ -59,7 +59,7 @@ def parse_telemetry(raw: DataFrame, column: str = "raw") -> DataFrame:
     def number(v: Column) -> Column:
         return F.try_variant_get(v, "$", "double")
 
-    text = F.ltrim(F.col(column))
+    text = F.ltrim(F.col(column), F.lit(" \t\n\r"))
     unreadable = rec.isNull() | (rec[CORRUPT].isNotNull() & rec["vehicleId"].isNull() & rec["location"].isNull())
     reason = (
         F.when(F.col(column).isNull(), "undecodable")
@@ -67,7 +67,7 @@ def parse_telemetry(raw: DataFrame, column: str = "raw") -> DataFrame:
             ~text.startswith("{"),
             F.when(F.try_parse_json(F.col(column)).isNull(), "undecodable").otherwise("not_object"),
         )
-        .when(unreadable | ~F.rtrim(F.col(column)).endswith("}"), "undecodable")
+        .when(unreadable | ~F.rtrim(F.col(column), F.lit(" \t\n\r")).endswith("}"), "undecodable")
         .when(
             rec["vehicleId"].isNull() | F.to_json(rec["vehicleId"]).isin(_EMPTY_IDS),
             "missing_vehicle",

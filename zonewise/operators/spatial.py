@@ -41,9 +41,11 @@ _SLOTS = 1 << 48
 
 
 def position_cell_sql(lat: str, lon: str, level: int, base: float) -> str:
+    """The cell of a position; null, and so in no zone, for coordinates that no place on earth has."""
     size = f"{base * CELL_GROWTH**level!r}D"
     row = f"{level * _WIDTH + _OFFSET}L + floor({lat} / {size})"
-    return f"({row}) * {_WIDTH}L + floor({lon} / {size}) + {_OFFSET}L"
+    cell = f"({row}) * {_WIDTH}L + floor({lon} / {size}) + {_OFFSET}L"
+    return f"CASE WHEN {lat} BETWEEN -1000 AND 1000 AND {lon} BETWEEN -1000 AND 1000 THEN {cell} END"
 
 
 def position_slot_sql(clock: str, level: int | None) -> str:

@@ -204,10 +204,7 @@ _JUDGED = """
 first_active AS (SELECT min(valid_from) AS f FROM versions WHERE active),
 judged AS (
   SELECT *, greatest(pos, f) AS clock FROM (
-    SELECT t.*, coalesce(ingestTime, timestamp) AS pos, f,
-      row_number() OVER (PARTITION BY coalesce(ingestTime, timestamp) < f ORDER BY seq DESC) AS newest
-    FROM telemetry t, first_active)
-  WHERE pos >= f OR newest <= {cap}
+    SELECT t.*, coalesce(ingestTime, timestamp) AS pos, f FROM telemetry t, first_active)
 )"""
 
 _VERSIONED = f"""
@@ -242,7 +239,7 @@ def _flat_versioned(found: DataFrame) -> DataFrame:
 
 @plan(
     "c2_breaches_versioned",
-    S.with_(S.TELEMETRY, S.CHANGES, S.VERSIONS, _JUDGED.format(cap=1000), _VERSIONED, select=_VERSIONED_BREACHES),
+    S.with_(S.TELEMETRY, S.CHANGES, S.VERSIONS, _JUDGED, _VERSIONED, select=_VERSIONED_BREACHES),
 )
 def breaches_versioned(spark: SparkSession, sf_dir: str) -> DataFrame:
     versions = zone_versions(tb.order_changes(spark, sf_dir))
@@ -251,7 +248,7 @@ def breaches_versioned(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @plan(
     "c3_stream_breaches",
-    S.with_(S.TELEMETRY, S.CHANGES, S.VERSIONS, _JUDGED.format(cap=1000), _VERSIONED, select=_VERSIONED_BREACHES),
+    S.with_(S.TELEMETRY, S.CHANGES, S.VERSIONS, _JUDGED, _VERSIONED, select=_VERSIONED_BREACHES),
 )
 def stream_breaches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same as ``c2_breaches_versioned``, found by the streaming job over the same rows."""
@@ -303,7 +300,7 @@ def _late_seed(spark: SparkSession) -> DataFrame:
 
 @plan(
     "i3_bootstrap_replay",
-    S.with_(S.TELEMETRY, S.SEED, _LATE_SEED, _JUDGED.format(cap=1000), _VERSIONED, select=_VERSIONED_BREACHES),
+    S.with_(S.TELEMETRY, S.SEED, _LATE_SEED, _JUDGED, _VERSIONED, select=_VERSIONED_BREACHES),
 )
 def bootstrap_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _flat_versioned(X.breaches_versioned(tb.telemetry(spark, sf_dir), _late_seed(spark)))
@@ -315,12 +312,12 @@ def bootstrap_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
         S.TELEMETRY,
         S.SEED,
         _LATE_SEED,
-        _JUDGED.format(cap=1000),
+        _JUDGED,
         select="SELECT vehicleId, seq, clock FROM judged WHERE pos < f",
     ),
 )
 def hold_cap(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The positions held for the first zone: the newest thousand of those before it."""
+    """The positions held for the first zone: all of those before it."""
     start = 1704067200000 + 864_000_000
     positions = X.judged_positions(tb.telemetry(spark, sf_dir))
     early = positions.where(F.col("clock") < start)

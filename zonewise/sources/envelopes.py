@@ -12,7 +12,7 @@ from zonewise.schemas import BREACH, CHANGE_RECORD, DELIVERY
 
 def _decoded(df: DataFrame, text: str, schema: StructType, name: str) -> DataFrame:
     """Adds the parsed record and ``decode_error`` (null when the text is a JSON object)."""
-    object_text = F.ltrim(F.col(text)).startswith("{") & F.try_parse_json(F.col(text)).isNotNull()
+    object_text = F.ltrim(F.col(text), F.lit(" \t\n\r")).startswith("{") & F.try_parse_json(F.col(text)).isNotNull()
     usable = F.coalesce(object_text, F.lit(False))
     read = df.withColumn("__ok", usable).withColumn(name, once(F.when(F.col("__ok"), F.from_json(text, schema))))
     return read.withColumn("decode_error", F.when(~F.col("__ok"), F.lit("undecodable record"))).drop("__ok")

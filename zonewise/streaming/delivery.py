@@ -12,13 +12,23 @@ from pyspark.sql.streaming.query import StreamingQuery
 
 from zonewise.operators import delivery as D
 
-LEDGER_SCHEMA = "dedupeKey string, expiresAt bigint, batch bigint"
+LEDGER_SCHEMA = "dedupeKey string, expiresAt bigint, query string, batch bigint"
+
+
+def query_of(rows: DataFrame) -> str:
+    """The id of the stream that hands over a micro-batch; it stays the same as long as the checkpoint does."""
+    return rows.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or "none"
+
+
+def batch_path(path: str, rows: DataFrame, batch_id: int) -> str:
+    """The partition that one micro-batch of one stream owns, and overwrites if it is repeated."""
+    return f"{path}/query={query_of(rows)}/batch={batch_id}"
 
 
 class Outbox:
     """Alert rows and the ledger of delivered keys, as tables in shared storage.
 
-    Each micro-batch owns one partition (``batch=N``) of both tables and overwrites it, and
+    Each micro-batch of a stream owns one partition (``query=Q/batch=N``) of both tables and overwrites it, and
     reads only the claims of other batches.  A repeated batch therefore finds the same
     claims, writes the same rows, and delivers each key once.
     """
@@ -36,7 +46,7 @@ class Outbox:
         self.ttl_days, self.now_s, self.drafted = ttl_days, now_s, drafted
         # An empty first partition, so that the ledger can be read before any delivery.
         empty = spark.createDataFrame([], "dedupeKey string, expiresAt bigint")
-        empty.write.mode("overwrite").parquet(f"{ledger}/batch=-1")
+        empty.write.mode("overwrite").parquet(f"{ledger}/query=none/batch=-1")
 
     def claims(self, spark: SparkSession) -> DataFrame:
         return spark.read.schema(LEDGER_SCHEMA).parquet(self.ledger)
@@ -44,11 +54,11 @@ class Outbox:
     def write(self, messages: DataFrame, batch_id: int) -> None:
         """Deliver one micro-batch of delivery messages (``dedupeKey``, ``decision``, ``breach``, ``seq``)."""
         now = self.now_s()
-        others = self.claims(messages.sparkSession).where(F.col("batch") < batch_id)
+        others = self.claims(messages.sparkSession).where(~((F.col("query") == query_of(messages)) & (F.col("batch") == batch_id)))
         new = D.undelivered(messages, others, now).persist()
         try:
-            D.outbox(new, self.drafted).write.mode("overwrite").parquet(f"{self.outbox}/batch={batch_id}")
-            D.claims(new, now, self.ttl_days).write.mode("overwrite").parquet(f"{self.ledger}/batch={batch_id}")
+            D.outbox(new, self.drafted).write.mode("overwrite").parquet(batch_path(self.outbox, messages, batch_id))
+            D.claims(new, now, self.ttl_days).write.mode("overwrite").parquet(batch_path(self.ledger, messages, batch_id))
         finally:
             new.unpersist()
 
@@ -80,7 +90,7 @@ def metric_sink(path: str) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` writer of metric rows; a repeated batch overwrites its own partition."""
 
     def write(rows: DataFrame, batch_id: int) -> None:
-        rows.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        rows.write.mode("overwrite").parquet(batch_path(path, rows, batch_id))
 
     return write
 
@@ -91,7 +101,7 @@ def dead_letter_sink(
     """A ``foreachBatch`` writer that sends rows with an error aside and hands on the rest."""
 
     def write(rows: DataFrame, batch_id: int) -> None:
-        rows.where(F.col(error).isNotNull()).write.mode("overwrite").parquet(f"{dead_letters}/batch={batch_id}")
+        rows.where(F.col(error).isNotNull()).write.mode("overwrite").parquet(batch_path(dead_letters, rows, batch_id))
         good(rows.where(F.col(error).isNull()).drop(error), batch_id)
 
     return write
