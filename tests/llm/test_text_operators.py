@@ -102,14 +102,20 @@ def test_jaccard_join_odd_rows(odd):
     assert jaccard_join.classes(odd.limit(0)).collect() == []
 
 
-def test_signatures_of_linked_sets_meet():
+@pytest.mark.parametrize("num", [90, 80])
+@pytest.mark.parametrize("bits", [64, 61, 58])
+def test_signatures_of_linked_sets_meet(num, bits):
+    """Elements below ``2^bits`` leave most ranges of the hash empty; sets differ as much as links may."""
     import numpy as np
 
-    rng, signer = np.random.default_rng(1), jaccard_join.Signer(90, 100)
-    for n in [*range(1, 60), 200, 999]:
-        a = rng.integers(0, 2**64, n, np.uint64)
-        cut = n - int(-(-n * 90 // 100))
-        b = np.concatenate((a[cut:], rng.integers(0, 2**64, 0, np.uint64)))
+    rng, signer = np.random.default_rng(bits), jaccard_join.Signer(num, 100)
+    for n in [*range(1, 60), *rng.integers(60, 1500, 150)]:
+        union = rng.integers(0, 2**bits, n, np.uint64)
+        cut = n - int(-(-n * num // 100))
+        left = int(rng.integers(0, cut + 1))
+        # Differing elements spread over the hash, or side by side in it.
+        union = np.sort(union) if rng.random() < 0.5 else union
+        a, b = union[left:], np.concatenate((union[:left], union[cut:]))
         assert set(signer(np.unique(a)).tolist()) & set(signer(np.unique(b)).tolist()), n
 
 

@@ -5,10 +5,16 @@ A document is the set of its distinct word n-grams.  Two documents link when
 
 Sets are put into bands of similar size.  Linked sets of a band differ in at most ``k`` elements, a
 number that follows from the threshold and the band.  The domain of n-grams (their 64-bit hashes) is cut
-into ``k // 2 + 1`` first-level parts, so that in some part linked sets differ in at most one element;
-each part is cut into three, and each choice of two of the three is a signature: the difference falls into
-at most one third, so the other two agree and linked sets share a signature.  A set also signs for the next
-band if it is large enough to link into it.
+into first-level parts, each part into three, and each choice of two of the three is a signature.  One
+differing element in a part spoils two of its signatures, two can spoil all three; with ``k // 2 + 1`` parts
+linked sets share a signature.  A set also signs for the next band if it is large enough to link into it.
+
+Half as many parts again are added to those, and a set leaves out its weakest signatures: those that cover few
+elements, and so are shared by chance (two sets without any element in a range agree there).  Signatures have
+a weight, which is the same for all sets that share them: the elements covered, ties by hash.  A set keeps the
+weights from the largest ``t`` at which spoiling all that it keeps takes more than ``k`` elements.
+No link is lost: of two linked sets, the one with the larger ``t`` is sure to share a signature of weight ``t``
+or more, and the other keeps that too.
 
 Sets that share a signature are candidates, and each link is decided by counting.  Members of a bucket are
 not paired with each other, as a group of near copies would give its square.  Sets connected through
@@ -25,6 +31,8 @@ Rows that repeat an id are rows of their own.  A component is named by its small
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -37,6 +45,10 @@ from zonewise.llm.components import components
 NUM, DEN = 90, 100
 SIZE = 3
 THIRDS = 3
+#: Bands widen by the largest power of the threshold up to this factor.
+BAND = 1.4
+#: One part in so many is added to those that the method needs.
+SPARE = 2
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _KNOWN_WORDS = 300_000
 
@@ -82,14 +94,16 @@ class Signer:
 
     def __init__(self, num: int, den: int):
         self.num, self.den = num, den
+        # Wide bands waste elements, as the cuts follow the largest set; narrow ones need more signatures.
+        self.power = max(1, int(math.log(BAND) / math.log(den / num))) if num < den else 1
         self.uppers: list[int] = [0]
         self.parts: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
     def band(self, size: int) -> int:
-        """The band of a set size.  Bands widen by the third power of the threshold, by 1 at least."""
+        """The band of a set size.  Bands widen by a power of the threshold, by 1 at least."""
         while self.uppers[-1] < size:
             low = self.uppers[-1] + 1
-            self.uppers.append(max(low, low * self.den**3 // self.num**3))
+            self.uppers.append(max(low, low * self.den**self.power // self.num**self.power))
         return int(np.searchsorted(self.uppers, size))
 
     def reach(self, size: int) -> int:
@@ -104,7 +118,8 @@ class Signer:
         """Borders of the thirds of all parts, and a number for each signature of the band."""
         if band not in self.parts:
             k = self.apart(band)
-            cells = THIRDS * (k // 2 + 1) if k else 1
+            least = k // 2 + 1
+            cells = THIRDS * (least + least // SPARE + 1) if k else 1
             edges = np.array([(i << 64) // cells for i in range(1, cells)], np.uint64)
             names = mix((np.arange(cells, dtype=np.uint64) + np.uint64(1)) * _ODD + np.uint64(band))
             self.parts[band] = edges, names
@@ -116,8 +131,14 @@ class Signer:
         cells = sums[at[1:]] - sums[at[:-1]]
         if len(cells) == 1:
             return mix(cells + names)
-        thirds = cells.reshape(-1, THIRDS)
-        return mix((thirds.sum(axis=1, dtype=np.uint64)[:, None] - thirds).ravel() + names)
+        thirds, counts = cells.reshape(-1, THIRDS), np.diff(at).reshape(-1, THIRDS)
+        signs = mix((thirds.sum(axis=1, dtype=np.uint64)[:, None] - thirds).ravel() + names).reshape(-1, THIRDS)
+        held = (counts.sum(axis=1)[:, None] - counts).astype(np.uint64)
+        weight = (held << np.uint64(44)) | (signs >> np.uint64(20))
+        # It takes one different element to spoil some signatures of a part, two to spoil all three.
+        worth = np.concatenate((weight.max(axis=1), weight.min(axis=1)))
+        at_least = len(worth) - self.apart(band) - 1
+        return signs[weight >= np.partition(worth, at_least)[at_least]]
 
     def __call__(self, elements: np.ndarray) -> np.ndarray:
         if not len(elements):
