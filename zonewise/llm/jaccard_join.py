@@ -5,8 +5,8 @@ A document is the set of its distinct word n-grams.  Two documents link when
 
 Sets are put into bands of similar size.  Linked sets of a band differ in at most ``k`` elements, a
 number that follows from the threshold and the band.  The domain of n-grams (their 64-bit hashes) is cut
-into first-level parts, each part into three, and each choice of two of the three is a signature.  One
-differing element in a part spoils two of its signatures, two can spoil all three; with ``k // 2 + 1`` parts
+into first-level parts, each part into two, and each choice of one of the two is a signature.  One
+differing element in a part spoils one of its signatures, two can spoil both; with ``k // 2 + 1`` parts
 linked sets share a signature.  A set also signs for the next band if it is large enough to link into it.
 
 Half as many parts again are added to those, and a set leaves out its weakest signatures: those that cover few
@@ -44,7 +44,7 @@ from zonewise.llm.components import components
 
 NUM, DEN = 90, 100
 SIZE = 3
-THIRDS = 3
+PIECES = 2
 #: Bands widen by the largest power of the threshold up to this factor.
 BAND = 1.4
 #: One part in so many is added to those that the method needs.
@@ -115,11 +115,11 @@ class Signer:
         return 2 * self.uppers[band] * (self.den - self.num) // (self.den + self.num)
 
     def _cuts(self, band: int):
-        """Borders of the thirds of all parts, and a number for each signature of the band."""
+        """Borders of the pieces of all parts, and a number for each signature of the band."""
         if band not in self.parts:
             k = self.apart(band)
             least = k // 2 + 1
-            cells = THIRDS * (least + least // SPARE + 1) if k else 1
+            cells = PIECES * (least + least // SPARE + 1) if k else 1
             edges = np.array([(i << 64) // cells for i in range(1, cells)], np.uint64)
             names = mix((np.arange(cells, dtype=np.uint64) + np.uint64(1)) * _ODD + np.uint64(band))
             self.parts[band] = edges, names
@@ -131,11 +131,11 @@ class Signer:
         cells = sums[at[1:]] - sums[at[:-1]]
         if len(cells) == 1:
             return mix(cells + names)
-        thirds, counts = cells.reshape(-1, THIRDS), np.diff(at).reshape(-1, THIRDS)
-        signs = mix((thirds.sum(axis=1, dtype=np.uint64)[:, None] - thirds).ravel() + names).reshape(-1, THIRDS)
+        pieces, counts = cells.reshape(-1, PIECES), np.diff(at).reshape(-1, PIECES)
+        signs = mix((pieces.sum(axis=1, dtype=np.uint64)[:, None] - pieces).ravel() + names).reshape(-1, PIECES)
         held = (counts.sum(axis=1)[:, None] - counts).astype(np.uint64)
         weight = (held << np.uint64(44)) | (signs >> np.uint64(20))
-        # It takes one different element to spoil some signatures of a part, two to spoil all three.
+        # It takes one different element to spoil one signature of a part, two to spoil both.
         worth = np.concatenate((weight.max(axis=1), weight.min(axis=1)))
         at_least = len(worth) - self.apart(band) - 1
         return signs[weight >= np.partition(worth, at_least)[at_least]]
@@ -232,13 +232,15 @@ def describe(docs: DataFrame, id_col: str, text_col: str, size: int = SIZE, num:
 def buckets(described: DataFrame) -> DataFrame:
     """``sig, key, n``: the members of every signature that two or more different sets share, stored."""
     signed = described.select(F.explode("x_sigs").alias("sig"), F.col("x_key").alias("key"), F.col("x_n").alias("n"))
-    shared = materialize(
-        signed.groupBy("sig").agg(F.min("key").alias("lo"), F.max("key").alias("hi")).filter("lo < hi").select("sig")
-    )
+    # Counts compress better than keys; signatures that only copies of one set share go afterwards.
+    often = signed.groupBy("sig").agg(F.count(F.lit(1)).alias("often"))
+    shared = materialize(often.filter("often > 1").select("sig"))
     words = bloom.words_for(shared.count())
     table = materialize(bloom.members(shared, F.xxhash64("sig"), words))
     likely = bloom.probe(signed, F.xxhash64("sig"), table, words, "x_maybe").filter("x_maybe").drop("x_maybe")
-    return materialize(likely.distinct().join(shared, "sig", "left_semi"))
+    members = materialize(likely.distinct().join(shared, "sig", "left_semi"))
+    met = members.groupBy("sig").agg(F.count(F.lit(1)).alias("size")).filter("size > 1").select("sig")
+    return materialize(members.join(met, "sig", "left_semi"))
 
 
 def _sets(docs, described, needed, id_col, text_col, size) -> DataFrame:
