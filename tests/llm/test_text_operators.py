@@ -286,6 +286,38 @@ def test_language_model_prefers_its_corpus(spark, odd):
     assert lm_scoring.score(odd, lm_scoring.train(odd.limit(0))).count() == len(ODD)
 
 
+def test_language_model_tells_words_of_a_bucket_apart(spark):
+    import math
+
+    import xxhash
+
+    bucket = lambda w: xxhash.xxh64_intdigest(w.encode()) % 4
+    counts = {f"top{i}": 50 for i in range(28)} | {f"w{i}": 1 + i % 9 for i in range(200)}
+    rows = [(i, f"{w} " * n) for i, (w, n) in enumerate(counts.items())]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    rare = [w for w in counts if w[0] == "w" and bucket(w) == 1]
+    mentions, types = sum(counts[w] for w in rare), len(rare)
+    new = next(f"qqxz{i}" for i in range(99) if bucket(f"qqxz{i}") == 1)
+    texts = [*rare, new, f"{new} {rare[0]} {new}"]
+    table = spark.createDataFrame([(1, t) for t in texts] + [(1, new)] * 3, "doc_id long, text string")
+    got = []
+    # All words with the tasks, some, and none.
+    for cached in (1000, 60, 0):
+        model = lm_scoring.train(docs, words=32, buckets=4, cached=cached)
+        assert len(model.listed.split()) == {1000: 228, 60: 28 + 22, 0: 28}[cached]
+        out = lm_scoring.score(table, model, words=32, buckets=4).collect()
+        assert len(out) == len(texts) + 3
+        got.append({r.text: r.log_likelihood for r in out})
+        assert all(abs(r.mean_log_likelihood - r.log_likelihood / r.lm_tokens) < 1e-9 for r in out)
+    for s in got:
+        for w in rare:
+            assert s[w] - s[rare[0]] == pytest.approx(math.log(counts[w] / counts[rare[0]]))
+        assert s[new] - s[rare[0]] == pytest.approx(math.log(types / counts[rare[0]] / 257 ** (len(new) + 1)))
+        of_bucket = s[rare[0]] - math.log(counts[rare[0]] / (mentions + types))
+        assert of_bucket < 0 and sum(math.exp(s[w]) for w in rare) + math.exp(of_bucket) * types / (mentions + types) == pytest.approx(math.exp(of_bucket))
+    assert all(s[t] == pytest.approx(got[0][t]) for s in got for t in texts)
+
+
 def test_language_model_gradient():
     import numpy as np
 

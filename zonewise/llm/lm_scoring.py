@@ -4,26 +4,35 @@ Every word is predicted from the words on both of its sides: their vectors, one
 window, are added and pass through tanh; a two-level softmax gives the probability of the word's class and of
 the word within its class.  The sum of the log-probabilities of all words is the score of a document.
 
-The vocabulary is counted over all documents.  Its ``WORDS - BUCKETS`` most frequent words are tokens of their own;
-other words share ``BUCKETS`` tokens by a hash.  Training reads all documents, each in one of ``ROUNDS`` rounds (by a hash of the
+The vocabulary is all words of all documents, counted into a stored table that grows with them.  Its ``WORDS - BUCKETS``
+most frequent words are tokens of the network; the others share ``BUCKETS`` tokens by a hash, and the probability of such a word is
+that of its bucket in the context times that of the word in its bucket, ``n / (N + T)``: ``n`` mentions of the word, ``N`` of
+all ``T`` words of the bucket.  A word never counted has the bucket's share ``T / (N + T)`` times that of its spelling, any
+byte or the end being one of 257.  The counts of up to ``CACHED`` words, the most frequent, go to the tasks; those of all others
+come by a join on the word, so none is left out.
+
+Training reads all documents, each in one of ``ROUNDS`` rounds (by a hash of the
 text): in a round each task starts from the current network and runs through its texts by minibatch gradient
 descent in numpy; the networks are averaged, weighted by their tokens, as one distributed sum for each
-parameter.  What the driver holds is one network.
+parameter.  What the driver holds is one network, totals for each bucket and the cached words.
 
 A null text, or one without words, has 0 tokens, score 0 and a null mean.  Words are runs of characters
-other than white space, lower-cased.  With no words in the corpus every text scores as under a uniform network.
+other than ASCII white space, lower-cased.  With no words in the corpus every text scores as under a uniform network and
+by the spelling of its words.
 Added columns replace input columns of the same name.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from zonewise.llm.common import as_text, field, map_rows
+from zonewise.llm.common import field, map_rows, stored
 
 WORDS = 1024
 BUCKETS = 256
@@ -34,6 +43,10 @@ ROUNDS = 4
 BATCH = 4096
 RATE = 10.0
 BLOCK = 32768
+CACHED = 1 << 17
+#: Words of one task counted together.
+COUNTED = 1 << 18
+SPELLING = float(np.log(257))
 
 
 @dataclass
@@ -130,31 +143,95 @@ def train_step(net: Network, ids: np.ndarray, edge: int, rate: float) -> None:
         table -= scale * np.bincount(places, slope.ravel(), minlength=table.size).reshape(table.shape).astype(np.float32)
 
 
+def words_of(text: str | None) -> list[bytes]:
+    return text.lower().encode("utf-8", "replace").split() if text else []
+
+
 class Encoder:
-    """Words to numbers."""
+    """Words to places: of the ``listed`` words by rank, frequent words first, then of the buckets."""
 
-    def __init__(self, vocabulary: list[str], words: int, buckets: int):
+    def __init__(self, listed: bytes, words: int, buckets: int):
         import xxhash
 
-        # Frequent words first, and dealt over the classes.
-        self.known = {w.encode(): i for i, w in enumerate(vocabulary)}
+        self.known = {w: i for i, w in enumerate(listed.split())}
         self.first, self.buckets, self.hash, self.edge = words - buckets, buckets, xxhash.xxh64_intdigest, words
+        rare = [self.first + self.bucket(w) for w in list(self.known)[self.first :]]
+        # Tokens of the network; frequent words are dealt over the classes.
+        self.tokens = np.concatenate((np.arange(min(self.first, len(self.known))), rare, self.first + np.arange(buckets))).astype(np.int32)
+
+    def bucket(self, word: bytes) -> int:
+        return self.hash(word) % self.buckets
+
+    def places(self, text: str | None) -> np.ndarray:
+        known, out, size = self.known.get, [], len(self.known)
+        for word in words_of(text):
+            place = known(word)
+            out.append(size + self.hash(word) % self.buckets if place is None else place)
+        return np.array(out, np.int32)
 
     def __call__(self, text: str | None) -> np.ndarray:
-        if not text:
-            return np.zeros(0, np.int32)
-        known, out = self.known.get, []
-        for word in text.lower().encode("utf-8", "replace").split():
-            number = known(word)
-            out.append(self.first + self.hash(word) % self.buckets if number is None else number)
-        return np.array(out, np.int32)
+        return self.tokens[self.places(text)]
+
+
+@dataclass
+class Model:
+    """``counts``: word, n of all words.  ``listed``: the most frequent words, at least those that are tokens.
+
+    ``inner``: log-probability of a listed word in its bucket; for words of a bucket that are not listed, the part without ``n``.
+    ``unseen``: for each bucket the logarithm of ``T``.
+    """
+
+    net: Network
+    listed: bytes
+    inner: np.ndarray
+    unseen: np.ndarray
+    counts: DataFrame
+
+
+def _count(words: int, buckets: int):
+    def run(batches):
+        import pyarrow as pa
 
+        encode, seen = Encoder(b"", words, buckets), Counter()
 
-def vocabulary(docs: DataFrame, text_col: str, size: int) -> list[str]:
-    """The most frequent words of all documents, ties in the order of the words."""
-    words = docs.select(F.explode(F.split(F.lower(as_text(text_col)), r"[\x20\x09-\x0D\x1C-\x1F]+")).alias("w")).filter("w <> ''")
-    counts = words.groupBy("w").agg(F.count(F.lit(1)).alias("n"))
-    return [r["w"] for r in counts.orderBy(F.desc("n"), "w").limit(size).collect()]
+        def rows():
+            names = [w.decode() for w in seen]
+            return pa.RecordBatch.from_arrays(
+                [pa.array(names, pa.string()), pa.array([encode.bucket(w) for w in seen], pa.int32()), pa.array(list(seen.values()), pa.int64())], names=["word", "bucket", "n"]
+            )
+
+        for batch in batches:
+            for text in batch.column(0).to_pylist():
+                seen.update(words_of(text))
+                if len(seen) >= COUNTED:
+                    yield rows()
+                    seen.clear()
+        if seen:
+            yield rows()
+
+    return run
+
+
+def count_words(docs: DataFrame, text_col: str, words: int, buckets: int) -> DataFrame:
+    """``word, bucket, n`` of all words of all documents, stored."""
+    counted = docs.select(field(text_col).cast("string").alias("x_text")).mapInArrow(_count(words, buckets), "word string, bucket int, n long")
+    return stored(counted.groupBy("word", "bucket").agg(F.sum("n").alias("n")))
+
+
+def _listed(counts: DataFrame, size: int, cached: int) -> list:
+    """Rows of the ``size`` most frequent words, ties in the order of the words, and of others as common as ``cached`` allows."""
+    top = counts.orderBy(F.desc("n"), "word").limit(size).collect()
+    # Levels of the counts; those are listed that fit as a whole.
+    level = F.floor(16 * F.log2("n"))
+    cut, total = None, 0
+    for r in sorted(counts.groupBy(level.alias("level")).count().collect(), key=lambda r: -r["level"]):
+        total += r["count"]
+        if total > cached:
+            break
+        cut = r["level"]
+    names = {r["word"] for r in top}
+    rest = [] if cut is None else [r for r in counts.filter(level >= cut).collect() if r["word"] not in names]
+    return top + sorted(rest, key=lambda r: (-r["n"], r["word"]))
 
 
 def _stretches(texts, encode: Encoder, span: int, size: int):
@@ -177,8 +254,8 @@ def _train_round(shared, rate: float):
     def run(batches):
         import pyarrow as pa
 
-        net, words, size, buckets = shared.value
-        net, encode, tokens = net.filled(net.flat()), Encoder(words, size, buckets), 0
+        net, listed, size, buckets = shared.value
+        net, encode, tokens = net.filled(net.flat()), Encoder(listed, size, buckets), 0
         texts = (t for batch in batches for t in batch.column(0).to_pylist())
         for ids in _stretches(texts, encode, len(net.around) // 2, BATCH):
             train_step(net, ids, encode.edge, rate)
@@ -193,10 +270,14 @@ def _train_round(shared, rate: float):
     return run
 
 
-def train(docs: DataFrame, text_col: str = "text", words: int = WORDS, buckets: int = BUCKETS, rounds: int = ROUNDS, rate: float = RATE):
-    """``network, vocabulary``, trained on all documents."""
+def train(
+    docs: DataFrame, text_col: str = "text", words: int = WORDS, buckets: int = BUCKETS, rounds: int = ROUNDS, rate: float = RATE, cached: int = CACHED
+) -> Model:
+    """The network and the word counts, both of all documents."""
     spark = docs.sparkSession
-    top = vocabulary(docs, text_col, words - buckets)
+    counts = count_words(docs, text_col, words, buckets)
+    rows = _listed(counts, words - buckets, cached)
+    top = b" ".join(r["word"].encode() for r in rows[: words - buckets])
     net = new_network(words)
     turn = F.pmod(F.xxhash64(field(text_col)), F.lit(rounds))
     texts = docs.select(field(text_col).alias("x_text"), turn.alias("x_turn")).filter("x_text IS NOT NULL")
@@ -211,13 +292,47 @@ def train(docs: DataFrame, text_col: str = "text", words: int = WORDS, buckets:
             values[np.array([r["place"] for r in means])] = [r["value"] for r in means]
             net = net.filled(values)
         shared.unpersist()
-    return net, top
+    mentions, types = np.zeros(buckets), np.zeros(buckets)
+    for r in counts.groupBy("bucket").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("types")).collect():
+        mentions[r["bucket"]], types[r["bucket"]] = r["n"], r["types"]
+    for r in rows[: words - buckets]:
+        mentions[r["bucket"]] -= r["n"]
+        types[r["bucket"]] -= 1
+    whole = np.log(np.maximum(mentions + types, 1))
+    rare = [np.log(r["n"]) - whole[r["bucket"]] for r in rows[words - buckets :]]
+    inner = np.concatenate((np.zeros(min(len(rows), words - buckets)), rare, -whole))
+    return Model(net, b" ".join(r["word"].encode() for r in rows), inner, np.log(np.maximum(types, 1)), counts.select("word", "n"))
+
+
+def _unlisted(shared):
+    """For each text its words that are not listed: ``times``, and the logarithm that stands for ``n`` if the word was never counted."""
+    def run(batches):
+        import pyarrow as pa
+
+        _, listed, size, buckets, _, unseen = shared.value
+        encode, unseen = Encoder(listed, size, buckets), unseen.tolist()
+        known = encode.known
+        for batch in batches:
+            rows, words, times, logs, first = [], [], [], [], []
+            for i, text in enumerate(batch.column(2).to_pylist()):
+                found = Counter([w for w in words_of(text) if w not in known])
+                rows += [i] * len(found)
+                words += [w.decode() for w in found]
+                times += found.values()
+                logs += [unseen[encode.bucket(w)] - (len(w) + 1) * SPELLING for w in found]
+                first += [k == 0 for k in range(len(found))]
+            if rows:
+                keys = [batch.column(k).take(pa.array(rows)) for k in (0, 1)]
+                rest = [pa.array(words, pa.string()), pa.array(times, pa.int64()), pa.array(logs, pa.float64()), pa.array(first, pa.bool_())]
+                yield pa.RecordBatch.from_arrays(keys + rest, names=["row", "of", "word", "times", "unseen", "first"])
+
+    return run
 
 
 def _score(shared, text_col: str):
     def start():
-        net, words, size, buckets = shared.value
-        encode, span = Encoder(words, size, buckets), len(net.around) // 2
+        net, listed, size, buckets, inner, _ = shared.value
+        encode, span = Encoder(listed, size, buckets), len(net.around) // 2
 
         def work(batch):
             texts = batch.column(batch.schema.get_field_index(text_col)).to_pylist()
@@ -232,25 +347,45 @@ def _score(shared, text_col: str):
                 waiting, owners, length = [], [], 0
 
             for i, text in enumerate(texts):
-                ids = encode(text)
+                places = encode.places(text)
+                ids = encode.tokens[places]
                 counts[i] = len(ids)
                 if len(ids):
+                    sums[i] += inner[places].sum()
                     waiting += [ids, gap]
                     owners.append(np.full(len(ids) + span, i))
                     length += len(ids)
                     if length >= BLOCK:
                         flush()
             flush()
-            means = [s / n if n else None for s, n in zip(sums.tolist(), counts.tolist())]
-            return [counts.tolist(), sums.tolist(), means]
+            return [counts.tolist(), sums.tolist(), [None] * len(texts)]
 
         return work
 
     return start
 
 
-def score(docs: DataFrame, model, text_col: str = "text", words: int = WORDS, buckets: int = BUCKETS) -> DataFrame:
+def _hashable(kind: T.DataType) -> bool:
+    if isinstance(kind, T.StructType):
+        return all(_hashable(f.dataType) for f in kind)
+    return _hashable(kind.elementType) if isinstance(kind, T.ArrayType) else isinstance(kind, T.AtomicType) and "variant" not in kind.typeName()
+
+
+def score(docs: DataFrame, model: Model, text_col: str = "text", words: int = WORDS, buckets: int = BUCKETS) -> DataFrame:
     """Add ``lm_tokens``, ``log_likelihood`` (natural logarithm, summed) and ``mean_log_likelihood``."""
-    net, top = model
-    shared = docs.sparkSession.sparkContext.broadcast((net, top, words, buckets))
-    return map_rows(docs, _score(shared, text_col), {"lm_tokens": "long", "log_likelihood": "double", "mean_log_likelihood": "double"})
+    shared = docs.sparkSession.sparkContext.broadcast((model.net, model.listed, words, buckets, model.inner, model.unseen))
+    # Rows of one key have the same text, so that equal rows need no telling apart; copies with other ids spread over the tasks.
+    whole = [field(f.name) for f in docs.schema if _hashable(f.dataType)]
+    keys = [F.xxhash64(*whole).alias("x_lm_row"), F.xxhash64(field(text_col)).alias("x_lm_of")]
+    found = docs.select(*keys, field(text_col).cast("string").alias("x_text")).mapInArrow(
+        _unlisted(shared), "row long, of long, word string, times long, unseen double, first boolean"
+    )
+    value = F.col("times") * F.coalesce(F.log("n"), "unseen")
+    # Equal rows give their words as often as they stand.
+    rest = found.join(model.counts, "word", "left").groupBy("row", "of").agg((F.sum(value) / F.count_if("first")).alias("x_lm_rest"))
+    scored = map_rows(docs.select("*", *keys), _score(shared, text_col), {"lm_tokens": "long", "log_likelihood": "double", "mean_log_likelihood": "double"})
+    both = scored.join(rest, (F.col("x_lm_row") == F.col("row")) & (F.col("x_lm_of") == F.col("of")), "left")
+    total = F.col("log_likelihood") + F.coalesce("x_lm_rest", F.lit(0.0))
+    mean = F.when(F.col("lm_tokens") > 0, total / F.col("lm_tokens"))
+    added = {"log_likelihood": total, "mean_log_likelihood": mean}
+    return both.select(*[added[c].alias(c) if c in added else field(c) for c in scored.columns if not c.startswith("x_lm_")])
