@@ -237,6 +237,22 @@ def test_url_rules_and_trees(spark):
     assert url_filter.judge(new, url_filter.train(new.withColumn("blocked", F.lit(None).cast("int"))), []).first().verdict == "allow"
 
 
+def test_url_suffixes_are_counted_over_all_rows(spark):
+    import math
+
+    urls = [(f"http://h{i}.{'bad' if i % 4 == 0 else 'fine'}{i % 40}.{'ru' if i % 3 else 'fr'}/{i}", int(i % 4 == 0)) for i in range(2000)]
+    model = url_filter.train(spark.createDataFrame(urls, "url string, blocked int"), max_rows=100)
+    assert model.share == 0.25
+    for table, labels, prefix in ((model.one, 1, "one"), (model.two, 2, "two")):
+        of = {}
+        for url, blocked in urls:
+            of.setdefault(".".join(url.split("/")[2].split(".")[-labels:]), []).append(blocked)
+        got = {r[f"x_{prefix}_of"]: (r[f"f_{prefix}_rate"], r[f"f_{prefix}_seen"]) for r in table.collect()}
+        assert got == {k: (pytest.approx((sum(v) + 5) / (len(v) + 20)), pytest.approx(math.log1p(len(v)))) for k, v in of.items()}
+    same = spark.createDataFrame([("http://a.b/c", 1)] * 9 + [("http://a.b/c", 0)], "url string, blocked int")
+    assert url_filter.judge(same, url_filter.train(same, max_rows=1), []).first().verdict == "block"
+
+
 def test_surrogates(spark, odd):
     texts = [
         "Mail Bob.B@x-mail.example.com or bob.b@X-MAIL.example.com, +1 (632) 555-4827 / +1 632 555 4827, card 4111 1111 1111 1111, ip 10.0.0.1.",

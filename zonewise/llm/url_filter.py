@@ -2,10 +2,11 @@
 
 The trees learn from labelled URLs (``url, blocked``); the urls that a rule decides are such labels.  Features:
 lengths, depth, labels of the host, digit ratio, entropy of the characters, parameters, and how often urls with the
-same last one or two labels of the host are blocked among the learning rows.
+same last one or two labels of the host are blocked among all labelled rows.
 
-At most about ``MAX_ROWS`` labelled rows are learned from, chosen by a hash of the url.  If they are all of one
-kind every other url gets that verdict; if there are none, ``allow``.  A null url, or one without ``://``, has an empty host
+The trees are fitted on at most about ``MAX_ROWS`` labelled rows, chosen by a hash of the url; shares and counts are those of
+all.  If all labelled rows are of one kind every other url gets that verdict; if there are none, ``allow``.  If no
+row is chosen, as there are few different urls, the overall share decides.  A null url, or one without ``://``, has an empty host
 and path, no rule, and goes to the trees with features of 0.  Added columns replace input columns of the same name.
 """
 
@@ -92,11 +93,17 @@ def _lexical(rows: DataFrame) -> DataFrame:
     )
 
 
-def _suffixes(labelled: DataFrame, name: str, prefix: str, share: float) -> DataFrame:
-    """How often a suffix is blocked among the learning rows, drawn towards the overall share."""
-    n, b = F.count(F.lit(1)), F.sum("x_blocked")
-    rate = ((b + SUFFIX_PRIOR * share) / (n + SUFFIX_PRIOR)).alias(f"f_{prefix}_rate")
-    return materialize(labelled.groupBy(F.col(name).alias(f"{name}_of")).agg(rate, F.log1p(n.cast("double")).alias(f"f_{prefix}_seen")))
+def _suffixes(rows: DataFrame, share: float) -> list[DataFrame]:
+    """How often the last label and the last two labels are blocked among all labelled rows, drawn towards the overall share."""
+    n, b = F.sum("x_n"), F.sum("x_b")
+    # The last label is part of the last two.
+    pairs = materialize(rows.groupBy("x_one", "x_two").agg(F.count(F.lit(1)).alias("x_n"), F.sum("x_blocked").alias("x_b")))
+
+    def table(name: str, prefix: str) -> DataFrame:
+        rate = ((b + SUFFIX_PRIOR * share) / (n + SUFFIX_PRIOR)).alias(f"f_{prefix}_rate")
+        return materialize(pairs.groupBy(F.col(name).alias(f"{name}_of")).agg(rate, F.log1p(n.cast("double")).alias(f"f_{prefix}_seen")))
+
+    return [table("x_one", "one"), table("x_two", "two")]
 
 
 def _with_suffixes(rows: DataFrame, model: UrlModel) -> DataFrame:
@@ -123,15 +130,18 @@ def train(labelled: DataFrame, url_col: str = "url", label_col: str = "blocked",
     rows = labelled.filter(url.isNotNull() & field(label_col).isNotNull()).select(
         url.alias("x_url"), host_of(url).alias("x_host"), path_of(url).alias("x_path"), field(label_col).cast("double").alias("x_blocked")
     )
-    count = rows.count()
-    if count > max_rows:
-        rows = rows.filter(F.pmod(F.xxhash64("x_url"), F.lit(1 << 30)) < int((1 << 30) * max_rows / count))
-    rows = materialize(_lexical(rows))
-    share = rows.agg(F.avg("x_blocked")).first()[0]
+    count, share = rows.agg(F.count(F.lit(1)), F.avg("x_blocked")).first()
     if share is None or share in (0.0, 1.0):
         return UrlModel(share or 0.0)
-    model = UrlModel(share, _suffixes(rows, "x_one", "one", share), _suffixes(rows, "x_two", "two", share))
-    ready = VectorAssembler(inputCols=FEATURES, outputCol="x_features").transform(_with_suffixes(rows, model))
+    rows = _lexical(rows)
+    chosen = rows
+    if count > max_rows:
+        draw = F.pmod(F.xxhash64("x_url"), F.lit(1 << 30))
+        chosen = rows.filter(draw < int((1 << 30) * max_rows / count))
+    model, chosen = UrlModel(share, *_suffixes(rows, share)), materialize(chosen)
+    if chosen.isEmpty():
+        return model
+    ready = VectorAssembler(inputCols=FEATURES, outputCol="x_features").transform(_with_suffixes(chosen, model))
     learner = GBTClassifier(featuresCol="x_features", labelCol="x_blocked", maxIter=TREES, maxDepth=DEPTH, stepSize=RATE, seed=1)
     model.trees = learner.fit(ready.select("x_features", "x_blocked"))
     return model
