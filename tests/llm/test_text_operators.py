@@ -280,6 +280,21 @@ def test_surrogates(spark, odd):
     assert [r.text for r in surrogates.replace(odd, "k").orderBy("n_chars").collect()] == [r.text for r in odd.orderBy("n_chars").collect()]
 
 
+def test_surrogates_of_values_that_hardly_change(spark):
+    masked = ["password: ********", "pwd=----", "secret: ----------------"]
+    scripts = ["密码密码", "κωδικός", "كلمةسر", "パスワード", "пароль", "ñandú", "비밀번호", "𐐨𐐨𐐨𐐨"]
+    few = [f"pwd=***{d}" for d in range(10)]
+    texts = [*masked, *(f"password: {w}" for w in scripts), *few, "mail ---@--.com"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    out = surrogates.replace(docs, "k").orderBy("doc_id").collect()
+    assert [(r.text, r.n_entities) for r in out[:3]] == [(t, 0) for t in masked]
+    new = [r.text for r in out[3:]]
+    assert len(set(new)) == len(new) and not set(new) & set(texts) and all(r.n_entities == 1 for r in out[3:])
+    for old, r in zip(scripts, out[3:]):
+        assert r.text.startswith("password: ") and not set(old) <= set(r.text[10:])
+    assert re.fullmatch(r"password: [\u4e00-\u9fff]{4}", new[0]) and re.fullmatch(r"password: [α-ω]{5}.[α-ω]", new[1])
+
+
 def test_surrogates_drawn_again(spark):
     names = [(i, f"Mr {a}{b}{c}son") for i, (a, b, c) in enumerate((a, b, c) for a in "BCDFGHJKLM" for b in "aeiou" for c in "bcdfghjklmnpqrstvwxz")]
     names += [(len(names) + i, f"Mr {a}{b}{c}ton") for i, (a, b, c) in enumerate((a, b, c) for a in "BCDFGHJKLM" for b in "aeiou" for c in "bcdfghjklmnpqrstvwxz")]

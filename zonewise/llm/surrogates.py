@@ -1,7 +1,7 @@
 """Personal data replaced by keyed surrogates.  SQL functions only.
 
 Found are e-mail addresses, telephone numbers, payment cards, IPv4 addresses, social security numbers, access keys,
-tokens, passwords, and names after a form of address.  A surrogate is drawn from a keyed hash of the type and
+tokens, passwords, and names after a form of address.  A token or password without a letter or digit is a mask and stays.  A surrogate is drawn from a keyed hash of the type and
 the normalised entity, so that all mentions of an entity get the same one (coreference) whatever their
 punctuation or case, and no one without the key can tell.  It keeps the kind: digits stay digits, letters keep case and script,
 separators, country codes, card brands, checksums, top-level domains and key prefixes stay as they are, octets stay octets,
@@ -9,7 +9,8 @@ and a given name keeps the gender of the form of address.  Names are replaced wo
 alone still points to the full name.
 
 Distinct entities keep distinct surrogates: all entities of the corpus are gathered once as a table, surrogates that
-coincide with each other or with an entity of the corpus are drawn again, until none does.  The few that
+coincide with each other or with an entity of the corpus are drawn again, and made longer if that
+does not help soon, until none does.  The few that
 were drawn again travel to their documents by a join; all other documents never shuffle.
 
 A null text stays null; a text without entities is returned as it is, character by character.  Rows that repeat
@@ -30,8 +31,8 @@ _NAME = r"\p{Lu}[\p{L}'’]+"
 PATTERNS = {
     "email": r"(?<![\w.%+\-])[\w.%+\-]++@(?:[A-Za-z0-9\-]+\.)+[A-Za-z]{2,}",
     "key": r"(?<![A-Za-z0-9])(?:AKIA|ASIA)[A-Z0-9]{16}(?![A-Za-z0-9])",
-    "token": r"(?i:\b(?:token|secret|api_?key|apikey)\b\s*[=:]\s*\"?)[A-Za-z0-9_\-]{16,}",
-    "password": r"(?i:\b(?:password|passwd|pwd)\b\s*[=:]\s*\"?)[^\s\"]{4,}",
+    "token": r"(?i:\b(?:token|secret|api_?key|apikey)\b\s*[=:]\s*\"?)(?=[_\-]*[A-Za-z0-9])[A-Za-z0-9_\-]{16,}",
+    "password": r"(?i:\b(?:password|passwd|pwd)\b\s*[=:]\s*\"?)(?=[^\s\"]*[\p{L}\p{N}])[^\s\"]{4,}",
     "ip": r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?!\.?\d)",
     "ssn": r"(?<![\d\-])\d{3}-\d{2}-\d{4}(?![\d\-])",
     "card": r"(?<![\d.\-])[3-6]\d{3}(?:[ \-]?\d{4}){2}[ \-]?\d{3,4}(?![\d\-])",
@@ -42,6 +43,8 @@ PATTERNS = {
 #: No entity starts inside a word, as most places of a text lie, and few words start like another entity than an address.
 _OTHERS = "|".join(f"(?:{p})" for kind, p in PATTERNS.items() if kind != "email")
 ALL = rf"(?<!\w)(?:(?:{PATTERNS['email']})|(?=[\d+(A-ZГaspt])(?:{_OTHERS}))"
+#: Draws after which addresses, tokens and passwords grow by a character each time.
+PLAIN_DRAWS = 3
 FEMALE = r"^(?:Mrs|Ms|Miss|Frau|Madame|Mme|Señora|Госпожа|Г-жа)"
 # Syllables and endings that surrogate names are made of.
 SYLLABLES = {
@@ -57,6 +60,13 @@ ENDINGS = {
     ("cyrillic", "s"): ["нко", "вич", "чук", "дзе"],
 }
 
+#: Ranges of letters by script, first and number; letters and digits of other scripts become a-z.
+SCRIPTS = {
+    "[\u0430-\u045F]": (0x430, 32), "[\u0400-\u042F]": (0x410, 32), r"[\p{IsGreek}&&\p{Ll}]": (0x3B1, 25), r"\p{IsGreek}": (0x391, 17), r"\p{IsHan}": (0x4E00, 20902),
+    r"\p{IsHiragana}": (0x3042, 82), r"\p{IsKatakana}": (0x30A2, 82), r"\p{IsHangul}": (0xAC00, 11172), r"\p{IsHebrew}": (0x5D0, 27), r"\p{IsArabic}": (0x627, 20),
+    r"\p{IsDevanagari}": (0x905, 53), r"\p{IsThai}": (0xE01, 46), r"\p{N}": (0x30, 10), r"\p{Lu}": (0x41, 26),
+}
+
 
 def _array(words: list[str]) -> str:
     return "array(" + ", ".join(f"'{w}'" for w in words) + ")"
@@ -105,10 +115,17 @@ def _letter(c: str, draw: str) -> str:
         f"CASE WHEN {c} BETWEEN '2' AND '9' THEN {of(50, 8)} WHEN {c} BETWEEN '0' AND '1' THEN {of(48, 10)} "
         f"WHEN {c} BETWEEN 'a' AND 'z' THEN {of(97, 26)} WHEN {c} BETWEEN 'A' AND 'Z' THEN {of(65, 26)} "
         f"WHEN {c} BETWEEN 'а' AND 'я' THEN element_at(array({', '.join(cyrillic)}), 1 + {draw} % 32) "
-        f"WHEN {c} BETWEEN 'А' AND 'Я' THEN element_at(array({', '.join(upper)}), 1 + {draw} % 32) ELSE {c} END"
+        f"WHEN {c} BETWEEN 'А' AND 'Я' THEN element_at(array({', '.join(upper)}), 1 + {draw} % 32) "
+        f"WHEN {c} RLIKE '[\\\\p{{L}}\\\\p{{N}}]' THEN {_foreign(c, draw)} ELSE {c} END"
     )
 
 
+def _foreign(c: str, draw: str) -> str:
+    """Another letter of the same script."""
+    cases = " ".join(f"WHEN {c} RLIKE '{pattern.replace(chr(92), chr(92) * 2)}' THEN array({first}, {size})" for pattern, (first, size) in SCRIPTS.items())
+    return f"element_at(transform(array(CASE {cases} ELSE array(97, 26) END), r -> decode(unhex(lpad(hex(r[0] + {draw} % r[1]), 4, '0')), 'UTF-16BE')), 1)"
+
+
 def _respell(text: str, stream: str, start: str = "0", hexadecimal: bool = False) -> str:
     """``text`` with each letter and digit replaced; the n-th letter or digit depends on n, not on separators."""
     draw = _draw(stream, f"({start}) + a.n")
@@ -142,7 +159,7 @@ def _name(text: str, kind: str, stream: str, attempt: str) -> str:
     """A made-up name of the same gender and script, capitalised like the old one."""
     def made(script: str) -> str:
         syllables = _array(SYLLABLES[script])
-        parts = f"array_join(transform(sequence(1, 2 + least({attempt}, 2)), i -> element_at({syllables}, 1 + {_draw(stream, 'i')} % {len(SYLLABLES[script])})), '')"
+        parts = f"array_join(transform(sequence(1, 2 + least({attempt}, 40)), i -> element_at({syllables}, 1 + {_draw(stream, 'i')} % {len(SYLLABLES[script])})), '')"
         ends = " ".join(f"WHEN '{k}' THEN {_array(ENDINGS[script, e])}" for k, e in (("given:f", "f"), ("given:m", "m")))
         ends = f"CASE {kind} {ends} ELSE {_array(ENDINGS[script, 's'])} END"
         return f"initcap(concat({parts}, element_at({ends}, 1 + {_draw(stream, '0')} % 4)))"
@@ -161,12 +178,13 @@ def _surrogate(kind: str, text: str, key: str, normal: str, attempt: str) -> str
     country = rf"regexp_extract({text}, '^\\+[0-9]{{1,3}}(?=[^0-9])', 0)"
     phone = f"concat({country}, {_respell(f'substring({text}, length({country}) + 1)', 's')})"
     domain_stream = _stream(key, "'domain'", f"lower({host})", attempt)
-    email = f"concat({_respell(f'substring_index({text}, {chr(39)}@{chr(39)}, 1)', 's')}, '@', {_respell(host, 'z')}, {top})"
+    longer = f"left(s, greatest({attempt} - {PLAIN_DRAWS}, 0))"
+    email = f"concat({_respell(f'substring_index({text}, {chr(39)}@{chr(39)}, 1)', 's')}, {longer}, '@', {_respell(host, 'z')}, {top})"
     body = (
         f"CASE WHEN {kind} = 'email' THEN element_at(transform(array({domain_stream}), z -> {email}), 1) "
         f"WHEN {kind} = 'key' THEN concat(left({text}, 4), {_respell(f'substring({text}, 5)', 's')}) "
-        f"WHEN {kind} = 'token' THEN concat({value}, {_respell(rest, 's', hexadecimal=True)}) "
-        f"WHEN {kind} = 'password' THEN concat({value}, {_respell(rest, 's')}) "
+        f"WHEN {kind} = 'token' THEN concat({value}, {_respell(rest, 's', hexadecimal=True)}, {longer}) "
+        f"WHEN {kind} = 'password' THEN concat({value}, {_respell(rest, 's')}, {longer}) "
         f"WHEN {kind} = 'ip' THEN {_octets(text, 's')} WHEN {kind} = 'card' THEN {_card(text, 's')} "
         f"WHEN {kind} IN ('given:f', 'given:m', 'surname') THEN {_name(text, kind, 's', attempt)} "
         f"WHEN {kind} = 'phone' THEN {phone} ELSE {_respell(text, 's')} END"
