@@ -295,6 +295,24 @@ def test_surrogates_of_values_that_hardly_change(spark):
     assert re.fullmatch(r"password: [\u4e00-\u9fff]{4}", new[0]) and re.fullmatch(r"password: [α-ω]{5}.[α-ω]", new[1])
 
 
+def test_surrogates_of_spellings_of_a_phone(spark):
+    groups = [
+        ["+1 632 555 4827", "+16325554827", "+1 (632) 555-4827", "1 (632) 555-4827", "+1.632.555.4827"],
+        ["+380 44 123 4567", "+380441234567", "+38 044 123 4567"],
+        ["(632) 555-4827", "632-555-4827", "632.555.4827"],
+    ]
+    texts = [f"call {p} now" for g in groups for p in g]
+    out = surrogates.replace(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), "k").orderBy("doc_id").collect()
+    new = iter([r.text for r in out])
+    digits = [{re.sub(r"\D", "", t) for t in (next(new) for _ in g)} for g in groups]
+    old = [re.sub(r"\D", "", g[0]) for g in groups]
+    # One surrogate for each number, with its country code; separators stay.
+    assert all(len(d) == 1 for d in digits)
+    first = [min(d) for d in digits]
+    assert first[0][0] == "1" and first[1].startswith("380") and not set(first) & set(old)
+    assert all(r.n_entities == 1 and re.sub(r"\d", "", r.text) == re.sub(r"\d", "", t) for r, t in zip(out, texts))
+
+
 def test_surrogates_drawn_again(spark):
     names = [(i, f"Mr {a}{b}{c}son") for i, (a, b, c) in enumerate((a, b, c) for a in "BCDFGHJKLM" for b in "aeiou" for c in "bcdfghjklmnpqrstvwxz")]
     names += [(len(names) + i, f"Mr {a}{b}{c}ton") for i, (a, b, c) in enumerate((a, b, c) for a in "BCDFGHJKLM" for b in "aeiou" for c in "bcdfghjklmnpqrstvwxz")]

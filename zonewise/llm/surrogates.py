@@ -6,7 +6,8 @@ the normalised entity, so that all mentions of an entity get the same one (coref
 punctuation or case, and no one without the key can tell.  It keeps the kind: digits stay digits, letters keep case and script,
 separators, country codes, card brands, checksums, top-level domains and key prefixes stay as they are, octets stay octets,
 and a given name keeps the gender of the form of address.  Names are replaced word by word, so that a surname
-alone still points to the full name.
+alone still points to the full name.  The digits of a telephone number are drawn from its normal form, ``+`` and country code for
+an international one, and laid into the separators of each spelling.
 
 Distinct entities keep distinct surrogates: all entities of the corpus are gathered once as a table, surrogates that
 coincide with each other or with an entity of the corpus are drawn again, and made longer if that
@@ -43,6 +44,8 @@ PATTERNS = {
 #: No entity starts inside a word, as most places of a text lie, and few words start like another entity than an address.
 _OTHERS = "|".join(f"(?:{p})" for kind, p in PATTERNS.items() if kind != "email")
 ALL = rf"(?<!\w)(?:(?:{PATTERNS['email']})|(?=[\d+(A-ZГaspt])(?:{_OTHERS}))"
+#: The country code at the start of an international number's normal form.
+COUNTRY = "^[+](?:1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|[0-9]{3})"
 #: Draws after which addresses, tokens and passwords grow by a character each time.
 PLAIN_DRAWS = 3
 FEMALE = r"^(?:Mrs|Ms|Miss|Frau|Madame|Mme|Señora|Госпожа|Г-жа)"
@@ -77,7 +80,8 @@ def _normal(kind: Column, text: Column) -> Column:
     digits = F.regexp_replace(text, r"\D", "")
     value = F.regexp_replace(text, r"^.*?[=:]\s*\"?", "")
     return (
-        F.when(kind.isin("card", "phone", "ssn"), digits)
+        F.when((kind == "phone") & text.rlike(r"^\+|^\d+[ .\-]?\("), F.concat(F.lit("+"), digits))
+        .when(kind.isin("card", "phone", "ssn"), digits)
         .when(kind == "email", F.lower(text))
         .when(kind.isin("token", "password"), value)
         .when(kind.isin("given:f", "given:m", "surname"), F.lower(text))
@@ -148,10 +152,14 @@ def _card(text: str, stream: str) -> str:
     digits = f"regexp_replace({text}, '[^0-9]', '')"
     body = f"concat(left({digits}, 1), {_respell(f'substring({digits}, 2, length({digits}) - 2)', stream)})"
     last = f"element_at(filter(array('0','1','2','3','4','5','6','7','8','9'), d -> luhn_check(concat({body}, d)) = luhn_check({digits})), 1)"
-    filled = f"concat({body}, {last})"
+    return _laid(text, f"concat({body}, {last})")
+
+
+def _laid(text: str, digits: str) -> str:
+    """``text`` with its digits replaced by ``digits`` in order."""
     return (
-        f"aggregate(split({text}, ''), named_struct('t', '', 'n', 1), (a, c) -> named_struct('t', concat(a.t, IF(c RLIKE '[0-9]', "
-        f"substring({filled}, a.n, 1), c)), 'n', a.n + IF(c RLIKE '[0-9]', 1, 0)), a -> a.t)"
+        f"element_at(transform(array({digits}), f -> aggregate(split({text}, ''), named_struct('t', '', 'n', 1), (a, c) -> named_struct('t', concat(a.t, "
+        f"IF(c RLIKE '[0-9]', substring(f, a.n, 1), c)), 'n', a.n + IF(c RLIKE '[0-9]', 1, 0)), a -> a.t)), 1)"
     )
 
 
@@ -175,8 +183,8 @@ def _surrogate(kind: str, text: str, key: str, normal: str, attempt: str) -> str
     domain = f"substring_index({text}, '@', -1)"
     top = f"substring_index({text}, '.', -1)"
     host = f"left({domain}, length({domain}) - length({top}))"
-    country = rf"regexp_extract({text}, '^\\+[0-9]{{1,3}}(?=[^0-9])', 0)"
-    phone = f"concat({country}, {_respell(f'substring({text}, length({country}) + 1)', 's')})"
+    country = f"regexp_extract({normal}, '{COUNTRY}', 0)"
+    phone = _laid(text, f"concat(substring({country}, 2), {_respell(f'substring({normal}, length({country}) + 1)', 's')})")
     domain_stream = _stream(key, "'domain'", f"lower({host})", attempt)
     longer = f"left(s, greatest({attempt} - {PLAIN_DRAWS}, 0))"
     email = f"concat({_respell(f'substring_index({text}, {chr(39)}@{chr(39)}, 1)', 's')}, {longer}, '@', {_respell(host, 'z')}, {top})"
