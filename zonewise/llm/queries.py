@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from zonewise.llm import (
+    bpe_chunks,
     decontaminate,
     exact_dedup,
     jaccard_join,
@@ -28,6 +29,7 @@ __all__ = ["QUERIES", "SQL"]
 SURROGATE_KEY = "change-me"
 TOKENIZER = "piece_bpe_32k.model"
 TOKEN_LIMIT = 4096
+WORD_BPE = "word_bpe_49k.json"
 RULES = [
     url_filter.Rule("com", "/", "allow"),
     url_filter.Rule("example.com", "/en/", "block"),
@@ -122,6 +124,19 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
 
+def op11_bpe_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    path = public_tokenizers.path(WORD_BPE)
+    decoded = bpe_chunks.decode(bpe_chunks.encode(docs, path).drop("text"), path)
+    ids = F.array_join(F.transform("ids", lambda i: i.cast("string")), " ")
+    return decoded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(ids, 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -135,6 +150,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_mixing,
         op9_decontaminate,
         op10_token_counts,
+        op11_bpe_chunks,
         pipeline,
     )
 }
