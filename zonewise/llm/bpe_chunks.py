@@ -28,9 +28,11 @@ ids are held by one task, whatever their length.
 from __future__ import annotations
 
 import os
+import re
 import unicodedata
 from collections.abc import Iterator
 from functools import cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -50,6 +52,13 @@ GROUP_BYTES = 4 << 20
 #: Characters beside a join that are encoded again at first, and those before a cut that it may have changed.
 REACH, CLEAR = 48, 16
 
+#: Texts that are decoded, and windows that are encoded, in one call of the library.
+DECODED_AT_ONCE, ENCODED_AT_ONCE = 64, 256
+#: Words whose ids a task keeps; beyond that it begins anew.
+KEPT_WORDS = 500_000
+# Fixed value: how the vocabulary cuts words: letters, a digit, an English ending, or other signs.
+WORDS = r"[^\W\d_]+|\d|'(?:s|t|re|ve|m|ll|d)|(?:[^\s\w]|_)+"
+
 _BLOCK = 1 << 20
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 _BASE, _WORD = 0xD6E8FEB86659FD93, (1 << 64) - 1
@@ -113,20 +122,25 @@ def _begins(char: str) -> bool:
 
 
 class Encoded:
-    """Ids of a stretch of text and where its words begin: ``starts`` in characters, ``tokens`` in ids."""
+    """Ids of a stretch of text, and where words near its ends begin: ``starts`` in characters, ``tokens`` in ids."""
 
     __slots__ = ("ids", "starts", "tokens")
 
     def __init__(self, ids: np.ndarray, starts: np.ndarray, tokens: np.ndarray):
         self.ids, self.starts, self.tokens = ids, starts, tokens
 
-    def pack(self) -> bytes:
+    def pack(self, kind: type) -> bytes:
         head = np.array([len(self.ids), len(self.starts)], np.uint32)
-        return head.tobytes() + self.ids.astype(np.uint32).tobytes() + self.starts.astype(np.uint16).tobytes()
+        return head.tobytes() + self.ids.astype(kind).tobytes() + self.starts.astype(np.uint16).tobytes()
 
 
 class ChunkEncoder:
-    """A tokenizer whose words are told apart by an end-of-word suffix."""
+    """A tokenizer whose words are told apart by an end-of-word suffix.
+
+    Words come again and again, so their ids are kept.  A stretch of text is cut into words here where each of its
+    characters is one that the library, asked once about it, lower-cases and cuts like ``WORDS``, and that
+    no normalisation joins to another; else the library encodes the stretch.
+    """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
@@ -140,49 +154,106 @@ class ChunkEncoder:
             raise ValueError("needs a tokenizer with an end-of-word suffix")
         added = self.library.get_added_tokens_decoder()
         size = self.library.get_vocab_size(with_added_tokens=True)
+        self.names = [""] * size
         #: Does a word end with this id?
         self.ends = np.zeros(size, bool)
         for token, i in self.library.get_vocab(with_added_tokens=True).items():
+            self.names[i] = token
             self.ends[i] = i in added or token.endswith(suffix)
+        self.packed_kind = np.uint16 if size <= 1 << 16 else np.uint32
         #: A special token may begin this many characters before a cut that splits it.
-        self.clear = max([CLEAR, *(len(t.content) for t in added.values())])
+        self.special = [t.content for t in added.values()]
+        self.clear = max([CLEAR, *map(len, self.special)])
+        self.words: dict[str, tuple[int, ...]] = {}
+        self.plain: set[str] = set()
+        self.odd: set[str] = set()
+        self.cut = re.compile(WORDS)
+
+    def _is_plain(self, char: str) -> bool:
+        """Does the library treat a character as this class does?"""
+        if unicodedata.normalize("NFC", char) != char or not _begins(char) or char == "Σ":  # lower-cased by what follows
+            return False
+        lower = self.library.normalizer.normalize_str(char)
+        if re.fullmatch(r"\s", char):
+            return lower == " "
+        if lower != char.lower() or len(lower) != 1:
+            return False
+        cut = self.library.pre_tokenizer.pre_tokenize_str
+        return all(len(cut(beside + lower)) == len(self.cut.findall(beside + lower)) for beside in ("a", "1", "!", "'"))
+
+    def _lowered(self, text: str) -> str | None:
+        """The text in lower case if it may be cut here."""
+        found = set(text)
+        for char in found - self.plain - self.odd:
+            (self.plain if self._is_plain(char) else self.odd).add(char)
+        if found & self.odd or any(t in text for t in self.special):
+            return None
+        return text.lower()
 
     def _words(self, ids: np.ndarray) -> np.ndarray:
-        """Indices of the ids that begin a word."""
-        return np.flatnonzero(np.concatenate([[True], self.ends[ids[:-1]]])) if len(ids) else np.zeros(0, np.int64)
-
-    def encode(self, texts: list[str], near: int | None = None) -> list[Encoded]:
-        """``near``: how many words at either end have their place looked up; all by default."""
-        out = []
-        for made in self.library.encode_batch(texts, add_special_tokens=False):
-            ids = np.array(made.ids, np.int64)
-            tokens = self._words(ids)
-            if near is not None and len(tokens) > 2 * near:
-                tokens = np.concatenate([tokens[:near], tokens[-near:]])
-            if near is None:
-                spans = made.offsets
-                starts = [spans[i][0] for i in tokens.tolist()]
-            else:
-                starts = [made.token_to_chars(i)[0] for i in tokens.tolist()]
-            out.append(Encoded(ids, np.array(starts, np.int64), tokens))
+        """Indices of the ids that begin a word, near both ends."""
+        if not len(ids):
+            return np.zeros(0, np.int64)
+        found = np.flatnonzero(np.concatenate([[True], self.ends[ids[:-1]]]))
+        return found if len(found) <= 2 * REACH else np.concatenate([found[:REACH], found[-REACH:]])
+
+    def _by_words(self, text: str, words: list[str]) -> Encoded:
+        new = [w for w in set(words) if w not in self.words]
+        if new:
+            if len(self.words) > KEPT_WORDS:
+                self.words.clear()
+                new = list(set(words))
+            for word, made in zip(new, self.library.encode_batch(new, add_special_tokens=False)):
+                self.words[word] = tuple(made.ids)
+        ids = np.fromiter(chain.from_iterable(map(self.words.__getitem__, words)), np.int64)
+        starts, at = [], 0
+        for word in words[: REACH if len(words) > 2 * REACH else None]:
+            at = text.index(word, at)
+            starts.append(at)
+            at += len(word)
+        if len(words) > 2 * REACH:
+            last, at = [], len(text)
+            for word in reversed(words[-REACH:]):
+                at = text.rindex(word, 0, at)
+                last.append(at)
+            starts += last[::-1]
+        return Encoded(ids, np.array(starts, np.int64), self._words(ids))
+
+    def encode(self, texts: list[str]) -> list[Encoded]:
+        out: list[Encoded | None] = []
+        for text in texts:
+            lower = self._lowered(text)
+            out.append(None if lower is None else self._by_words(lower, self.cut.findall(lower)))
+        odd = [i for i, made in enumerate(out) if made is None]
+        for at in range(0, len(odd), ENCODED_AT_ONCE):
+            part = odd[at : at + ENCODED_AT_ONCE]
+            for i, made in zip(part, self.library.encode_batch([texts[i] for i in part], add_special_tokens=False)):
+                ids = np.array(made.ids, np.int64)
+                tokens = self._words(ids)
+                starts = [made.token_to_chars(k)[0] for k in tokens.tolist()]
+                out[i] = Encoded(ids, np.array(starts, np.int64), tokens)
         return out
 
     def unpack(self, packed: bytes) -> Encoded:
         n, words = np.frombuffer(packed, np.uint32, 2).tolist()
-        ids = np.frombuffer(packed, np.uint32, n, 8).astype(np.int64)
-        starts = np.frombuffer(packed, np.uint16, words, 8 + 4 * n).astype(np.int64)
+        ids = np.frombuffer(packed, self.packed_kind, n, 8).astype(np.int64)
+        starts = np.frombuffer(packed, np.uint16, words, 8 + ids.size * self.packed_kind().itemsize).astype(np.int64)
         return Encoded(ids, starts, self._words(ids))
 
+    def decode(self, ids: list[int]) -> str:
+        """As the library's ``decode(ids, skip_special_tokens=False)``."""
+        if self.library.decoder is None:
+            return " ".join([self.names[i] for i in ids])
+        return self.library.decode(ids, skip_special_tokens=False)
+
     def documents(self, texts: list[str], ends: list[list[int]], known: list[list[Encoded | None]]) -> list[np.ndarray]:
         """Ids of whole texts; ``known`` has what is known of each chunk, ``ends`` where it ends."""
         work = [_Repair(self, *row) for row in zip(texts, ends, known, strict=True)]
         open_ = [w for w in work if w.text]
         while open_:
             asked = [(w, window) for w in open_ for window in w.missing()]
-            for start in range(0, len(asked), 1000):
-                part = asked[start : start + 1000]
-                for (w, window), made in zip(part, self.encode([w.text[slice(*window)] for w, window in part], near=REACH)):
-                    w.made[window] = made
+            for (w, window), made in zip(asked, self.encode([w.text[slice(*window)] for w, window in asked])):
+                w.made[window] = made
             open_ = [w for w in open_ if not w.settled()]
         return [w.result() for w in work]
 
@@ -381,7 +452,7 @@ def _encoded_chunks(dealt: DataFrame, shared: DataFrame, path: str) -> DataFrame
                         texts.setdefault(digest, text[a:b])
         made = encoder(path).encode(list(texts.values())) if texts else []
         holders = owned.column("holders").take(pa.array([wanted[d] for d in texts], pa.int64())).cast(pa.list_(pa.int32()))
-        packed = pa.array([m.pack() for m in made], pa.binary())
+        packed = pa.array([m.pack(encoder(path).packed_kind) for m in made], pa.binary())
         return pa.table({"holders": holders, "digest": pa.array(list(texts), pa.binary()), "packed": packed})
 
     right = shared.withColumnRenamed("owner", "x_group").groupBy("x_group")
@@ -429,12 +500,14 @@ def decode(rows: DataFrame, path: str, ids_col: str = "ids", into: str = "decode
     """Add the text of each array of ids, special tokens included; null for null."""
 
     def start():
-        library = encoder(path).library
+        text_of = encoder(path).decode
 
         def work(batch):
-            lists = batch.column(batch.schema.get_field_index(ids_col)).to_pylist()
-            texts = library.decode_batch([x or [] for x in lists], skip_special_tokens=False)
-            return [[None if x is None else t for x, t in zip(lists, texts)]]
+            lists, out = batch.column(batch.schema.get_field_index(ids_col)), []
+            for start in range(0, len(lists), DECODED_AT_ONCE):
+                part = lists.slice(start, DECODED_AT_ONCE).to_pylist()
+                out.append(pa.array([None if x is None else text_of(x) for x in part], pa.string()))
+            return [pa.chunked_array(out, pa.string()).combine_chunks()]
 
         return work
 
