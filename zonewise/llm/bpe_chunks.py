@@ -30,6 +30,7 @@ from __future__ import annotations
 import os
 import re
 import unicodedata
+from bisect import bisect_right
 from collections.abc import Iterator
 from functools import cache
 from itertools import chain
@@ -54,8 +55,8 @@ REACH, CLEAR = 48, 16
 
 #: Texts that are decoded, and windows that are encoded, in one call of the library.
 DECODED_AT_ONCE, ENCODED_AT_ONCE = 64, 256
-#: Words whose ids a task keeps; beyond that it begins anew.
-KEPT_WORDS = 500_000
+#: Words whose ids a task keeps; beyond that it begins anew.  New words that are encoded in one call.
+KEPT_WORDS, NEW_AT_ONCE = 250_000, 4096
 # Fixed value: how the vocabulary cuts words: letters, a digit, an English ending, or other signs.
 WORDS = r"[^\W\d_]+|\d|'(?:s|t|re|ve|m|ll|d)|(?:[^\s\w]|_)+"
 
@@ -203,8 +204,14 @@ class ChunkEncoder:
             if len(self.words) > KEPT_WORDS:
                 self.words.clear()
                 new = list(set(words))
-            for word, made in zip(new, self.library.encode_batch(new, add_special_tokens=False)):
-                self.words[word] = tuple(made.ids)
+            # White space divides words, so new ones are encoded as one text; each ends with an id that ends words.
+            for at in range(0, len(new), NEW_AT_ONCE):
+                part = new[at : at + NEW_AT_ONCE]
+                made = self.library.encode(" ".join(part), add_special_tokens=False).ids
+                ends, start = (np.flatnonzero(self.ends[made]) + 1).tolist(), 0
+                for word, end in zip(part, ends, strict=True):
+                    self.words[word] = tuple(made[start:end])
+                    start = end
         ids = np.fromiter(chain.from_iterable(map(self.words.__getitem__, words)), np.int64)
         starts, at = [], 0
         for word in words[: REACH if len(words) > 2 * REACH else None]:
@@ -274,7 +281,7 @@ class _Repair:
             start = end
         # Around joins of known chunks and around what is unknown; a text's own ends are no joins.
         n = len(text)
-        self.windows = self._merged([(max(a - REACH, 0), min(b + REACH, n)) for a, b in wanted])
+        self._merged([(max(a - REACH, 0), min(b + REACH, n)) for a, b in wanted])
         self.agreed: dict[tuple[int, int], tuple[int, int]] = {}
 
     def _merged(self, windows: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -284,10 +291,17 @@ class _Repair:
                 out[-1] = out[-1][0], max(out[-1][1], high)
             else:
                 out.append((low, high))
+        self.lows = [low for low, _ in out]
+        self.windows = out
         # A known chunk is of use only if it reaches out of the windows.
-        self.chunks = [c for c in self.chunks if not any(low <= c[0] and c[1] <= high for low, high in out)]
+        self.chunks = [c for c in self.chunks if (w := self._over(c[0])) is None or c[1] > w[1]]
         return out
 
+    def _over(self, place: int) -> tuple[int, int] | None:
+        """The window that covers a character, its end included."""
+        i = bisect_right(self.lows, place) - 1
+        return self.windows[i] if i >= 0 and place <= self.windows[i][1] else None
+
     def missing(self) -> list[tuple[int, int]]:
         return [w for w in self.windows if w not in self.made]
 
@@ -306,11 +320,9 @@ class _Repair:
         before: dict[tuple[int, int], tuple] = {}
         after: dict[tuple[int, int], tuple] = {}
         for chunk in self.chunks:
-            for w in self.windows:
-                if w[0] <= chunk[0] <= w[1]:
-                    after[w] = chunk
-                if w[0] <= chunk[1] <= w[1] and chunk[1] < n:
-                    before[w] = chunk
+            after[self._over(chunk[0])] = chunk
+            if chunk[1] < n:
+                before[self._over(chunk[1])] = chunk
         self.agreed = {}
         for w in self.windows:
             left, right = before.get(w), after.get(w)
@@ -331,13 +343,11 @@ class _Repair:
                 self.agreed[w] = begin, end
         # A chunk is right from where its left window agrees to where its right one does: in this order.
         for chunk in self.chunks:
-            sides = [w for w in self.windows if w[0] <= chunk[0] <= w[1] or w[0] <= chunk[1] <= w[1]]
-            if len(sides) == 2 and all(w in self.agreed for w in sides) and self.agreed[sides[0]][1] > self.agreed[sides[1]][0]:
-                grown.append((sides[0][0], sides[1][1]))
-        merged = self._merged(grown)
-        done = merged == self.windows
-        self.windows = merged
-        return done
+            left, right = self._over(chunk[0]), self._over(chunk[1])
+            if left in self.agreed and right in self.agreed and left != right and self.agreed[left][1] > self.agreed[right][0]:
+                grown.append((left[0], right[1]))
+        settled = self.windows
+        return self._merged(grown) == settled
 
     def result(self) -> np.ndarray:
         if not self.text:
@@ -345,8 +355,8 @@ class _Repair:
         begins = {w: self.agreed[w][0] for w in self.windows}
         pieces = []
         for start, end, entry in self.chunks:
-            left = next((w for w in self.windows if w[0] <= start <= w[1]), None)
-            right = next((w for w in self.windows if w[0] <= end <= w[1] and w is not left and end < len(self.text)), None)
+            left = self._over(start)
+            right = self._over(end) if end < len(self.text) else None
             low = self.agreed[left][1] if left else 0
             high = begins[right] if right else len(self.text)
             pieces.append((low, self._slice(entry, start, low, high)))
@@ -459,8 +469,10 @@ def _encoded_chunks(dealt: DataFrame, shared: DataFrame, path: str) -> DataFrame
     return dealt.groupBy("x_group").cogroup(right).applyInArrow(run, schema)
 
 
-def encode(docs: DataFrame, path: str, text_col: str = "text", into: str = "ids", group_bytes: int = GROUP_BYTES) -> DataFrame:
-    """Add the array of token ids of each whole text, as the library gives them."""
+def encode(
+    docs: DataFrame, path: str, text_col: str = "text", into: str = "ids", decoded: str | None = None, group_bytes: int = GROUP_BYTES
+) -> DataFrame:
+    """Add the array of token ids of each whole text, as the library gives them, and under ``decoded`` the text they decode to."""
     size = docs.agg(F.sum(F.octet_length(F.col(f"`{text_col}`").cast("string")))).first()[0] or 0
     least = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = _dealt(docs, text_col, max(least, -(-size // group_bytes)))
@@ -468,8 +480,10 @@ def encode(docs: DataFrame, path: str, text_col: str = "text", into: str = "ids"
     sent = owned.select(F.explode("holders").alias("x_group"), "digest", "packed")
 
     at = docs.columns.index(text_col)
-    kept = [(i, f) for i, f in enumerate(docs.schema.fields) if f.name.lower() != into.lower()]
-    schema = T.StructType([T.StructField(f"c{i}", f.dataType) for i, f in kept] + [T.StructField("x_ids", T.ArrayType(T.IntegerType()))])
+    added = [into] + ([decoded] if decoded else [])
+    kept = [(i, f) for i, f in enumerate(docs.schema.fields) if f.name.lower() not in {n.lower() for n in added}]
+    fields = [T.StructField(f"c{i}", f.dataType) for i, f in kept] + [T.StructField("x_ids", T.ArrayType(T.IntegerType()))]
+    schema = T.StructType(fields + ([T.StructField("x_decoded", T.StringType())] if decoded else []))
 
     def run(rows: pa.Table, known: pa.Table) -> pa.Table:
         work = encoder(path)
@@ -490,10 +504,12 @@ def encode(docs: DataFrame, path: str, text_col: str = "text", into: str = "ids"
             else:
                 columns[f"c{i}"] = rows.column(f"c{i}")
         columns["x_ids"] = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat.astype(np.int32)))
+        if decoded:
+            columns["x_decoded"] = pa.array([work.decode(x.tolist()) for x in ids], pa.string())
         return pa.table(columns)
 
     done = dealt.groupBy("x_group").cogroup(sent.groupBy("x_group")).applyInArrow(run, schema)
-    return done.toDF(*[f.name for _, f in kept], into)
+    return done.toDF(*[f.name for _, f in kept], *added)
 
 
 def decode(rows: DataFrame, path: str, ids_col: str = "ids", into: str = "decoded") -> DataFrame:

@@ -10,12 +10,14 @@ from pyspark.sql import functions as F
 
 from zonewise.llm import (
     bpe_chunks,
+    conversations,
     decontaminate,
     exact_dedup,
     jaccard_join,
     language_id,
     lm_scoring,
     mixing,
+    spelling,
     surrogates,
     token_counts,
     url_filter,
@@ -126,8 +128,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op11_bpe_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
-    path = public_tokenizers.path(WORD_BPE)
-    decoded = bpe_chunks.decode(bpe_chunks.encode(docs, path).drop("text"), path)
+    decoded = bpe_chunks.encode(docs, public_tokenizers.path(WORD_BPE), decoded="decoded")
     ids = F.array_join(F.transform("ids", lambda i: i.cast("string")), " ")
     return decoded.select(
         "doc_id",
@@ -137,6 +138,17 @@ def op11_bpe_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = conversations.damage(read(spark, sf_dir, "conversations"))
+    return conversations.repair(rows).withColumnRenamed("conv", "conv_id")
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    words = spelling.occurrences(docs, "doc_id", "text", spelling.ERROR_EVERY)
+    return spelling.variants(spelling.vocabulary(words))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -151,6 +163,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_decontaminate,
         op10_token_counts,
         op11_bpe_chunks,
+        op12_conversation_repair,
+        op13_spelling_variants,
         pipeline,
     )
 }
