@@ -47,7 +47,7 @@ def compare(spark, con, sf_dir: str, name: str) -> tuple[bool, str]:
     spark_s = time.time() - start
     sql = entry_module.oracle_sql().get(name)
     if sql is None:
-        return True, f"{len(got)} rows, no SQL, {spark_s:.1f}s"
+        return False, f"{len(got)} rows, no SQL, {spark_s:.1f}s"
     start = time.time()
     result = con.sql(sql)
     names, want = result.columns, result.fetchall()

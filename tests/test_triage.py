@@ -166,9 +166,9 @@ def test_history_before_each_breach(spark):
 
 def test_request_text(spark):
     df = spark.sql("SELECT struct('v' AS vehicleId, cast(null as int) AS n) AS b, array(struct('HIGH' AS severity)) AS h")
-    text = df.select(T.request_text(F.col("b"), F.col("h"))).first()[0]
+    text = df.select(T.request_text(F.col("b"), df.schema["b"].dataType, F.col("h"), df.schema["h"].dataType)).first()[0]
     assert text == 'Breach event:\n{"vehicleId":"v","n":null}\n\nVehicle history (1 prior record(s), newest last):\n{"severity":"HIGH"}'
-    none = df.select(T.request_text(F.col("b"), F.expr("array_remove(h, h[0])"))).first()[0]
+    none = df.select(T.request_text(F.col("b"), df.schema["b"].dataType, F.expr("array_remove(h, h[0])"), df.schema["h"].dataType)).first()[0]
     assert none.endswith("Vehicle history: none on record.")
 
 

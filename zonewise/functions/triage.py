@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Fixed values.
 SEVERITIES = ["LOW", "MEDIUM", "HIGH", "CRITICAL"]
@@ -121,19 +122,34 @@ def answer_text(answer: Column, path: str) -> Column:
     return F.coalesce(F.btrim(text, F.lit(_BLANKS)), F.lit(""))
 
 
-def request_text(breach: Column, history: Column) -> Column:
+def canonical(value: Column, kind: T.DataType) -> Column:
+    """A value whose JSON has sorted keys at every level, built from its schema; nulls stay nulls."""
+    if isinstance(kind, T.StructType):
+        fields = sorted(kind.fields, key=lambda f: f.name)
+        made = F.struct(*[canonical(value.getField(f.name), f.dataType).alias(f.name) for f in fields])
+        return F.when(value.isNotNull(), made)
+    if isinstance(kind, T.ArrayType):
+        return F.transform(value, lambda v: canonical(v, kind.elementType))
+    if isinstance(kind, T.MapType):
+        entries = F.transform(F.map_entries(value), lambda e: F.struct(e["key"], canonical(e["value"], kind.valueType)))
+        return F.map_from_entries(F.array_sort(entries))
+    return value
+
+
+def request_text(breach: Column, breach_type: T.DataType, history: Column, history_type: T.ArrayType) -> Column:
     """The request for one breach: its JSON with sorted keys, then the history, newest last.
 
     ``breach`` is a struct, ``history`` an array of structs (null or empty: none on record).
     """
+    keep = {"ignoreNullFields": "false"}
     known = F.coalesce(F.size(history), F.lit(0)) > 0
-    lines = F.concat_ws("\n", F.transform(history, lambda record: F.to_json(record)))
+    lines = F.concat_ws("\n", F.transform(history, lambda record: F.to_json(canonical(record, history_type.elementType), keep)))
     heading = F.concat(
         F.lit("Vehicle history ("), F.size(history).cast("string"), F.lit(" prior record(s), newest last):\n")
     )
     return F.concat(
         F.lit("Breach event:\n"),
-        F.to_json(breach, {"ignoreNullFields": "false"}),
+        F.to_json(canonical(breach, breach_type), keep),
         F.lit("\n\n"),
         F.when(known, F.concat(heading, lines)).otherwise(F.lit("Vehicle history: none on record.")),
     )

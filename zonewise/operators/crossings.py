@@ -9,6 +9,7 @@ number of rows.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -18,8 +19,10 @@ from zonewise.functions import geometry as G
 from zonewise.operators.ordered import (
     ARRIVALS_PER_SEGMENT,
     MILLIS_PER_SEGMENT,
+    ROWS_PER_SEGMENT,
     asof_join,
     lookback,
+    measured_segments,
     span_segment,
 )
 from zonewise.operators.spatial import NO_KEY, ZoneIndex, build_index, inside_pairs
@@ -221,12 +224,48 @@ def judged_positions(telemetry: DataFrame) -> DataFrame:
     return flat_positions(telemetry).withColumn("clock", F.coalesce("ingestTime", "timestamp"))
 
 
+@dataclass(frozen=True)
+class ZoneLog:
+    """Zone versions prepared for judging positions: computed once, read by several joins."""
+
+    periods: DataFrame  # zoneId, activity_from, activity_to: when a zone is active without a break
+    index: ZoneIndex
+    first_active: int
+    shortest_period: int
+    edited: bool  # some zone has several versions
+    switched: bool  # some zone has several periods
+
+
+def zone_log(versions: DataFrame) -> ZoneLog | None:
+    """The log of zone versions (``zones.zone_versions``); null if no zone was ever active."""
+    spans = materialize(with_activity(versions))
+    facts = spans.agg(
+        F.min("valid_from").alias("first_active"),
+        F.min(F.col("activity_to") - F.col("activity_from")).alias("shortest"),
+        F.count(F.lit(1)).alias("versions"),
+        F.count_if(F.col("valid_from") == F.col("activity_from")).alias("periods"),
+        F.count_distinct("id").alias("zones"),
+    ).first()
+    if facts["first_active"] is None:
+        return None
+    periods = spans.where("valid_from = activity_from").select(F.col("id").alias("zoneId"), "activity_from", "activity_to")
+    return ZoneLog(
+        periods=periods,
+        index=build_index(spans),
+        first_active=facts["first_active"],
+        shortest_period=facts["shortest"],
+        edited=facts["versions"] > facts["zones"],
+        switched=facts["periods"] > facts["zones"],
+    )
+
+
 def edges_versioned(
     telemetry: DataFrame,
     versions: DataFrame,
     hold_cap: int | None = None,
     span_ms: int = MILLIS_PER_SEGMENT,
     breaches_only: bool = False,
+    rows_per_segment: int = ROWS_PER_SEGMENT,
 ) -> DataFrame:
     """Crossings under zones that change while vehicles move.
 
@@ -237,126 +276,167 @@ def edges_versioned(
     * both positions under one version: decided from the hop alone;
     * zone edited between them but active throughout: the position is looked up in the new
       version and its predecessor in the old one, and the two answers are put together;
-    * zone inactive in between: the states at both ends of the gap are put together from the
-      vehicle's visits to the zone's active periods.
+    * zone inactive in between: the nearest judged position on the other side of the gap is
+      found by as-of hops (``judged_across``).
 
     The second and third case concern only positions inside a zone next to an edit.
     """
-    # The zone log is small beside the positions and read for the index, the periods and the
-    # final lookup: computed once.
-    spans = materialize(with_activity(materialize(versions)))
-    facts = spans.agg(
-        F.min("valid_from").alias("first_active"),
-        F.count(F.lit(1)).alias("versions"),
-        F.count_if(F.col("valid_from") == F.col("activity_from")).alias("periods"),
-        F.count_distinct("id").alias("zones"),
-    ).first()
     positions = judged_positions(telemetry)
-    if facts["first_active"] is None:
+    log = zone_log(versions)
+    if log is None:
         return _no_crossings(positions)
-    index = build_index(spans)
-    positions = hold_until(positions, facts["first_active"], hold_cap)
-    moves = hops(
-        positions,
-        order=("clock", "seq"),
-        segment=span_segment("clock", span_ms),
-        carry=("lat", "lon", "clock"),
-    )
-    base = positions.columns
-    out = [*base, *_ZONE_COLUMNS, "edge", "edges"]
+    positions = hold_until(positions, log.first_active, hold_cap)
+    segmented, segment = measured_segments(positions, ["vehicleId"], "clock", rows_per_segment)
+    moves = hops(segmented, order=("clock", "seq"), segment=segment, carry=("lat", "lon", "clock", "seq"))
+    if "__cut" in moves.columns:
+        moves = moves.drop("__cut")
+    found, ends = near_edits(moves, log, positions.columns, breaches_only)
+    if log.switched:
+        found = found.unionByName(_gap_crossings(positions, ends, log.periods, span_ms))
+    return with_versions(found, log, positions.columns, span_ms, breaches_only)
+
+
+def near_edits(
+    moves: DataFrame, log: ZoneLog, base: list[str], breaches_only: bool = False, keep: bool = False
+) -> tuple[DataFrame, DataFrame]:
+    """(crossings decided from the hop alone, positions inside a zone next to its inactive time).
+
+    Crossings are ``base`` columns, ``zoneId, edge`` and ``valid_from``, the version in force where it is known.  The
+    others have ``enters``: is it the hop's end (first judged after the gap) or its start (last judged before) that is inside?
+    """
     hits = (
-        index.join(_probes(moves, index, versioned=True))
+        log.index.join(_probes(moves, log.index, versioned=True))
         .where("at_clock >= valid_from AND at_clock < valid_to")
         .where(_contains_sql("at"))
         .withColumn("settled", F.expr("if(enters, prev_clock >= valid_from, clock < valid_to)"))
         .withColumn("same_period", F.expr("if(enters, prev_clock >= activity_from, clock < activity_to)"))
         .where(f"NOT settled OR NOT {_contains_sql('off')}")
-        .select(*out, "activity_from", "enters", "settled", "same_period")
     )
-    if facts["versions"] > facts["zones"]:
+    if breaches_only:
+        hits = hits.where(F.expr("NOT settled") | is_breach("zoneKind", "edge"))
+    hits = hits.select(*base, "zoneId", "edge", "valid_from", "enters", "settled", "same_period", "prev_clock", "prev_seq")
+    if log.edited or keep:
         # Read by up to three branches and small beside the positions: computed once.
         hits = materialize(hits)
-
-    plain = hits.where("settled")
-    if breaches_only:
-        plain = plain.where(is_breach("zoneKind", "edge"))
-    results = [plain.select(*out)]
-
-    loose = []
-    if facts["versions"] > facts["zones"]:
+    found = hits.where("settled").select(*base, "zoneId", "edge", "valid_from")
+    if log.edited:
         edited = (
             hits.where(~F.col("settled") & F.col("same_period"))
-            .groupBy("vehicleId", "seq", "zoneId")
+            .groupBy("vehicleId", "seq", "clock", "zoneId")
             .agg(
                 F.count(F.lit(1)).alias("sides"),
-                F.first(F.struct(*base, "edge")).alias("row"),
+                F.first(F.struct(*[c for c in base if c not in ("vehicleId", "seq", "clock")], "edge")).alias("row"),
             )
             .where(F.col("sides") == 1)
-            .select("row.*", "zoneId")
+            .select("vehicleId", "seq", "clock", "zoneId", "row.*", F.lit(None).cast("long").alias("valid_from"))
         )
-        loose.append(edited)
-    if facts["periods"] > facts["zones"]:
-        ends = hits.where(~F.col("settled") & ~F.col("same_period")).select(
-            "vehicleId", "zoneId", "activity_from", "enters"
+        found = found.unionByName(edited)
+    ends = hits.where(~F.col("settled") & ~F.col("same_period"))
+    return found, ends.select(*base, "zoneId", "enters", "prev_clock", "prev_seq")
+
+
+def with_versions(found: DataFrame, log: ZoneLog, base: list[str], span_ms: int, breaches_only: bool) -> DataFrame:
+    """Crossings with the columns of the zone version in force."""
+    zones = log.index.zones.select("zoneId", "valid_from", "zoneName", "zoneKind", "edges")
+    if log.edited or log.switched:
+        known = found.where("valid_from IS NOT NULL")
+        loose = materialize(found.where("valid_from IS NULL").drop("valid_from"))
+        dated = asof_join(loose, zones.select("zoneId", "valid_from"), ["zoneId"], "clock", "valid_from", "__v", span=span_ms)
+        found = known.unionByName(dated.withColumn("valid_from", F.col("__v.valid_from")).drop("__v"))
+    joined = found.join(F.broadcast(zones) if log.index.small else zones, ["zoneId", "valid_from"])
+    out = joined.select(*base, *_ZONE_COLUMNS, "edge", "edges")
+    return out.where(is_breach("zoneKind", "edge")) if breaches_only else out
+
+
+def judged_across(asks: DataFrame, periods: DataFrame, trail: DataFrame, span_ms: int) -> tuple[DataFrame, DataFrame]:
+    """The nearest judged position of a vehicle on the way from a place in time: (found rows, rows that ran out).
+
+    ``asks`` has ``vehicleId, zoneId``, a direction ``way`` (1 on, -1 back) and a position ``at, at_seq`` of the
+    vehicle, which counts itself if the zone is active then.  Where it is not, the next hop goes to the zone's next
+    active period on the way, and from there to the vehicle's first position on that way, until the two meet.  Only
+    rows still open go on, and ``trail`` (``vehicleId, clock, seq`` and more) is not read before one is.
+
+    Found rows have the position they came to as ``at, at_seq`` and, if it was not the one asked with, its row of ``trail``
+    as ``hop``; rows that ran out of positions have ``until``, the time they looked for, or null if no period was left.
+    """
+    ways = F.explode(F.array(F.lit(1), F.lit(-1))).alias("way")
+    both = materialize(
+        periods.select("*", ways).withColumn("reach", F.expr("if(way = 1, activity_to, -activity_from)"))
+    )
+    columns = asks.columns
+    hop_type = trail.select(F.struct("*").alias("hop")).schema["hop"].dataType
+    open_ = materialize(asks.withColumn("hop", F.lit(None).cast(hop_type)))
+    done, gone, path = [], [], None
+    while True:
+        asked = open_.withColumn("__t", F.expr("if(way = 1, at + 1, -at)"))
+        met = materialize(
+            asof_join(asked, both, ["zoneId", "way"], "__t", "reach", "period", direction="forward", span=span_ms)
+            .withColumn("until", F.expr("if(way = 1, period.activity_from, period.activity_to)"))
+            .withColumn("judged", F.expr("period IS NOT NULL AND at >= period.activity_from AND at < period.activity_to"))
+            .drop("period", "__t")
         )
-        loose.append(_gap_crossings(positions, ends, spans, span_ms))
-    if loose:
-        # Their zone columns come from the version in force at the crossing.
-        in_force = index.zones.select("zoneId", "zoneName", "zoneKind", "edges", "valid_from")
-        rows = materialize(reduce(DataFrame.unionByName, loose))
-        dated = asof_join(rows, in_force, ["zoneId"], "clock", "valid_from", "version", span=span_ms)
-        results.append(
-            dated.select(*base, "zoneId", "version.zoneName", "version.zoneKind", "edge", "version.edges")
+        done.append(met.where("judged").select(*columns, "hop"))
+        gone.append(met.where("until IS NULL").select(*columns, "until"))
+        rest = met.where("NOT judged AND until IS NOT NULL")
+        if rest.isEmpty():
+            break
+        if path is None:
+            concerned = trail.join(rest.select("vehicleId").distinct(), "vehicleId", "left_semi")
+            path = materialize(
+                concerned.select("vehicleId", F.struct(*trail.columns).alias("hop"), ways)
+                .withColumn("reach", F.expr("way * hop.clock"))
+                .withColumn("tie", F.expr("way * hop.seq"))
+            )
+        # Back: strictly before the end of the period.
+        looked = rest.drop("hop").withColumn("__t", F.expr("if(way = 1, until, 1 - until)"))
+        next_ = asof_join(looked, path, ["vehicleId", "way"], "__t", "reach", "found", tie="tie", direction="forward", span=span_ms)
+        gone.append(next_.where("found IS NULL").select(*columns, "until"))
+        moved = next_.where("found IS NOT NULL").withColumns(
+            {"hop": F.col("found.hop"), "at": F.col("found.hop.clock"), "at_seq": F.col("found.hop.seq")}
         )
+        open_ = materialize(moved.select(*columns, "hop"))
+    return reduce(DataFrame.unionByName, done), reduce(DataFrame.unionByName, gone)
 
-    found = reduce(DataFrame.unionByName, results)
-    return found.where(is_breach("zoneKind", "edge")) if breaches_only else found
+
+def gap_asks(ends: DataFrame) -> DataFrame:
+    """From each position inside a zone next to its inactive time: the way across, and where the way begins."""
+    return ends.select(
+        F.struct(*[c for c in ends.columns if c not in ("zoneId", "enters", "prev_clock", "prev_seq")]).alias("row"),
+        "vehicleId",
+        "zoneId",
+        F.expr("if(enters, -1, 1)").alias("way"),
+        # Back from the predecessor of the first position inside, on from the successor of the last one.
+        F.expr("if(enters, prev_clock, clock)").alias("at"),
+        F.expr("if(enters, prev_seq, seq)").alias("at_seq"),
+        F.expr("if(enters, clock, prev_clock)").alias("from_clock"),
+        F.expr("if(enters, seq, prev_seq)").alias("from_seq"),
+    )
 
 
-def _gap_crossings(positions: DataFrame, ends: DataFrame, spans: DataFrame, span_ms: int) -> DataFrame:
-    """Crossings between the last state before a zone was switched off and the first after.
+def gap_edges(found: DataFrame, ends: DataFrame) -> DataFrame:
+    """Crossings among rows of ``judged_across``: those whose two ends differ.
 
-    ``ends`` holds the vehicles that were inside at the end (``enters`` false) or at the
-    start (``enters`` true) of an active period.
+    The position across is inside if it is itself the end of such a row: the first inside after a gap as seen from
+    before it, or the last inside before a gap as seen from behind it.
     """
-    pairs = ends.select("vehicleId", "zoneId").distinct()
-    periods = spans.select(F.col("id").alias("zoneId"), "activity_from", "activity_to").distinct()
-    asked = pairs.join(periods, "zoneId")
-    concerned = positions.join(pairs.select("vehicleId").distinct(), "vehicleId", "left_semi")
-    visits = asof_join(
-        asked,
-        concerned,
-        ["vehicleId"],
-        "activity_from",
-        "clock",
-        "first",
-        tie="seq",
-        direction="forward",
-        span=span_ms,
-    ).where(F.col("first.clock") < F.col("activity_to"))
-
-    marks = (
-        materialize(visits.select("vehicleId", "zoneId", "activity_from", "first"))
-        .unionByName(ends, allowMissingColumns=True)
-        .groupBy("vehicleId", "zoneId", "activity_from")
-        .agg(
-            F.max("first").alias("first"),
-            F.coalesce(F.bool_or(F.col("enters")), F.lit(False)).alias("starts_inside"),
-            F.coalesce(F.bool_or(~F.col("enters")), F.lit(False)).alias("ends_inside"),
-        )
-    )
-    chained = lookback(
-        marks,
-        ["vehicleId", "zoneId"],
-        ["activity_from"],
-        span_segment("activity_from", span_ms * 64),
-        {"was_inside": lambda w: F.lag("ends_inside").over(w)},
-    )
-    return (
-        chained.withColumn("edge", detect_edge(F.col("was_inside"), F.col("starts_inside")))
-        .where(F.col("edge").isNotNull())
-        .select("first.*", "zoneId", "edge")
-    )
+    across = ends.select(
+        F.col("vehicleId"),
+        F.col("zoneId"),
+        F.expr("if(enters, 1, -1)").alias("way"),
+        F.expr("if(enters, clock, prev_clock)").alias("at"),
+        F.expr("if(enters, seq, prev_seq)").alias("at_seq"),
+    ).distinct()
+    differ = found.join(across, ["vehicleId", "zoneId", "way", "at", "at_seq"], "left_anti")
+    # Gone in between: the crossing is where the vehicle is first judged outside.  Come in between: at the first position inside.
+    named = differ.withColumn("edge", F.expr(f"if(way = 1, '{EXIT}', '{ENTRY}')"))
+    return named.select(F.expr("if(way = 1 AND hop IS NOT NULL, hop, row)").alias("row"), "zoneId", "edge")
+
+
+def _gap_crossings(positions: DataFrame, ends: DataFrame, periods: DataFrame, span_ms: int) -> DataFrame:
+    """Crossings between the last judged state before a zone was switched off and the first after."""
+    found, _ = judged_across(gap_asks(ends), periods, positions, span_ms)
+    made = gap_edges(found, ends).select("row.*", "zoneId", "edge")
+    return made.withColumn("valid_from", F.lit(None).cast("long"))
 
 
 def _no_crossings(positions: DataFrame) -> DataFrame:

@@ -60,9 +60,9 @@ def compose(messages: DataFrame, drafted: str | None = None) -> DataFrame:
 
 
 def outbox(messages: DataFrame, drafted: str | None = None) -> DataFrame:
-    """The rows handed to the notifier."""
+    """The rows handed to the notifier: the subject as long as it takes, and whole beside it."""
     return compose(messages, drafted).select(
-        "dedupeKey", M.cut_subject(F.col("subject")).alias("subject"), "body"
+        "dedupeKey", M.cut_subject(F.col("subject")).alias("subject"), F.col("subject").alias("full_subject"), "body"
     )
 
 

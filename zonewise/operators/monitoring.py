@@ -37,12 +37,12 @@ def minute_stats(metrics: DataFrame, ts: str = "ts") -> DataFrame:
     """``metrics(ts, stage, name, value)`` to max, sum, p50 and p99 per minute, stage and name."""
     keys = ["minute", "stage", "name"]
     counted = _counted(metrics.withColumn("minute", minute_of(ts)), keys)
-    return counted.groupBy(*keys).agg(
+    stats = counted.groupBy(*keys).agg(
         F.max("value").alias("max"),
         F.sum(F.col("value") * F.col("n")).alias("sum"),
-        F.percentile("value", 0.5, F.col("n")).alias("p50"),
-        F.percentile("value", 0.99, F.col("n")).alias("p99"),
+        F.percentile("value", F.array(F.lit(0.5), F.lit(0.99)), F.col("n")).alias("__p"),
     )
+    return stats.select(*keys, "max", "sum", F.col("__p")[0].alias("p50"), F.col("__p")[1].alias("p99"))
 
 
 def hop_percentiles(metrics: DataFrame, hops: list[str], ts: str = "ts") -> DataFrame:
@@ -66,46 +66,44 @@ def iterator_age(progress: DataFrame, ts: str = "ts") -> DataFrame:
     return shards.groupBy("minute", "stream").agg(F.max("age").alias("max_age"))
 
 
-def queue_depth(letters: DataFrame) -> DataFrame:
-    """Messages waiting per dead-letter queue, and whether that raises the depth alarm."""
-    return letters.groupBy("queue").agg(F.count(F.lit(1)).alias("depth")).withColumn(
-        "state", F.when(F.col("depth") >= 1, "ALARM").otherwise("OK")
+def queue_depth(letters: DataFrame, queues: list[str]) -> DataFrame:
+    """Messages waiting in each of the dead-letter ``queues``, and whether that raises the depth alarm.
+
+    An empty queue has depth 0 and is OK; letters of a queue that is not named count too.
+    """
+    named = letters.sparkSession.createDataFrame([(q,) for q in queues], "queue string")
+    found = letters.groupBy("queue").agg(F.count(F.lit(1)).alias("depth"))
+    depth = F.coalesce("depth", F.lit(0)).cast("long")
+    return found.join(F.broadcast(named), "queue", "full").select(
+        "queue", depth.alias("depth"), F.when(depth >= 1, "ALARM").otherwise("OK").alias("state")
     )
 
 
+def metric_rows(rows: DataFrame, ts: Column, tracks: list[tuple[str, Column]], signals: Column | None = None) -> DataFrame:
+    """``ts, stage, name, value`` from hop maps by stage and an array of ready entries, in one pass over ``rows``."""
+    entries = [
+        F.transform(
+            F.map_entries(hops),
+            lambda e, stage=stage: F.struct(F.lit(stage).alias("stage"), e["key"].alias("name"), e["value"].alias("value")),
+        )
+        for stage, hops in tracks
+    ]
+    every = F.concat(*entries, *([] if signals is None else [signals]))
+    return rows.select(ts.alias("ts"), F.inline(every))
+
+
 def alarms(stats: DataFrame, rules: list[tuple] = ALARM_RULES) -> DataFrame:
     """State of every alarm rule in every minute of ``stats``; a missing metric is OK.
 
-    The rules are a short fixed list, so each minute is expanded by them in place.
+    One group per minute picks the values the rules read, then the short fixed list of rules expands it in place.
     """
-    rule = F.explode(
-        F.array(
-            *[
-                F.struct(
-                    F.lit(alarm).alias("alarm"),
-                    F.lit(name).alias("name"),
-                    F.lit(dimension).alias("stage"),
-                    F.lit(statistic).alias("statistic"),
-                    F.lit(comparison).alias("comparison"),
-                    F.lit(threshold).alias("threshold"),
-                )
-                for alarm, name, dimension, statistic, comparison, threshold in rules
-            ]
-        )
-    )
-    expected = stats.select("minute").distinct().select("minute", rule.alias("r")).select("minute", "r.*")
-    known = stats.select("minute", "stage", "name", "max", "sum", "p99")
-    value = (
-        F.when(F.col("statistic") == "max", F.col("max").cast("double"))
-        .when(F.col("statistic") == "sum", F.col("sum").cast("double"))
-        .otherwise(F.col("p99"))
-    )
-    breached = F.when(F.col("comparison") == "GT", value > F.col("threshold")).otherwise(
-        value >= F.col("threshold")
-    )
-    return expected.join(known, ["minute", "stage", "name"], "left").select(
-        "minute",
-        "alarm",
-        value.alias("value"),
-        F.when(F.coalesce(breached, F.lit(False)), "ALARM").otherwise("OK").alias("state"),
-    )
+    sources = {"max": F.col("max").cast("double"), "sum": F.col("sum").cast("double")}
+    picks, states = [], []
+    for i, (alarm, name, dimension, statistic, comparison, threshold) in enumerate(rules):
+        here = (F.col("name") == name) & (F.col("stage") == dimension)
+        picks.append(F.max(F.when(here, sources.get(statistic, F.col("p99")))).alias(f"v{i}"))
+        value = F.col(f"v{i}")
+        breached = value > threshold if comparison == "GT" else value >= threshold
+        state = F.when(F.coalesce(breached, F.lit(False)), "ALARM").otherwise("OK")
+        states.append(F.struct(F.lit(alarm).alias("alarm"), value.alias("value"), state.alias("state")))
+    return stats.groupBy("minute").agg(*picks).select("minute", F.inline(F.array(*states)))

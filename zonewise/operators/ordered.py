@@ -16,10 +16,14 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
+from zonewise.session import materialize
+
 # Rows (or arrival numbers) per segment: large enough that border rows stay a few percent
 # of a fleet's data, small enough that one segment sorts inside an executor.
 ARRIVALS_PER_SEGMENT = 1 << 24
 MILLIS_PER_SEGMENT = 3_600_000
+#: Rows of a key beyond which it is cut into segments, where keys are measured first.
+ROWS_PER_SEGMENT = 1 << 22
 
 _SEGMENT = "__segment"
 _HEAD = "__head"
@@ -32,6 +36,28 @@ def span_segment(column: Column | str, span: int) -> Column:
     return F.floor(column.cast("long") / F.lit(int(span)))
 
 
+def measured_segments(
+    df: DataFrame, keys: Sequence[str], order: str, rows: int = ROWS_PER_SEGMENT
+) -> tuple[DataFrame, Column]:
+    """``df`` with what ``lookback`` needs to cut only keys of more than ``rows`` rows, and its segment column.
+
+    One pre-aggregated count per key finds them.  A key is cut into spans of the integer column ``order`` that hold
+    ``rows`` rows on average.  There is at most one such key for each ``rows`` rows, so their list is broadcast.
+    """
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"), F.min(order).alias("__low"), F.max(order).alias("__high"))
+    pieces = F.ceil(F.col("__n") / rows)
+    span = F.greatest(F.lit(1), F.floor((F.col("__high") - F.col("__low")) / pieces) + 1).cast("long")
+    hot = materialize(
+        counts.where(F.col("__n") > rows).select(*[F.col(k).alias(f"__hot_{k}") for k in keys], "__low", span.alias("__span"))
+    )
+    if hot.isEmpty():
+        return df, F.lit(0).cast("long")
+    same = [F.col(k).eqNullSafe(F.col(f"__hot_{k}")) for k in keys]
+    found = df.join(F.broadcast(hot), same, "left").drop(*[f"__hot_{k}" for k in keys])
+    segment = F.when(F.col("__span").isNull(), 0).otherwise(F.floor((F.col(order) - F.col("__low")) / F.col("__span")))
+    return found.withColumn("__cut", segment.cast("long")).drop("__low", "__span"), F.col("__cut")
+
+
 def lookback(
     df: DataFrame,
     keys: Sequence[str],

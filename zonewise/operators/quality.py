@@ -43,6 +43,10 @@ _LOOSE = T.StructType(
 _EMPTY_IDS = ["null", '""', "0", "0.0", "-0", "-0.0", "false", "[]", "{}"]
 
 
+#: What makes a record poison, in the order in which it is looked for.
+POISON_REASONS = ["undecodable", "not_object", "missing_vehicle", "missing_location", "bad_coordinate"]
+
+
 def parse_telemetry(raw: DataFrame, column: str = "raw") -> DataFrame:
     """Raw JSON text as canonical telemetry plus ``poison_reason`` (null for usable rows).
 
@@ -60,6 +64,11 @@ def parse_telemetry(raw: DataFrame, column: str = "raw") -> DataFrame:
         return F.try_variant_get(v, "$", "double")
 
     text = F.ltrim(F.col(column), F.lit(" \t\n\r"))
+    # A reader stops behind the first object; as an item of an array, followed by another, it must be all of the text.
+    # NaN and infinities are numbers here, but not to that function.
+    listed = F.concat(F.lit("["), F.col(column), F.lit(",0]"))
+    finite = F.regexp_replace(listed, r"-?\b(NaN|Infinity)\b", "0")
+    alone = F.coalesce(F.json_array_length(listed), F.json_array_length(finite), F.lit(0)) == 2
     unreadable = rec.isNull() | (rec[CORRUPT].isNotNull() & rec["vehicleId"].isNull() & rec["location"].isNull())
     reason = (
         F.when(F.col(column).isNull(), "undecodable")
@@ -67,7 +76,7 @@ def parse_telemetry(raw: DataFrame, column: str = "raw") -> DataFrame:
             ~text.startswith("{"),
             F.when(F.try_parse_json(F.col(column)).isNull(), "undecodable").otherwise("not_object"),
         )
-        .when(unreadable | ~F.rtrim(F.col(column), F.lit(" \t\n\r")).endswith("}"), "undecodable")
+        .when(unreadable | ~alone, "undecodable")
         .when(
             rec["vehicleId"].isNull() | F.to_json(rec["vehicleId"]).isin(_EMPTY_IDS),
             "missing_vehicle",
@@ -87,6 +96,8 @@ def parse_telemetry(raw: DataFrame, column: str = "raw") -> DataFrame:
         "vehicleId": F.try_variant_get(rec["vehicleId"], "$", "string"),
         "location": location,
     }
+    if "seq" in raw.columns:  # the arrival number of the log, which the record cannot know
+        fields["seq"] = F.col("seq").cast("long")
     kept = [c for c in raw.columns if c not in TELEMETRY.names]
     return parsed.select(
         *kept,

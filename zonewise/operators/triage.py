@@ -8,6 +8,7 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from zonewise.functions import triage as T
 from zonewise.functions.once import once
@@ -202,6 +203,12 @@ def with_history(
     return found.withColumn("history", F.coalesce(live, F.array())).drop("__h")
 
 
+def request_texts(rows: DataFrame, breach: list[str], history: str = "history", into: str = "request") -> DataFrame:
+    """Add the request text of each row: its ``breach`` columns, then its ``history``."""
+    event = StructType([rows.schema[c] for c in breach])
+    return rows.withColumn(into, T.request_text(F.struct(*breach), event, F.col(history), rows.schema[history].dataType))
+
+
 def similar_history(history: DataFrame, query: list[float], owner: str, vector: str, item: str, k: int) -> DataFrame:
     """The ``k`` history items of every owner most similar to a query vector (cosine).
 

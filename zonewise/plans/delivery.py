@@ -217,7 +217,7 @@ def bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
         DECISIONS_SQL,
         KEY_SQL,
         select=f"""
-SELECT dedupeKey, substr({_SUBJECT_SQL}, 1, 100) AS subject, {_BODY_SQL.replace("seq % 4 = 0", "false")} AS body
+SELECT dedupeKey, substr({_SUBJECT_SQL}, 1, 100) AS subject, {_SUBJECT_SQL} AS full_subject, {_BODY_SQL.replace("seq % 4 = 0", "false")} AS body
 FROM gated""",
     ),
 )

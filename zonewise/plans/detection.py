@@ -9,13 +9,19 @@ from pyspark.sql import functions as F
 
 from zonewise.functions import geometry as G
 from zonewise.operators import crossings as X
+from zonewise.operators.ordered import ARRIVALS_PER_SEGMENT, span_segment
 from zonewise.operators.zones import zone_versions
 from zonewise.plans import sql as S
 from zonewise.plans.registry import plan
-from zonewise.sources import tables as tb
 from zonewise.session import shared_dir, table_path
-from zonewise.sources.fixed import ROUTES, seed_zones
-from zonewise.streaming.breaches import breach_stream, state_store
+from zonewise.sources import tables as tb
+from zonewise.sources.fixed import seed_zones
+from zonewise.sources.streams import read_files
+from zonewise.streaming.breaches import BreachDetector
+
+#: The streaming query runs over the events in so many pieces, and takes so many files in one micro-batch.
+STREAM_BATCHES, STREAM_FILES = 3, 8
+
 
 def flat_breaches(found: DataFrame) -> DataFrame:
     return found.select(
@@ -143,15 +149,19 @@ def boundary_distance(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @plan(
     "b16_co_partition",
-    S.with_(S.TELEMETRY, select="SELECT vehicleId, count(*) AS positions, 1::BIGINT AS tasks FROM telemetry GROUP BY vehicleId"),
+    S.with_(
+        S.TELEMETRY,
+        select="""
+SELECT vehicleId, seq // 16777216 AS segment, count(*) AS positions, 1::BIGINT AS tasks FROM telemetry GROUP BY 1, 2""",
+    ),
 )
 def co_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All positions of a vehicle (within one segment) meet in one task."""
-    placed = X.co_partition(tb.telemetry(spark, sf_dir).select("vehicleId", "seq")).withColumn(
-        "task", F.spark_partition_id()
+    """All positions of a vehicle's segment meet in one task."""
+    placed = X.co_partition(tb.telemetry(spark, sf_dir).select("vehicleId", "seq")).select(
+        "vehicleId", span_segment("seq", ARRIVALS_PER_SEGMENT).alias("segment"), F.spark_partition_id().alias("task")
     )
-    per_task = placed.groupBy("vehicleId", "task").agg(F.count(F.lit(1)).alias("n"))
-    return per_task.groupBy("vehicleId").agg(F.sum("n").alias("positions"), F.count(F.lit(1)).alias("tasks"))
+    per_task = placed.groupBy("vehicleId", "segment", "task").agg(F.count(F.lit(1)).alias("n"))
+    return per_task.groupBy("vehicleId", "segment").agg(F.sum("n").alias("positions"), F.count(F.lit(1)).alias("tasks"))
 
 
 @plan(
@@ -251,27 +261,23 @@ def breaches_versioned(spark: SparkSession, sf_dir: str) -> DataFrame:
     S.with_(S.TELEMETRY, S.CHANGES, S.VERSIONS, _JUDGED, _VERSIONED, select=_VERSIONED_BREACHES),
 )
 def stream_breaches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same as ``c2_breaches_versioned``, found by the streaming job over the same rows."""
+    """The same as ``c2_breaches_versioned``, found by the streaming job over the same rows in several micro-batches."""
     folder = f"{shared_dir(spark)}/stream-{uuid.uuid4()}"
-
-    def stream(name: str) -> DataFrame:
-        source = tb.read_table(spark, sf_dir, name)
-        files = table_path(sf_dir, name).replace(".parquet", "*.parquet")
-        return spark.readStream.schema(source.schema).parquet(files)
-
-    telemetry = tb.telemetry_of(stream("events"))
-    rules = tb.order_changes_of(stream("orders"))
-    found = breach_stream(telemetry, rules)
-    with state_store(spark):
-        query = (
-            found.writeStream.format("parquet")
-            .option("path", f"{folder}/out")
-            .option("checkpointLocation", f"{folder}/checkpoint")
-            .trigger(availableNow=True)
-            .start()
-        )
+    events, orders = (tb.read_table(spark, sf_dir, name) for name in ("events", "orders"))
+    # The positions come in order of time, as they would from a log.
+    span = events.agg(F.unix_micros(F.min("ts").cast("timestamp")).alias("low"), F.unix_micros(F.max("ts").cast("timestamp")).alias("high")).first()
+    clock = F.unix_micros(F.col("ts").cast("timestamp"))
+    low, high = span["low"] or 0, span["high"] or 0
+    cuts = [low + (high + 1 - low) * i // STREAM_BATCHES for i in range(STREAM_BATCHES + 1)]
+    for start, end in zip(cuts, cuts[1:]):
+        piece = events.where((clock >= start) & (clock < end)).repartition(STREAM_FILES, "user_id")
+        piece.write.mode("append").parquet(f"{folder}/events")
+    telemetry = tb.telemetry_of(read_files(spark, f"{folder}/events", events.schema, "parquet", max_files=STREAM_FILES))
+    rules = tb.order_changes_of(read_files(spark, table_path(sf_dir, "orders").replace(".parquet", "*.parquet"), orders.schema, "parquet"))
+    detector = BreachDetector(spark, f"{folder}/detector")
+    for query in detector.start(telemetry, rules, availableNow=True):
         query.awaitTermination()
-    return _flat_versioned(spark.read.schema(found.schema).parquet(f"{folder}/out"))
+    return _flat_versioned(detector.breaches())
 
 
 # The seed zones switched on ten days into the events: what came before waits for them.
@@ -350,34 +356,22 @@ def heading(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @plan(
     "h7_position_along",
-    f"""
-WITH routes(route, pts) AS (SELECT * FROM (VALUES {S.ROUTE_ROWS}) AS v),
+    S.with_(
+        S.SUPPLIER_SITES,
+        """
 asked AS (
-  SELECT event_id AS seq, route, pts, len(pts) - 1 AS legs,
-    least(greatest(value / 450 - 0.05::DOUBLE, 0), 0.9999::DOUBLE) * (len(pts) - 1) AS s
-  FROM events JOIN (SELECT *, row_number() OVER (ORDER BY route) - 1 AS n FROM routes) r ON r.n = event_id % 3
+  SELECT zoneId, polygon AS pts,
+    least(greatest(cast(suffix AS double) / 90 - 0.05::DOUBLE, 0), 0.9999::DOUBLE) * (len(polygon) - 1) AS s
+  FROM (SELECT *, cast(substr(zoneId, 6) AS bigint) % 100 AS suffix FROM all_zones)
 ), legs AS (
   SELECT *, cast(floor(s) AS integer) AS leg, s - floor(s) AS f,
     pts[cast(floor(s) AS integer) + 1] AS a, pts[cast(floor(s) AS integer) + 2] AS b FROM asked
-)
-SELECT seq, route, round(a[1] + (b[1] - a[1]) * f, 6) AS lat, round(a[2] + (b[2] - a[2]) * f, 6) AS lon FROM legs""",
+)""",
+        select="SELECT zoneId, round(a[1] + (b[1] - a[1]) * f, 6) AS lat, round(a[2] + (b[2] - a[2]) * f, 6) AS lon FROM legs",
+    ),
 )
 def position_along(spark: SparkSession, sf_dir: str) -> DataFrame:
-    names = sorted(ROUTES)
-    routes = F.array(
-        *[
-            F.struct(
-                F.lit(name).alias("route"),
-                F.array(*[F.array(*[F.lit(v) for v in point]) for point in ROUTES[name]]).alias("points"),
-            )
-            for name in names
-        ]
-    )
-    picked = F.get(routes, (F.col("event_id") % 3).cast("int"))
-    at = G.position_along("r.points", "value / 450 - 0.05D")
-    return (
-        tb.read_table(spark, sf_dir, "events")
-        .select(F.col("event_id").alias("seq"), "value", picked.alias("r"))
-        .select("seq", "r.route", at.alias("at"))
-        .select("seq", "route", F.round("at.lat", 6).alias("lat"), F.round("at.lon", 6).alias("lon"))
-    )
+    """A place on the fence of each site, by the share of its legs that lie before it."""
+    at = G.position_along("polygon", "double(bigint(substring(id, 6)) % 100) / 90 - 0.05D")
+    fences = tb.supplier_zones(spark, sf_dir).select(F.col("id").alias("zoneId"), at.alias("at"))
+    return fences.select("zoneId", F.round("at.lat", 6).alias("lat"), F.round("at.lon", 6).alias("lon"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from zonewise.functions import latency as L
 from zonewise.operators import monitoring as ops
-from zonewise.operators.quality import split_poison
+from zonewise.operators.quality import POISON_REASONS, split_poison
 from zonewise.plans import sql as S
 from zonewise.plans.quality import _DAMAGE_SQL, _parsed
 from zonewise.plans.registry import plan
@@ -80,16 +80,22 @@ def processor_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ops.hop_rows(_traced(spark, sf_dir), found, "seq")
 
 
+_TRIAGE_STAMPS = [
+    "alertsArrival + 5 AS analyzerRead",
+    "if(seq % 11 = 0, null, alertsArrival + 200 + seq % 500) AS bedrockDone",
+    "alertsArrival + 210 + seq % 500 AS sqsEnqueue",
+    "alertsArrival + 900 AS publisherRead",
+    "alertsArrival + 930 + seq % 60 AS snsPublish",
+]
+
+
 def _triage_stamps(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The later stamps: analyzer and publisher; some are missing."""
-    return tb.telemetry(spark, sf_dir).selectExpr(
-        "seq",
-        "alertsArrival + 5 AS analyzerRead",
-        "if(seq % 11 = 0, null, alertsArrival + 200 + seq % 500) AS bedrockDone",
-        "alertsArrival + 210 + seq % 500 AS sqsEnqueue",
-        "alertsArrival + 900 AS publisherRead",
-        "alertsArrival + 930 + seq % 60 AS snsPublish",
-    )
+    return tb.telemetry(spark, sf_dir).selectExpr("seq", *_TRIAGE_STAMPS)
+
+
+def _with_triage(traced: DataFrame) -> DataFrame:
+    return traced.selectExpr("*", *_TRIAGE_STAMPS)
 
 
 TRIAGE_HOPS_SQL = """
@@ -194,36 +200,19 @@ metrics AS (
 
 
 def metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Hops of both tracks and the processor's own signals in one long table."""
-    traced = _traced(spark, sf_dir)
+    """Hops of both tracks and the processor's own signals in one long table, from one pass over the positions."""
+    traced = _with_triage(_traced(spark, sf_dir))
+    stamps = {c: F.col(c) for c in traced.columns}
     hops = L.detection_hops(F.col("trace"), F.col("streamArrival"))
-    detection = traced.select(
-        F.col("alertsArrival").alias("ts"), F.lit("detection").alias("stage"), F.explode(hops).alias("name", "value")
-    )
-    stamps = _triage_stamps(spark, sf_dir)
-    columns = {c: F.col(c) for c in stamps.columns}
-
-    def stage(name: str, table: dict) -> DataFrame:
-        return stamps.select(
-            (F.col("publisherRead") - 900).alias("ts"),
-            F.lit(name).alias("stage"),
-            F.explode(L.hop_map(columns, table)).alias("name", "value"),
-        )
-
-    signals = traced.selectExpr(
-        "alertsArrival AS ts",
-        """inline(array(
+    tracks = [("detection", hops), ("analyzer", L.hop_map(stamps, L.ANALYZER_HOPS)), ("publisher", L.hop_map(stamps, L.PUBLISHER_HOPS))]
+    signals = F.expr("""array(
           struct('vehicle-telemetry' AS stage, 'GetRecords.IteratorAgeMilliseconds' AS name, floor(value * 200) AS value),
           struct('geofence-processor' AS stage, 'millisBehindLatest' AS name, floor(value * 150) AS value),
           struct('geofence-processor' AS stage, 'backPressuredTimeMsPerSecond' AS name, floor(value * 2) AS value),
           struct('geofence-processor' AS stage, 'numberOfFailedCheckpoints' AS name, if(seq % 97 = 0, 1L, 0L) AS value),
           struct('vehicle-telemetry' AS stage, 'WriteProvisionedThroughputExceeded' AS name, if(seq % 89 = 0, 1L, 0L) AS value)
-        ))""",
-    )
-    parts = [stage("analyzer", L.ANALYZER_HOPS), stage("publisher", L.PUBLISHER_HOPS), signals]
-    for part in parts:
-        detection = detection.unionByName(part)
-    return detection
+        )""")
+    return ops.metric_rows(traced, F.col("alertsArrival"), tracks, signals)
 
 
 _STATS_SQL = """
@@ -331,10 +320,13 @@ def iterator_age(spark: SparkSession, sf_dir: str) -> DataFrame:
         S.TELEMETRY,
         _DAMAGE_SQL,
         select="""
-SELECT concat('telemetry-', poison_reason) AS queue, count(*) AS depth, 'ALARM' AS state
-FROM parsed WHERE poison_reason IS NOT NULL GROUP BY 1""",
+SELECT queue, count(poison_reason) AS depth, CASE WHEN count(poison_reason) >= 1 THEN 'ALARM' ELSE 'OK' END AS state
+FROM (SELECT unnest(['telemetry-undecodable', 'telemetry-not_object', 'telemetry-missing_vehicle', 'telemetry-missing_location',
+  'telemetry-bad_coordinate', 'alert-delivery']) AS queue)
+LEFT JOIN parsed ON queue = concat('telemetry-', poison_reason) GROUP BY queue""",
     ),
 )
 def dead_letter_depth(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, bad = split_poison(_parsed(spark, sf_dir))
-    return ops.queue_depth(bad.select(F.concat(F.lit("telemetry-"), "poison_reason").alias("queue")))
+    letters = bad.select(F.concat(F.lit("telemetry-"), "poison_reason").alias("queue"))
+    return ops.queue_depth(letters, [*[f"telemetry-{r}" for r in POISON_REASONS], "alert-delivery"])

@@ -13,7 +13,6 @@ from zonewise.plans.registry import plan
 from zonewise.schemas import BREACH, TELEMETRY
 from zonewise.sources import streams
 from zonewise.sources import tables as tb
-from zonewise.sources.fixed import ROUTES
 
 
 def _message_json(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -224,15 +223,15 @@ def zone_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
 @plan(
     "b6_route_errors",
     """
-SELECT event_id AS seq, CASE WHEN event_id % 4 < 2 THEN concat(event_type, ': route needs >= 2 waypoints') ELSE '' END
-  AS errors FROM events""",
+SELECT s_suppkey AS suppkey, CASE WHEN s_suppkey % 4 < 2 THEN concat(s_name, ': route needs >= 2 waypoints') ELSE '' END
+  AS errors FROM supplier""",
 )
 def route_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    points = "array(" + ", ".join(f"array({lat!r}D, {lon!r}D)" for lat, lon in ROUTES["Deerfoot Trail"]) + ")"
-    routes = tb.read_table(spark, sf_dir, "events").selectExpr(
-        "event_id AS seq", "event_type", f"slice({points}, 1, int(event_id % 4)) AS waypoints"
+    """Paths along the fences of sites, cut after none to three of their corners."""
+    routes = tb.supplier_zones(spark, sf_dir).selectExpr(
+        "bigint(substring(id, 6)) AS suppkey", "name", "slice(polygon, 1, int(bigint(substring(id, 6)) % 4)) AS waypoints"
     )
-    return routes.select("seq", F.array_join(Q.route_errors("event_type", "waypoints"), ";").alias("errors"))
+    return routes.select("suppkey", F.array_join(Q.route_errors("name", "waypoints"), ";").alias("errors"))
 
 
 @plan(

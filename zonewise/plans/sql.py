@@ -6,7 +6,7 @@ in one window: the plain definition of the results, without any of the library's
 
 from __future__ import annotations
 
-from zonewise.sources.fixed import ROUTES, SEED_ZONES, SEEDED_AT
+from zonewise.sources.fixed import SEED_ZONES, SEEDED_AT
 
 TELEMETRY = """
 telemetry AS (
@@ -44,8 +44,6 @@ zones AS (
   SELECT * FROM (VALUES {_seed_rows()}) AS v(zoneId, zoneName, zoneKind, alertLevel, polygon, active, updatedAt)
 )"""
 
-ROUTE_ROWS = ", ".join(f"('{name}', {_points(points)})" for name, points in ROUTES.items())
-
 
 def ring(lat: str, lon: str, height: str, width: str) -> str:
     """The concave six-corner plot used for derived zones, closed."""

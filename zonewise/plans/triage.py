@@ -11,6 +11,7 @@ from zonewise.plans import sql as S
 from zonewise.plans.detection import seed_breaches
 from zonewise.plans.registry import plan
 from zonewise.schemas import BREACH
+from zonewise.session import materialize
 from zonewise.sources import tables as tb
 
 BASELINE_SQL = """
@@ -221,9 +222,9 @@ history AS (
 )"""
 
 
-def baseline_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The baseline's verdicts as history; two crossings of one position get distinct numbers."""
-    return ops.baseline(seed_breaches(spark, sf_dir)).selectExpr(
+def baseline_history(found: DataFrame) -> DataFrame:
+    """The baseline's verdicts on breaches as history; two crossings of one position get distinct numbers."""
+    return ops.baseline(found).selectExpr(
         "vehicleId", "timestamp AS eventTime", "severity", "seq * 2 + if(breachType = 'entry', 1, 0) AS seq"
     )
 
@@ -241,7 +242,7 @@ SELECT vehicleId, seq, len(prior)::INTEGER AS n, array_to_string(prior, ',') AS
     ),
 )
 def history_last5(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ops.last_decisions(baseline_history(spark, sf_dir)).selectExpr(
+    return ops.last_decisions(baseline_history(seed_breaches(spark, sf_dir))).selectExpr(
         "vehicleId", "seq", "size(prior) AS n", "array_join(transform(prior, p -> p.severity), ',') AS prior"
     )
 
@@ -265,8 +266,9 @@ FROM ranked WHERE rn <= 5 GROUP BY vehicleId, seq, zoneId""",
 )
 def history_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """With ten days instead of ninety, so that some history expires within the data."""
-    found = seed_breaches(spark, sf_dir).select("vehicleId", "seq", "zoneId", "timestamp")
-    joined = ops.with_history(found, baseline_history(spark, sf_dir), days=10)
+    found = materialize(seed_breaches(spark, sf_dir))  # read by both sides
+    asked = found.select("vehicleId", "seq", "zoneId", "timestamp")
+    joined = ops.with_history(asked, baseline_history(found), days=10)
     return joined.selectExpr(
         "vehicleId",
         "seq",
@@ -276,14 +278,35 @@ def history_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@plan("h18_requests")
+_JSON_SQL = """
+, ranked AS (
+  SELECT b.*, h.severity AS h_severity, h.eventTime AS h_time, h.seq AS hseq,
+    row_number() OVER (PARTITION BY b.vehicleId, b.seq, b.zoneId ORDER BY h.eventTime DESC, h.seq DESC) AS rn
+  FROM breaches b LEFT JOIN history h ON h.vehicleId = b.vehicleId AND h.eventTime < b.timestamp
+    AND h.eventTime >= b.timestamp - 90 * 86400000::BIGINT
+), gathered AS (
+  SELECT vehicleId, seq, zoneId, count(h_severity) AS n, string_agg(
+      to_json({'eventTime': h_time, 'seq': hseq, 'severity': h_severity})::VARCHAR, chr(10) ORDER BY rn DESC) FILTER (WHERE h_severity IS NOT NULL) AS lines,
+    any_value(to_json({'breachType': breachType, 'distanceOutsideM': distanceOutsideM, 'durationInStateS': durationInStateS,
+      'location': {'accuracy': accuracy, 'latitude': round(lat, 4), 'longitude': round(lon, 4)}, 'timestamp': timestamp,
+      'trace': {'eventTime': timestamp, 'flinkEmit': NULL::BIGINT, 'flinkRead': NULL::BIGINT, 'ingestTime': ingestTime},
+      'vehicleId': vehicleId, 'zoneId': zoneId, 'zoneKind': zoneKind, 'zoneName': zoneName})::VARCHAR) AS event
+  FROM ranked WHERE rn <= 5 GROUP BY vehicleId, seq, zoneId)
+SELECT vehicleId, seq, zoneId, concat('Breach event:', chr(10), event, chr(10), chr(10), CASE WHEN n > 0
+  THEN concat('Vehicle history (', n, ' prior record(s), newest last):', chr(10), lines) ELSE 'Vehicle history: none on record.' END) AS request
+FROM gathered"""
+
+
+@plan("h18_requests", S.with_(*S.SEED_BREACHES, BASELINE_SQL, _HISTORY_SQL, select=_JSON_SQL))
 def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Request texts with history.  Their exact JSON layout is Spark's, so there is no SQL for it."""
-    found = seed_breaches(spark, sf_dir)
-    joined = ops.with_history(found, baseline_history(spark, sf_dir))
-    names = sorted(f.name for f in BREACH)
-    event = F.struct(*[F.col(n) for n in names])
-    return joined.select("vehicleId", "seq", "zoneId", T.request_text(event, F.col("history")).alias("request"))
+    """Request texts with history.  Coordinates are rounded, as engines print the last digit of a double differently."""
+    found = materialize(seed_breaches(spark, sf_dir))
+    joined = ops.with_history(found, baseline_history(found)).withColumn(
+        "location",
+        F.struct(*[F.round(f"location.{c}", 4).alias(c) for c in ("latitude", "longitude")], F.col("location.accuracy").alias("accuracy")),
+    )
+    event = [f.name for f in BREACH if f.name != "vehicle"]
+    return ops.request_texts(joined, event).select("vehicleId", "seq", "zoneId", "request")
 
 
 _QUERY_VECTOR = [1.0 if i % 2 == 0 else -1.0 for i in range(64)]

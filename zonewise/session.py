@@ -4,6 +4,10 @@ from __future__ import annotations
 
 import os
 import tempfile
+import threading
+import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -11,6 +15,9 @@ CHECKPOINT_DIR_KEY = "spark.checkpoint.dir"
 STATE_STORE_KEY = "spark.sql.streaming.stateStore.providerClass"
 ROCKSDB_STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
+_own_folders: dict[str, str] = {}
+_scratch = threading.local()
+
 
 def local_session(
     app: str = "zonewise",
@@ -51,24 +58,41 @@ def shared_dir(spark: SparkSession) -> str:
     configured = spark.conf.get(CHECKPOINT_DIR_KEY, None)
     if configured:
         return configured
-    if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
         raise ValueError(f"set {CHECKPOINT_DIR_KEY} to a folder all executors can reach")
-    folder = tempfile.mkdtemp(prefix="run-", dir="/tmp")
-    spark.conf.set(CHECKPOINT_DIR_KEY, folder)
-    return folder
+    # The setting cannot be changed while a context runs, so its folder is kept here.
+    if context.applicationId not in _own_folders:
+        _own_folders[context.applicationId] = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+    return _own_folders[context.applicationId]
 
 
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
 
 
+@contextmanager
+def scratch(folder: str) -> Iterator[str]:
+    """Inside, ``materialize`` writes tables into ``folder``, for the caller to delete when they are no longer read."""
+    before = getattr(_scratch, "folder", None)
+    _scratch.folder = folder
+    try:
+        yield folder
+    finally:
+        _scratch.folder = before
+
+
 def materialize(df):
     """Compute ``df`` once into the shared folder and cut its lineage there.
 
-    A reliable checkpoint: it survives the loss of executors.
+    A reliable checkpoint, or inside ``scratch`` a table: both survive the loss of executors.
     """
     spark = df.sparkSession
-    folder = shared_dir(spark)
+    folder = getattr(_scratch, "folder", None)
+    if folder is not None:
+        path = f"{folder}/{uuid.uuid4().hex}"
+        df.write.parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
     if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
-        spark.sparkContext.setCheckpointDir(folder)
+        spark.sparkContext.setCheckpointDir(shared_dir(spark))
     return df.checkpoint(eager=True)

@@ -1,4 +1,4 @@
-"""Fixed values of the pilot: seed zones, routes, alarm rules."""
+"""Fixed values of the pilot: seed zones, alarm rules."""
 
 from __future__ import annotations
 
@@ -43,13 +43,6 @@ SEED_ZONES = [
     ),
 ]
 
-# Route name and waypoints [lat, lon].
-ROUTES = {
-    "Deerfoot Trail": [[51.180, -114.000], [51.120, -114.005], [51.060, -114.010], [51.020, -113.995]],
-    "Glenmore Trail": [[51.000, -114.120], [51.000, -114.080], [51.000, -114.040], [51.000, -114.000]],
-    "Memorial Drive": [[51.050, -114.120], [51.048, -114.090], [51.045, -114.072]],
-}
-
 # Alarm, metric, dimension, statistic, comparison, threshold.
 ALARM_RULES = [
     ("TelemetryIteratorAge", "GetRecords.IteratorAgeMilliseconds", "vehicle-telemetry", "max", "GT", 60000.0),
