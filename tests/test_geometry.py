@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from zonewise.functions import geometry as G
 from zonewise.functions import quality as Q
 from zonewise.operators import spatial
-from zonewise.sources.fixed import ROUTES, local_table, seed_zones
+from zonewise.sources.fixed import local_table, seed_zones
 from zonewise.schemas import ZONE
 
 L_RING = [[0.0, 0.0], [0.0, 4.0], [2.0, 4.0], [2.0, 2.0], [4.0, 2.0], [4.0, 0.0], [0.0, 0.0]]
@@ -69,13 +69,13 @@ def test_bearing_and_position_along(spark):
         G.bearing_deg(0.0, 0.0, 1.0, 0.0), G.bearing_deg(0.0, 0.0, 0.0, 1.0), G.bearing_deg(0.0, 1.0, 0.0, 0.0)
     ).first()
     assert (north, east, west) == (pytest.approx(0), pytest.approx(90), pytest.approx(270))
-    route = spark.createDataFrame([(ROUTES["Glenmore Trail"],)], "route array<array<double>>")
+    route = spark.createDataFrame([([[0.0, 10.0], [0.0, 10.5], [0.0, 11.0]],)], "route array<array<double>>")
     start, middle, end = route.select(
         G.position_along("route", -1.0), G.position_along("route", 0.5), G.position_along("route", 7.0)
     ).first()
-    assert (start.lat, start.lon) == (51.0, -114.12)
-    assert middle.lon == pytest.approx(-114.06)
-    assert end.lon == pytest.approx(-114.0, abs=1e-3) and end.heading == pytest.approx(90, abs=0.1)
+    assert (start.lat, start.lon) == (0.0, 10.0)
+    assert middle.lon == pytest.approx(10.5)
+    assert end.lon == pytest.approx(11.0, abs=1e-3) and end.heading == pytest.approx(90, abs=0.1)
 
 
 def test_seed_zones_are_valid(spark):

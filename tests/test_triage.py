@@ -164,10 +164,17 @@ def test_history_before_each_breach(spark):
     assert [h.severity for h in old.first().history] == ["s10", "s11"]
 
 
+def test_request_text_has_sorted_keys_at_every_level(spark):
+    df = spark.sql("""SELECT struct(array(struct(2 AS z, map('q', 1, 'b', cast(null as int)) AS a)) AS list, cast(null as struct<y:int, x:int>) AS gone,
+                   struct('v' AS y, 1 AS x) AS b) AS b, cast(array() AS array<struct<s:string>>) AS h""")
+    text = df.select(T.request_text(F.col("b"), df.schema["b"].dataType, F.col("h"), df.schema["h"].dataType)).first()[0]
+    assert text.splitlines()[1] == '{"b":{"x":1,"y":"v"},"gone":null,"list":[{"a":{"b":null,"q":1},"z":2}]}'
+
+
 def test_request_text(spark):
     df = spark.sql("SELECT struct('v' AS vehicleId, cast(null as int) AS n) AS b, array(struct('HIGH' AS severity)) AS h")
     text = df.select(T.request_text(F.col("b"), df.schema["b"].dataType, F.col("h"), df.schema["h"].dataType)).first()[0]
-    assert text == 'Breach event:\n{"vehicleId":"v","n":null}\n\nVehicle history (1 prior record(s), newest last):\n{"severity":"HIGH"}'
+    assert text == 'Breach event:\n{"n":null,"vehicleId":"v"}\n\nVehicle history (1 prior record(s), newest last):\n{"severity":"HIGH"}'
     none = df.select(T.request_text(F.col("b"), df.schema["b"].dataType, F.expr("array_remove(h, h[0])"), df.schema["h"].dataType)).first()[0]
     assert none.endswith("Vehicle history: none on record.")
 

@@ -21,11 +21,12 @@ from zonewise.operators.ordered import (
     MILLIS_PER_SEGMENT,
     ROWS_PER_SEGMENT,
     asof_join,
+    largest_group,
     lookback,
     measured_segments,
     span_segment,
 )
-from zonewise.operators.spatial import NO_KEY, ZoneIndex, build_index, inside_pairs
+from zonewise.operators.spatial import BROADCAST_LIMIT_BYTES, NO_KEY, ZoneIndex, build_index, inside_pairs
 from zonewise.operators.zones import with_activity
 from zonewise.schemas import SIGNALS
 from zonewise.session import materialize
@@ -238,7 +239,7 @@ class ZoneLog:
 
 def zone_log(versions: DataFrame) -> ZoneLog | None:
     """The log of zone versions (``zones.zone_versions``); null if no zone was ever active."""
-    spans = materialize(with_activity(versions))
+    spans = materialize(with_activity(materialize(versions)))
     facts = spans.agg(
         F.min("valid_from").alias("first_active"),
         F.min(F.col("activity_to") - F.col("activity_from")).alias("shortest"),
@@ -292,7 +293,7 @@ def edges_versioned(
         moves = moves.drop("__cut")
     found, ends = near_edits(moves, log, positions.columns, breaches_only)
     if log.switched:
-        found = found.unionByName(_gap_crossings(positions, ends, log.periods, span_ms))
+        found = found.unionByName(_gap_crossings(positions, ends, log.periods, span_ms, rows_per_segment))
     return with_versions(found, log, positions.columns, span_ms, breaches_only)
 
 
@@ -348,60 +349,106 @@ def with_versions(found: DataFrame, log: ZoneLog, base: list[str], span_ms: int,
     return out.where(is_breach("zoneKind", "edge")) if breaches_only else out
 
 
-def judged_across(asks: DataFrame, periods: DataFrame, trail: DataFrame, span_ms: int) -> tuple[DataFrame, DataFrame]:
+#: Hops of ``judged_across`` in one job.
+HOPS_AT_ONCE = 2
+#: Zones of up to so many periods, and of so many in all (16 bytes each), are looked up in a broadcast; others by an as-of join.
+PERIODS_IN_ROW, PERIODS_BROADCAST = 256, BROADCAST_LIMIT_BYTES // 16
+
+# What a row of a trail stands for: a position, a position of which no more is known, and one from which on the vehicle
+# reported without a silence that could hide a whole active period.
+POSITION, REPORT, STEADY = 0, 1, 2
+
+
+def _period_on_the_way(rows: DataFrame, both: DataFrame, spans: DataFrame | None, by_zone: int | None) -> DataFrame:
+    """Rows with the ``period`` of their zone that is the first on their way from ``at``, if they are open."""
+    if spans is None:
+        asked = rows.withColumn("__t", F.expr("if(state <> 'open', null, if(way = 1, at + 1, -at))"))
+        return asof_join(asked, both, ["zoneId", "way"], "__t", "reach", "period", direction="forward", span=by_zone).drop("__t")
+    ahead = "get(filter(spans, p -> p.activity_to > at), 0)"
+    behind = "try_element_at(filter(spans, p -> p.activity_from <= at), -1)"
+    found = rows.join(F.broadcast(spans), "zoneId", "left")
+    return found.withColumn("period", F.expr(f"if(state <> 'open', null, if(way = 1, {ahead}, {behind}))")).drop("spans")
+
+
+def _hop(
+    rows: DataFrame, both: DataFrame, spans: DataFrame | None, path: DataFrame, columns: list[str], by_zone: int | None, by_vehicle: int | None
+) -> DataFrame:
+    """One hop of the rows that are still open: to the zone's period on the way, and from there to a position."""
+    met = (
+        _period_on_the_way(rows, both, spans, by_zone)
+        .withColumn("until", F.expr("if(state <> 'open', until, if(way = 1, period.activity_from, period.activity_to))"))
+        .withColumn(
+            "state",
+            F.expr(
+                """CASE WHEN state <> 'open' THEN state WHEN period IS NULL THEN 'gone'
+                   WHEN at >= period.activity_from AND at < period.activity_to THEN 'judged' ELSE 'open' END"""
+            ),
+        )
+        # Back: strictly before the end of the period.  Those that need no hop ask for nothing.
+        .withColumn("__t", F.expr("if(state <> 'open', null, if(way = 1, until, 1 - until))"))
+        .drop("period")
+    )
+    found = asof_join(met, path, ["vehicleId", "way"], "__t", "reach", "found", tie="tie", direction="forward", span=by_vehicle)
+    open_ = F.col("state") == "open"
+    moved = {
+        "kind": F.when(open_, F.col("found.kind")).otherwise(F.col("kind")),
+        "at": F.when(open_ & F.col("found").isNotNull(), F.col("found.clock")).otherwise(F.col("at")),
+        "at_seq": F.when(open_ & F.col("found").isNotNull(), F.col("found.seq")).otherwise(F.col("at_seq")),
+        "state": F.expr(f"""CASE WHEN state <> 'open' THEN state WHEN found IS NULL THEN 'gone'
+                            WHEN found.kind = {STEADY} THEN 'judged' ELSE 'open' END"""),
+    }
+    return found.withColumns(moved).select(*columns, "kind", "until", "state")
+
+
+def judged_across(
+    asks: DataFrame, periods: DataFrame, trail: DataFrame, span_ms: int, past: DataFrame | None = None, rows: int = ROWS_PER_SEGMENT
+) -> tuple[DataFrame, DataFrame]:
     """The nearest judged position of a vehicle on the way from a place in time: (found rows, rows that ran out).
 
     ``asks`` has ``vehicleId, zoneId``, a direction ``way`` (1 on, -1 back) and a position ``at, at_seq`` of the
     vehicle, which counts itself if the zone is active then.  Where it is not, the next hop goes to the zone's next
-    active period on the way, and from there to the vehicle's first position on that way, until the two meet.  Only
-    rows still open go on, and ``trail`` (``vehicleId, clock, seq`` and more) is not read before one is.
+    active period on the way, and from there to the vehicle's first position on that way, until the two meet.  A job
+    takes ``HOPS_AT_ONCE`` hops of the rows still open.  Vehicles and zones of more than ``rows`` rows are cut into spans of time.
 
-    Found rows have the position they came to as ``at, at_seq`` and, if it was not the one asked with, its row of ``trail``
-    as ``hop``; rows that ran out of positions have ``until``, the time they looked for, or null if no period was left.
+    ``trail`` holds positions (``vehicleId, clock, seq``); ``past`` what is known of earlier ones, as ``vehicleId,
+    clock, kind``.  Found rows have the position they came to as ``at, at_seq`` and, if it was not the one asked with, its
+    ``kind``.  Rows that ran out have ``until``, the time they looked for, or null if no period was left.
     """
     ways = F.explode(F.array(F.lit(1), F.lit(-1))).alias("way")
     both = materialize(
         periods.select("*", ways).withColumn("reach", F.expr("if(way = 1, activity_to, -activity_from)"))
     )
     columns = asks.columns
-    hop_type = trail.select(F.struct("*").alias("hop")).schema["hop"].dataType
-    open_ = materialize(asks.withColumn("hop", F.lit(None).cast(hop_type)))
-    done, gone, path = [], [], None
-    while True:
-        asked = open_.withColumn("__t", F.expr("if(way = 1, at + 1, -at)"))
-        met = materialize(
-            asof_join(asked, both, ["zoneId", "way"], "__t", "reach", "period", direction="forward", span=span_ms)
-            .withColumn("until", F.expr("if(way = 1, period.activity_from, period.activity_to)"))
-            .withColumn("judged", F.expr("period IS NOT NULL AND at >= period.activity_from AND at < period.activity_to"))
-            .drop("period", "__t")
-        )
-        done.append(met.where("judged").select(*columns, "hop"))
-        gone.append(met.where("until IS NULL").select(*columns, "until"))
-        rest = met.where("NOT judged AND until IS NOT NULL")
-        if rest.isEmpty():
-            break
-        if path is None:
-            concerned = trail.join(rest.select("vehicleId").distinct(), "vehicleId", "left_semi")
-            path = materialize(
-                concerned.select("vehicleId", F.struct(*trail.columns).alias("hop"), ways)
-                .withColumn("reach", F.expr("way * hop.clock"))
-                .withColumn("tie", F.expr("way * hop.seq"))
-            )
-        # Back: strictly before the end of the period.
-        looked = rest.drop("hop").withColumn("__t", F.expr("if(way = 1, until, 1 - until)"))
-        next_ = asof_join(looked, path, ["vehicleId", "way"], "__t", "reach", "found", tie="tie", direction="forward", span=span_ms)
-        gone.append(next_.where("found IS NULL").select(*columns, "until"))
-        moved = next_.where("found IS NOT NULL").withColumns(
-            {"hop": F.col("found.hop"), "at": F.col("found.hop.clock"), "at_seq": F.col("found.hop.seq")}
-        )
-        open_ = materialize(moved.select(*columns, "hop"))
-    return reduce(DataFrame.unionByName, done), reduce(DataFrame.unionByName, gone)
+    fresh = {"kind": F.lit(None).cast("int"), "until": F.lit(None).cast("long"), "state": F.lit("open")}
+    open_ = materialize(asks.withColumns(fresh))
+    concerned = trail.join(open_.select("vehicleId").distinct(), "vehicleId", "left_semi")
+    path = concerned.select("vehicleId", "clock", "seq", F.lit(POSITION).alias("kind"), ways)
+    if past is not None:
+        path = path.unionByName(past.select("vehicleId", "clock", F.lit(None).cast("long").alias("seq"), "kind", F.lit(-1).alias("way")))
+    path = materialize(path.withColumn("reach", F.expr("way * clock")).withColumn("tie", F.expr("way * coalesce(seq, -kind)")))
+    sizes = largest_group(
+        *[(df, [key, "way"]) for df, key in ((open_, "zoneId"), (both, "zoneId"), (open_, "vehicleId"), (path, "vehicleId"))], (both, ["way"])
+    )
+    by_zone, by_vehicle = (None if sum(pair) <= rows else span_ms for pair in (sizes[:2], sizes[2:4]))
+    spans = None
+    if sizes[1] <= min(PERIODS_IN_ROW, rows) and sizes[4] <= PERIODS_BROADCAST:
+        listed = F.sort_array(F.collect_list(F.struct("activity_from", "activity_to"))).alias("spans")
+        spans = materialize(both.where("way = 1").groupBy("zoneId").agg(listed))
+    ended = []
+    while not open_.isEmpty():
+        for _ in range(HOPS_AT_ONCE):
+            open_ = _hop(open_, both, spans, path, columns, by_zone, by_vehicle)
+        hopped = materialize(open_)
+        ended.append(hopped.where("state <> 'open'"))
+        open_ = hopped.where("state = 'open'")
+    every = reduce(DataFrame.unionByName, ended, open_.limit(0))
+    found = every.where("state = 'judged'").select(*columns, "kind")
+    return found, every.where("state = 'gone'").select(*columns, "until")
 
 
 def gap_asks(ends: DataFrame) -> DataFrame:
     """From each position inside a zone next to its inactive time: the way across, and where the way begins."""
     return ends.select(
-        F.struct(*[c for c in ends.columns if c not in ("zoneId", "enters", "prev_clock", "prev_seq")]).alias("row"),
         "vehicleId",
         "zoneId",
         F.expr("if(enters, -1, 1)").alias("way"),
@@ -413,8 +460,8 @@ def gap_asks(ends: DataFrame) -> DataFrame:
     )
 
 
-def gap_edges(found: DataFrame, ends: DataFrame) -> DataFrame:
-    """Crossings among rows of ``judged_across``: those whose two ends differ.
+def gap_edges(found: DataFrame, ends: DataFrame, positions: DataFrame) -> DataFrame:
+    """Crossings among rows of ``judged_across``, those whose two ends differ, with the columns of their position.
 
     The position across is inside if it is itself the end of such a row: the first inside after a gap as seen from
     before it, or the last inside before a gap as seen from behind it.
@@ -426,17 +473,24 @@ def gap_edges(found: DataFrame, ends: DataFrame) -> DataFrame:
         F.expr("if(enters, clock, prev_clock)").alias("at"),
         F.expr("if(enters, seq, prev_seq)").alias("at_seq"),
     ).distinct()
-    differ = found.join(across, ["vehicleId", "zoneId", "way", "at", "at_seq"], "left_anti")
+    differ = found.join(across, ["vehicleId", "zoneId", "way", "at", "at_seq"], "left_anti")  # never met by a mere report
     # Gone in between: the crossing is where the vehicle is first judged outside.  Come in between: at the first position inside.
-    named = differ.withColumn("edge", F.expr(f"if(way = 1, '{EXIT}', '{ENTRY}')"))
-    return named.select(F.expr("if(way = 1 AND hop IS NOT NULL, hop, row)").alias("row"), "zoneId", "edge")
+    named = differ.select(
+        "vehicleId",
+        F.expr("if(way = 1, at, from_clock)").alias("clock"),
+        F.expr("if(way = 1, at_seq, from_seq)").alias("seq"),
+        "zoneId",
+        F.expr(f"if(way = 1, '{EXIT}', '{ENTRY}')").alias("edge"),
+    )
+    key = ["vehicleId", "clock", "seq"]
+    # A repeated position crosses once.
+    return positions.join(named, key).dropDuplicates([*key, "zoneId", "edge"]).select(*positions.columns, "zoneId", "edge")
 
 
-def _gap_crossings(positions: DataFrame, ends: DataFrame, periods: DataFrame, span_ms: int) -> DataFrame:
+def _gap_crossings(positions: DataFrame, ends: DataFrame, periods: DataFrame, span_ms: int, rows: int) -> DataFrame:
     """Crossings between the last judged state before a zone was switched off and the first after."""
-    found, _ = judged_across(gap_asks(ends), periods, positions, span_ms)
-    made = gap_edges(found, ends).select("row.*", "zoneId", "edge")
-    return made.withColumn("valid_from", F.lit(None).cast("long"))
+    found, _ = judged_across(gap_asks(ends), periods, positions.select("vehicleId", "clock", "seq"), span_ms, rows=rows)
+    return gap_edges(found, ends, positions).withColumn("valid_from", F.lit(None).cast("long"))
 
 
 def _no_crossings(positions: DataFrame) -> DataFrame:

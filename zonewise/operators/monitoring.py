@@ -81,14 +81,13 @@ def queue_depth(letters: DataFrame, queues: list[str]) -> DataFrame:
 
 def metric_rows(rows: DataFrame, ts: Column, tracks: list[tuple[str, Column]], signals: Column | None = None) -> DataFrame:
     """``ts, stage, name, value`` from hop maps by stage and an array of ready entries, in one pass over ``rows``."""
-    entries = [
-        F.transform(
-            F.map_entries(hops),
-            lambda e, stage=stage: F.struct(F.lit(stage).alias("stage"), e["key"].alias("name"), e["value"].alias("value")),
+
+    def entries(stage: str, hops: Column) -> Column:
+        return F.transform(
+            F.map_entries(hops), lambda e: F.struct(F.lit(stage).alias("stage"), e["key"].alias("name"), e["value"].alias("value"))
         )
-        for stage, hops in tracks
-    ]
-    every = F.concat(*entries, *([] if signals is None else [signals]))
+
+    every = F.concat(*[entries(stage, hops) for stage, hops in tracks], *([] if signals is None else [signals]))
     return rows.select(ts.alias("ts"), F.inline(every))
 
 

@@ -12,6 +12,7 @@ number bounds every group by the span itself.
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
@@ -58,6 +59,13 @@ def measured_segments(
     return found.withColumn("__cut", segment.cast("long")).drop("__low", "__span"), F.col("__cut")
 
 
+def largest_group(*groups: tuple[DataFrame, Sequence[str]]) -> list[int]:
+    """For each frame and keys the rows of the key that has most; counted before the shuffle, in one job."""
+    counts = [df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).select(F.lit(i).alias("i"), "n") for i, (df, keys) in enumerate(groups)]
+    found = dict(reduce(DataFrame.unionByName, counts).groupBy("i").agg(F.max("n")).collect())
+    return [found.get(i, 0) for i in range(len(groups))]
+
+
 def lookback(
     df: DataFrame,
     keys: Sequence[str],
@@ -140,14 +148,15 @@ def asof_join(
     tie: str | None = None,
     direction: str = "backward",
     allow_exact: bool = True,
-    span: int = MILLIS_PER_SEGMENT,
+    span: int | None = MILLIS_PER_SEGMENT,
 ) -> DataFrame:
     """Attach to each left row the nearest right row of the same key as the struct ``name``.
 
     ``backward`` takes the last right row at or before ``left_time`` (strictly before
     without ``allow_exact``), ``forward`` the first at or after it.  ``tie`` is a right
     column that orders rows of equal time.  Left rows without a match get null.  The two
-    sides are merged and carried along in time, so no pair of rows is ever formed.
+    sides are merged and carried along in time, so no pair of rows is ever formed.  With ``span`` null each key is
+    one group: for keys known to be small (``largest_group``).
     """
     sign = {"backward": 1, "forward": -1}[direction]
     right_rank, left_rank = (0, 1) if allow_exact else (1, 0)
@@ -168,7 +177,10 @@ def asof_join(
         F.struct(*[F.col(c) for c in left.columns]).alias("__left"),
     )
     merged = found.unionByName(asked, allowMissingColumns=True)
-    carried = carry_forward(
-        merged, keys, ["__t", "__rank", "__tie"], span_segment("__t", span), name, "__hit"
-    )
+    order = ["__t", "__rank", "__tie"]
+    if span is None:
+        running = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        carried = merged.withColumn("__hit", F.last(name, ignorenulls=True).over(running))
+    else:
+        carried = carry_forward(merged, keys, order, span_segment("__t", span), name, "__hit")
     return carried.where(F.col("__left").isNotNull()).select("__left.*", F.col("__hit").alias(name))
