@@ -172,8 +172,8 @@ def _simulate(positions, log, hold_cap=1000):
     return sorted(found)
 
 
-@pytest.mark.parametrize("seed,rows", [(1, 5), (2, 5), (3, X.ROWS_PER_SEGMENT)])
-def test_random_histories(spark, seed, rows):
+@pytest.mark.parametrize("seed,cut", [(1, 5), (2, 5), (3, X.ROWS_PER_SEGMENT)])
+def test_random_histories(spark, seed, cut):
     """Many edits, removals and reactivations; small segments so that every border case occurs."""
     rng = random.Random(seed)
     log = []
@@ -191,7 +191,7 @@ def test_random_histories(spark, seed, rows):
         {"vehicleId": v, "seq": s, "timestamp": t, "location": {"latitude": a, "longitude": b}} for v, s, t, a, b in positions
     ]
     telemetry = local_table(spark, rows, TELEMETRY)
-    found = X.edges_versioned(telemetry, versions(spark, log), span_ms=37, hold_cap=20, rows_per_segment=rows)
+    found = X.edges_versioned(telemetry, versions(spark, log), span_ms=37, hold_cap=20, rows_per_segment=cut)
     got = sorted((r.vehicleId, r.seq, r.zoneId, r.edge) for r in found.collect())
     want = _simulate(positions, log, hold_cap=20)
     assert got == want and len(want) > 30
