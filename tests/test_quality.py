@@ -155,3 +155,18 @@ def test_white_space_around_a_record_loses_nothing(spark):
     rows = spark.createDataFrame([(i, r) for i, r in enumerate(raws)], "n int, raw string")
     got = {r.n: r.poison_reason for r in ops.parse_telemetry(rows).collect()}
     assert got == {0: None, 1: None, 2: None}
+
+
+def test_a_window_reads_few_files(spark, folder):
+    """Thirty days of rows: the window's bounds reach the scan, which reads the files of its days alone."""
+    day = 86_400_000
+    rows = spark.range(3000).selectExpr("id", f"id * {day // 100} AS arrival")
+    streams.write_by_time(rows, "arrival", f"{folder}/t", files_per_day=2)
+    start, end = 3 * day + 5, 5 * day - 7
+    found = streams.stored_window(spark, f"{folder}/t", "arrival", start, end)
+    assert sorted(r.id for r in found.collect()) == [i for i in range(3000) if start <= i * (day // 100) < end]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(day" in plan and "GreaterThanOrEqual(arrival," in plan and "LessThan(arrival," in plan
+    scans = found._jdf.queryExecution().executedPlan().collectLeaves()
+    read = scans.apply(0).metrics().apply("numFiles").value()
+    assert 0 < read <= 6 and len(spark.read.parquet(f"{folder}/t").inputFiles()) >= 30

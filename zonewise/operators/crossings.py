@@ -350,7 +350,7 @@ def with_versions(found: DataFrame, log: ZoneLog, base: list[str], span_ms: int,
 
 
 #: Hops of ``judged_across`` in one job.
-HOPS_AT_ONCE = 2
+HOPS_AT_ONCE = 4
 #: Zones of up to so many periods, and of so many in all (16 bytes each), are looked up in a broadcast; others by an as-of join.
 PERIODS_IN_ROW, PERIODS_BROADCAST = 256, BROADCAST_LIMIT_BYTES // 16
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,6 +13,7 @@ from zonewise.plans import sql as S
 from zonewise.plans.detection import seed_breaches
 from zonewise.plans.registry import plan
 from zonewise.schemas import BREACH, TELEMETRY
+from zonewise.session import shared_dir
 from zonewise.sources import streams
 from zonewise.sources import tables as tb
 
@@ -60,9 +63,11 @@ SELECT vehicleId, seq, ingestTime FROM telemetry WHERE ingestTime >= {_WINDOW[0]
     ),
 )
 def window_read(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One week of arrivals: the bounded read of a verification window."""
+    """One week of arrivals: the bounded read of a verification window, from a table laid out by time."""
+    folder = f"{shared_dir(spark)}/arrivals-{uuid.uuid4()}"
     rows = tb.telemetry(spark, sf_dir).select("vehicleId", "seq", "ingestTime")
-    return streams.read_window(rows, "ingestTime", *_WINDOW)
+    streams.write_by_time(rows, "ingestTime", folder)
+    return streams.stored_window(spark, folder, "ingestTime", *_WINDOW)
 
 
 def _damaged(spark: SparkSession, sf_dir: str) -> DataFrame:
