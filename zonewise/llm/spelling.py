@@ -69,7 +69,9 @@ def _key(rotation: Column) -> Column:
 
 def rotations(vocab: DataFrame) -> DataFrame:
     """``rotation, whole, first, x_word, n``: whole rotations, and those without their last character."""
-    places = vocab.select("word", "n", "x_word", F.explode(F.expr("sequence(0, char_length(word))")).alias("i"))
+    # A word makes some twenty rows, so the few partitions of the vocabulary are spread out first.
+    n = int(vocab.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    places = vocab.repartition(n, "x_word").select("word", "n", "x_word", F.explode(F.expr("sequence(0, char_length(word))")).alias("i"))
     before = F.substring("word", F.lit(1), F.col("i"))
     char = F.substring("word", F.col("i") + 1, F.lit(1))
     after = F.substring("word", F.col("i") + 2, F.length("word"))
