@@ -1,5 +1,6 @@
 """Rule triagers on the labelled events, decision parsing, history, model calls."""
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -221,3 +222,35 @@ def test_retry_attempts_and_backoff():
     assert waits == [ops.backoff_seconds(0), ops.backoff_seconds(1)]
     assert [ops.backoff_seconds(n) for n in (0, 1, 2)] == [0.5, pytest.approx(1.05), pytest.approx(2.2)]
     assert ops.backoff_seconds(9) <= 11
+
+
+def test_similar_history_of_each_question(spark):
+    """The exact mode is brute force; the index finds nine of ten and compares few."""
+    rng = np.random.default_rng(4)
+    places = rng.normal(size=(40, 16))
+    vectors = np.concatenate([places[rng.integers(40, size=3000)] + rng.normal(size=(3000, 16)) * 0.25, np.zeros((1, 16))])
+    owners = rng.integers(2, size=len(vectors))
+    rows = [(i, int(o), [float(x) for x in v]) for i, (o, v) in enumerate(zip(owners, vectors))]
+    history = spark.createDataFrame([*rows, (9001, 0, None)], "item bigint, owner int, vector array<float>")
+    asked = history.where("item % 50 = 0").withColumnRenamed("item", "ask_id")
+
+    def top(**kw):
+        out = {}
+        for r in ops.similar_to_each(asked, history, "owner", "vector", "item", 5, **kw).collect():
+            out.setdefault(r.ask_id, []).append((r["rank"], r.item))
+        return {a: [i for _, i in sorted(found)] for a, found in out.items()}
+
+    unit = vectors.astype(np.float32).astype(float)
+    length = np.linalg.norm(unit, axis=1)
+    want = {}
+    for a in range(0, 3000, 50):
+        with np.errstate(invalid="ignore", divide="ignore"):
+            score = np.round(unit @ unit[a] / (length * length[a]), 9)
+        same = [i for i in range(3000) if owners[i] == owners[a]]
+        want[a] = sorted(same, key=lambda i: (-score[i], i))[:5]
+    assert top() == want
+    cells = ops.coarse_cells(history, "vector", cells=24, sample=1500)
+    found = top(cells=cells, probes=4)
+    recall = sum(len(set(found.get(a, [])) & set(w)) for a, w in want.items()) / sum(map(len, want.values()))
+    assert recall >= 0.9, recall
+    assert top(cells=cells, probes=len(cells)) == want

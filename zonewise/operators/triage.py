@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import time
 from collections.abc import Callable, Iterator
 
@@ -13,6 +14,7 @@ from pyspark.sql.types import StructType
 from zonewise.functions import triage as T
 from zonewise.functions.once import once
 from zonewise.operators.ordered import MILLIS_PER_SEGMENT, asof_join, lookback, span_segment
+from zonewise.session import materialize
 
 HISTORY_DAYS = 90
 HISTORY_SIZE = 5
@@ -228,3 +230,69 @@ def similar_history(history: DataFrame, query: list[float], owner: str, vector:
     scored = history.select(owner, item, F.try_divide(dot, length * norm).alias("similarity"))
     rank = F.row_number().over(Window.partitionBy(owner).orderBy(F.desc("similarity"), F.asc(item)))
     return scored.withColumn("rank", rank).where(F.col("rank") <= k)
+
+
+#: Cells of the coarse index, cells looked into for each question, and rows that the cells are learned from.
+CELLS, PROBES, CELL_SAMPLE = 64, 8, 20_000
+
+
+def _dot(a: str, b: str) -> str:
+    return f"aggregate(zip_with({a}, {b}, (x, y) -> x * y), 0D, (s, x) -> s + x)"
+
+
+def _with_length(rows: DataFrame, vector: str) -> DataFrame:
+    doubles = F.transform(F.col(vector), lambda x: x.cast("double"))
+    return rows.withColumn("__v", doubles).withColumn("__n", F.expr(f"sqrt({_dot('__v', '__v')})"))
+
+
+def coarse_cells(history: DataFrame, vector: str, cells: int = CELLS, sample: int = CELL_SAMPLE, seed: int = 1) -> list[list[float]]:
+    """Directions that divide the vectors into cells (k-means by cosine), learned from about ``sample`` rows."""
+    from pyspark.ml.clustering import KMeans
+    from pyspark.ml.functions import array_to_vector
+
+    usable = _with_length(history, vector).where("__n > 0")
+    n = usable.count()
+    drawn = usable.sample(min(1.0, sample / n), seed) if n else usable
+    rows = materialize(drawn.select(array_to_vector("__v").alias("features")))
+    if rows.isEmpty():
+        return []
+    model = KMeans(k=cells, seed=seed, distanceMeasure="cosine", maxIter=10).fit(rows)
+    return [[float(x) for x in center] for center in model.clusterCenters()]
+
+
+def similar_to_each(
+    asked: DataFrame,
+    history: DataFrame,
+    owner: str,
+    vector: str,
+    item: str,
+    k: int,
+    ask: str = "ask_id",
+    cells: list[list[float]] | None = None,
+    probes: int = PROBES,
+) -> DataFrame:
+    """``ask, owner, item, similarity, rank``: for each question the ``k`` most similar history items of its owner (cosine).
+
+    Without ``cells`` a question meets every item of its owner: exact.  With ``cells`` (``coarse_cells``) each item lies in the cell of
+    the nearest direction, and a question meets those in its ``probes`` nearest cells; similarities are exact, an item in
+    another cell is missed.  Items are joined by owner and cell, where adaptive execution splits a cell that holds too many,
+    and of each question only ``k`` rows leave a task.  Vectors without length are similar to nothing.
+    """
+    from pyspark.sql import Window
+
+    left = _with_length(asked, vector).where("__n > 0").select(ask, owner, F.col("__v").alias("__a"), F.col("__n").alias("__an"))
+    right = _with_length(history, vector).where("__n > 0").select(owner, item, "__v", "__n")
+    on = [owner]
+    if cells:
+        centers = F.from_json(F.lit(json.dumps(cells)), "array<array<double>>")
+
+        def near(frame: DataFrame, v: str, n: int) -> DataFrame:
+            held = frame.withColumn("__c", centers)
+            order = F.expr(f"slice(sort_array(transform(__c, (c, i) -> struct(-{_dot('c', v)} / sqrt({_dot('c', 'c')}) AS d, i AS cell))), 1, {n})")
+            return held.withColumn("__o", F.explode(order)).withColumn("__cell", F.col("__o.cell")).drop("__c", "__o")
+
+        left, right, on = near(left, "__a", probes), near(right, "__v", 1), [owner, "__cell"]
+    similarity = F.round(F.expr(f"{_dot('__a', '__v')} / (__an * __n)"), 9)
+    scored = left.join(right, on).select(ask, owner, item, similarity.alias("similarity"))
+    rank = F.row_number().over(Window.partitionBy(ask).orderBy(F.desc("similarity"), F.asc(item)))
+    return scored.withColumn("rank", rank).where(F.col("rank") <= k)

@@ -328,3 +328,22 @@ def similar_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     stored = tb.read_table(spark, sf_dir, "embeddings")
     found = ops.similar_history(stored, _QUERY_VECTOR, "label", "embedding", "vec_id", 5)
     return found.withColumn("similarity", F.round("similarity", 6))
+
+
+@plan(
+    "f2_similar_to_each",
+    """
+WITH scored AS (
+  SELECT a.vec_id AS ask_id, h.label, h.vec_id, round(list_dot_product(a.embedding::DOUBLE[], h.embedding::DOUBLE[])
+    / (sqrt(list_dot_product(a.embedding::DOUBLE[], a.embedding::DOUBLE[])) * sqrt(list_dot_product(h.embedding::DOUBLE[], h.embedding::DOUBLE[]))), 9) AS s
+  FROM embeddings a JOIN embeddings h ON a.label = h.label WHERE a.vec_id % 20 = 0
+)
+SELECT ask_id, label, vec_id, round(s, 6) AS similarity, rank FROM (
+  SELECT *, row_number() OVER (PARTITION BY ask_id ORDER BY s DESC, vec_id)::INTEGER AS rank FROM scored) WHERE rank <= 5""",
+)
+def similar_to_each(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five stored items of the same owner nearest to each twentieth item, compared with all of them."""
+    stored = tb.read_table(spark, sf_dir, "embeddings")
+    asked = stored.where("vec_id % 20 = 0").select(F.col("vec_id").alias("ask_id"), "label", "embedding")
+    found = ops.similar_to_each(asked, stored, "label", "embedding", "vec_id", 5)
+    return found.withColumn("similarity", F.round("similarity", 6))
