@@ -127,10 +127,27 @@ SELECT seq, CASE WHEN seq % 11 = 0 THEN '' ELSE 'TriageBedrock,SqsEnqueue' END A
     ),
 )
 def metric_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Metric log lines, read back field by field."""
-    stamps = _triage_stamps(spark, sf_dir)
-    hops = L.hop_map({c: F.col(c) for c in stamps.columns}, L.ANALYZER_HOPS)
-    lines = stamps.select("seq", L.metric_document(hops, F.lit("analyzer"), F.col("sqsEnqueue")).alias("line"))
+    """Metric log lines of the analyzer, read back field by field."""
+    return _documents(_triage_stamps(spark, sf_dir), "analyzer", L.ANALYZER_HOPS, "sqsEnqueue", "TriageBedrock")
+
+
+@plan(
+    "h24_publisher_documents",
+    S.with_(
+        S.TELEMETRY,
+        select="""
+SELECT seq, 'NotifyTotal' AS metrics, 'publisher' AS stage, 'Geofence/Latency' AS namespace,
+  alertsArrival + 930 + seq % 60 AS ts, 30 + seq % 60 AS NotifyTotal FROM telemetry""",
+    ),
+)
+def publisher_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same of the publisher."""
+    return _documents(_triage_stamps(spark, sf_dir), "publisher", L.PUBLISHER_HOPS, "snsPublish", "NotifyTotal")
+
+
+def _documents(stamps: DataFrame, stage: str, table: dict, ts: str, metric: str) -> DataFrame:
+    hops = L.hop_map({c: F.col(c) for c in stamps.columns}, table)
+    lines = stamps.select("seq", L.metric_document(hops, F.lit(stage), F.col(ts)).alias("line"))
     head = "get_json_object(line, '$._aws.CloudWatchMetrics[0]"
     names = f"from_json({head}.Metrics'), 'array<struct<Name:string,Unit:string>>')"
     return lines.selectExpr(
@@ -139,7 +156,7 @@ def metric_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         "get_json_object(line, '$.stage') AS stage",
         f"{head}.Namespace') AS namespace",
         "bigint(get_json_object(line, '$._aws.Timestamp')) AS ts",
-        "bigint(get_json_object(line, '$.TriageBedrock')) AS TriageBedrock",
+        f"bigint(get_json_object(line, '$.{metric}')) AS {metric}",
     )
 
 
