@@ -122,3 +122,36 @@ def test_index_finds_what_testing_every_pair_finds(spark, limit):
     pairs = positions.join(table.select("id", "polygon"))
     want = pairs.where(G.point_in_polygon("lat", "lon", "polygon")).select("seq", "id").collect()
     assert sorted(map(tuple, got)) == sorted(map(tuple, want)) and len(want) > 1000
+
+
+def test_masks_decide_like_the_edges(spark):
+    """The mask and the written-out test agree with the folds, on edges too, and leave few positions to the edges."""
+    rng = random.Random(8)
+    rings = []
+    for n in (3, 4, 6, 8, 9, 14):
+        spokes = sorted(rng.uniform(0, 2 * math.pi) for _ in range(n))
+        rings.append([[51 + rng.uniform(0.2, 1) * math.sin(s) / 100, -114 + rng.uniform(0.2, 1) * math.cos(s) / 100] for s in spokes])
+    rings += [[[51.0, -114.0], [51.01, -114.0], [51.01, -113.99], [51.0, -113.99]], [[51.0, -114.0], [51.0, -114.0], [51.0, -114.0]], [[51.0, -114.0]]]
+    rings.append([[51.0, None], [51.01, -114.0], [51.01, -113.99]])
+    zones = [{"id": f"z{i}", "kind": "dwell", "active": True, "polygon": r} for i, r in enumerate(rings)]
+    index = spatial.build_index(local_table(spark, zones, ZONE))
+    assert index.masked
+    spots = [(rng.uniform(50.99, 51.01), rng.uniform(-114.01, -113.99)) for _ in range(1500)]
+    for ring in rings:
+        for (a, b), (c, d) in zip(ring, [*ring[1:], ring[0]]):
+            if None not in (a, b, c, d):
+                spots += [(a, b), ((a + c) / 2, (b + d) / 2), (a + (c - a) * 0.3 + 5e-10, b + (d - b) * 0.3), (a + 3e-9, b - 3e-9)]
+    positions = spark.createDataFrame([*spots, (float("nan"), -114.0), (None, -114.0)], "lat double, lon double")
+    zoned = spatial.prepare_zones(local_table(spark, zones, ZONE)).withColumn("mask", F.expr(G.edges_mask_sql("edges", "box")))
+    plain = f"coalesce({G.in_box_sql('lat', 'lon', 'box')} AND {G.edges_contain_sql('lat', 'lon', 'edges')}, false)"
+    pairs = positions.crossJoin(zoned).selectExpr(
+        f"{plain} AS want",
+        f"coalesce({G.masked_contain_sql('lat', 'lon', 'edges', 'box', 'mask')}, false) AS masked",
+        f"coalesce({G.boxed_contain_sql('lat', 'lon', 'edges', 'box')}, false) AS boxed",
+        f"round({G.edges_distance_sql('lat', 'lon', 'edges')}, 6) AS far",
+        f"round({G.edges_distance_fast_sql('lat', 'lon', 'edges', G.metres_per_lon_sql('lat'))}, 6) AS fast",
+    )
+    assert pairs.where("want").count() > 100
+    assert pairs.where("want <> masked OR want <> boxed OR NOT far <=> fast").collect() == []
+    left = zoned.where("zoneId = 'z6'").selectExpr(f"size(filter(mask, m -> m = {G._MIXED})) AS n").first().n
+    assert left <= 4 * G.MASK_SIDE
