@@ -254,3 +254,26 @@ def test_similar_history_of_each_question(spark):
     recall = sum(len(set(found.get(a, [])) & set(w)) for a, w in want.items()) / sum(map(len, want.values()))
     assert recall >= 0.9, recall
     assert top(cells=cells, probes=len(cells)) == want
+
+
+def test_similarity_in_blocks_is_that_of_all_pairs(spark, monkeypatch):
+    """Ties, copies, rows that cannot be compared, and parts smaller than an owner: as the SQL over every pair, without forming it."""
+    from zonewise.operators import similarity
+
+    monkeypatch.setattr(similarity, "PART_ROWS", 64)
+    rng = np.random.default_rng(5)
+    rows = [(i, f"o{i % 3}" if i % 5 else "big", [float(x) for x in rng.integers(-2, 3, size=4)]) for i in range(400)]
+    rows += [(i, "big", [1.0, 2.0, 0.0, 1.0]) for i in range(390, 450)]  # copies; ids occur twice
+    rows += [(500, "big", [1.0, 2.0]), (501, "big", [1.0, None, 0.0, 1.0]), (502, None, [1.0] * 4), (503, "big", [float("nan")] * 4)]
+    rows += [(None, "big", [1.0, 2.0, 0.0, 1.0]), (505, "few", [3.0, 1.0]), (506, "few", [1.0, 2.0, 3.0]), (507, "big", [1.0, 2.0, 1e-10, 1.0])]
+    history = spark.createDataFrame(rows, "item bigint, owner string, vector array<float>")
+    asked = history.where("item % 7 = 0 OR item >= 500").withColumnRenamed("item", "ask_id")
+    found = ops.similar_to_each(asked, history, "owner", "vector", "item", 5)
+    # With a single cell the SQL forms every pair.
+    pairs = ops.similar_to_each(asked, history, "owner", "vector", "item", 5, cells=[[1.0] * 4], probes=1)
+
+    def values(frame):
+        return sorted(repr(tuple(r)) for r in frame.select("ask_id", "owner", "item", "similarity", "rank").collect())
+
+    assert values(found) == values(pairs)
+    assert "FlatMapCoGroupsInArrow" in found._jdf.queryExecution().executedPlan().toString()
