@@ -119,6 +119,36 @@ def test_signatures_of_linked_sets_meet(num, bits):
         assert set(signer(np.unique(a)).tolist()) & set(signer(np.unique(b)).tolist()), n
 
 
+def test_sketches_differ_in_no_more_than_sets():
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    for n in [0, 1, 2, 63, 64, 65, 900, *rng.integers(1, 3000, 100)]:
+        left, right = (rng.integers(0, 2**64, n + int(rng.integers(0, 700)), np.uint64) for _ in "ab")
+        both = rng.integers(0, 2**64, n, np.uint64)
+        a, b = (np.unique(np.concatenate((x, both))) for x in (left, right))
+        if len(a) and len(b):
+            assert jaccard_join.least_apart(jaccard_join.sketch(a), jaccard_join.sketch(b)) <= len(np.setxor1d(a, b))
+    assert jaccard_join.least_apart(jaccard_join.sketch(a), jaccard_join.sketch(a)) == 0
+
+
+def test_sets_that_meet_in_a_passage_are_not_compared(spark):
+    rng = random.Random(11)
+    words = lambda n: [f"w{rng.randrange(10**6)}" for _ in range(n)]
+    rows = []
+    for _ in range(20):
+        passage = words(150)
+        rows += [(len(rows) + i, " ".join(passage + words(100))) for i in range(3)]
+    whole = rows[0][1].split()
+    rows.append((len(rows), " ".join(whole[:-4])))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    described = jaccard_join.describe(docs, "doc_id", "text", 5, 80, 100)
+    members = jaccard_join.buckets(described)
+    assert members.select("key").distinct().count() > 20
+    found = jaccard_join.clusters(members, described, 80, 100)
+    assert sorted(r.x_id for r in found.join(described, F.col("key") == F.col("x_key")).select("x_id").collect()) == [0, 60]
+
+
 def test_components_of_a_chain(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 90)], "a long, b long")
     assert {r.key: r.root for r in components(edges).collect()} == {**dict.fromkeys(range(41), 0), 90: 90, 100: 90}

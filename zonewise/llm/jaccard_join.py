@@ -16,9 +16,12 @@ weights from the largest ``t`` at which spoiling all that it keeps takes more th
 No link is lost: of two linked sets, the one with the larger ``t`` is sure to share a signature of weight ``t``
 or more, and the other keeps that too.
 
-Sets that share a signature are candidates, and each link is decided by counting.  Members of a bucket are
-not paired with each other, as a group of near copies would give its square.  Sets connected through
-signatures form a cluster, and each member is compared with one of them, the pivot.  A set's *difference*
+Sets that share a signature are candidates, and each link is decided by counting.  Many meet by chance or in a passage
+that both hold.  In a bucket of up to ``PAIRED`` members each two are therefore held against each other by their sketches
+first: one bit for each of some ranges of the hash, whether an odd number of elements is in it.  Each differing element turns
+one bit, so two sets differ in no fewer elements than their sketches in bits, and those that differ in too many do not link.
+Members of larger buckets are not paired with each other, as a group of near copies would give its square; they all
+hang together.  Sets connected in one of these ways form a cluster, and each member is compared with one of them, the pivot.  A set's *difference*
 to the pivot is then enough: two sets differ in ``|D(x)| + |D(y)| - 2 |D(x) & D(y)|`` elements.  If two sets
 link without a common element in their differences, both link with the pivot.  All other linked pairs share
 an element among the rarest of each difference (prefix filter), and those that do are counted in full.
@@ -35,11 +38,11 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from zonewise.llm import bloom
-from zonewise.llm.common import field, map_rows, materialize
+from zonewise.llm.common import field, map_rows, materialize, stored
 from zonewise.llm.components import components
 
 NUM, DEN = 90, 100
@@ -49,6 +52,10 @@ PIECES = 2
 BAND = 1.4
 #: One part in so many is added to those that the method needs.
 SPARE = 2
+#: Members of a bucket up to which each two are compared by their sketches.
+PAIRED = 8
+#: Bits left out of a signature: 44 are enough to tell apart, and take less room.
+CUT = np.uint64(20)
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _KNOWN_WORDS = 300_000
 
@@ -150,7 +157,26 @@ class Signer:
         if self.reach(len(elements)) > self.uppers[band]:
             self.band(self.uppers[band] + 1)
             out.append(self._sign(elements, sums, band + 1))
-        return np.concatenate(out)
+        return np.concatenate(out) >> CUT
+
+
+def sketch(elements: np.ndarray) -> bytes:
+    """For each value of the low bits, is the number of elements odd?  As many bits as elements or up to twice that, 64 at least."""
+    if not len(elements):
+        return b""
+    bits = 1 << max(6, (len(elements) - 1).bit_length())
+    odd = np.bincount((elements & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+
+
+def least_apart(a: bytes, b: bytes) -> int:
+    """In how many elements the sets of two sketches differ at least."""
+    a, b = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
+    if len(a) < len(b):
+        a, b = b, a
+    if len(a) > len(b):
+        a = np.bitwise_xor.reduce(a.reshape(-1, len(b)), axis=0)
+    return int(np.bitwise_count(a ^ b).sum())
 
 
 def _signed(values: list[np.ndarray]) -> pa.Array:
@@ -176,7 +202,7 @@ def _describe(size: int, num: int, den: int):
 
         def work(batch):
             sets = [shingler(t) for t in _texts(batch)]
-            return [[len(s) for s in sets], [_key(s) for s in sets], _signed([signer(s) for s in sets])]
+            return [[len(s) for s in sets], [_key(s) for s in sets], [sketch(s) for s in sets], _signed([signer(s) for s in sets])]
 
         return work
 
@@ -210,6 +236,13 @@ def _overlap():
     return work
 
 
+def _least_apart():
+    def work(batch):
+        return [[least_apart(a, b) for a, b in zip(_texts(batch, "x_left"), _texts(batch, "x_right"))]]
+
+    return work
+
+
 def _difference():
     def work(batch):
         sizes, items = [], []
@@ -223,37 +256,66 @@ def _difference():
 
 
 def describe(docs: DataFrame, id_col: str, text_col: str, size: int = SIZE, num: int = NUM, den: int = DEN) -> DataFrame:
-    """``x_id, x_n, x_key, x_sigs`` for every row, stored: size of the set, its key, its signatures."""
+    """``x_id, x_n, x_key, x_sketch, x_sigs`` for every row, stored: size of the set, its key, its sketch, its signatures."""
     rows = docs.select(field(id_col).alias("x_id"), field(text_col).alias("x_text"))
-    added = {"x_n": "long", "x_key": "long", "x_sigs": "array<long>"}
-    return materialize(map_rows(rows, _describe(size, num, den), added, drop=("x_text",)))
+    added = {"x_n": "long", "x_key": "long", "x_sketch": "binary", "x_sigs": "array<long>"}
+    return stored(map_rows(rows, _describe(size, num, den), added, drop=("x_text",)))
 
 
 def buckets(described: DataFrame) -> DataFrame:
-    """``sig, key, n``: the members of every signature that two or more different sets share, stored."""
-    signed = described.select(F.explode("x_sigs").alias("sig"), F.col("x_key").alias("key"), F.col("x_n").alias("n"))
+    """``sig, key, size, after``: the members of every signature that two or more different sets share, stored.
+
+    ``after`` holds the members with larger keys, all of them in buckets of up to ``PAIRED`` members and none in others.
+    """
+    signed = described.select(F.explode("x_sigs").alias("sig"), F.col("x_key").alias("key"))
     # Counts compress better than keys; signatures that only copies of one set share go afterwards.
     often = signed.groupBy("sig").agg(F.count(F.lit(1)).alias("often"))
     shared = materialize(often.filter("often > 1").select("sig"))
     words = bloom.words_for(shared.count())
     table = materialize(bloom.members(shared, F.xxhash64("sig"), words))
     likely = bloom.probe(signed, F.xxhash64("sig"), table, words, "x_maybe").filter("x_maybe").drop("x_maybe")
-    members = materialize(likely.distinct().join(shared, "sig", "left_semi"))
-    met = members.groupBy("sig").agg(F.count(F.lit(1)).alias("size")).filter("size > 1").select("sig")
-    return materialize(members.join(met, "sig", "left_semi"))
+    bucket = Window.partitionBy("sig")
+    after = F.collect_list("key").over(bucket.orderBy("key").rowsBetween(1, PAIRED - 1))
+    sized = likely.distinct().select("*", F.count(F.lit(1)).over(bucket).alias("size"), after.alias("after")).filter("size > 1")
+    return stored(sized.withColumn("after", F.when(F.col("size") <= PAIRED, F.col("after"))))
+
+
+def _near_by_sketch(members: DataFrame, described: DataFrame, num: int, den: int) -> DataFrame:
+    """``a, b``, stored: the pairs of small buckets that may link."""
+    pairs = stored(members.select(F.col("key").alias("a"), F.explode("after").alias("b")).distinct())
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("x_key")).distinct()
+    facts = stored(described.select("x_key", "x_n", "x_sketch").join(ends, "x_key", "left_semi").dropDuplicates(["x_key"]))
+    left = facts.select(F.col("x_key").alias("a"), F.col("x_n").alias("n_a"), F.col("x_sketch").alias("x_left"))
+    right = facts.select(F.col("x_key").alias("b"), F.col("x_n").alias("n_b"), F.col("x_sketch").alias("x_right"))
+    near = F.least("n_a", "n_b") * den >= F.greatest("n_a", "n_b") * num
+    held = map_rows(pairs.join(left, "a").join(right, "b").filter(near), lambda: _least_apart(), {"least": "long"}, drop=("x_left", "x_right"))
+    return stored(held.filter(F.col("least") * (den + num) <= (F.col("n_a") + F.col("n_b")) * (den - num)).select("a", "b"))
+
+
+def clusters(members: DataFrame, described: DataFrame, num: int, den: int) -> DataFrame:
+    """``key, root``, stored: sets that may link with others, and the pivot of their cluster."""
+    # A member that meets many others is as a rule the text that the others were made from.  Large buckets are tied
+    # together at such members, which are the same in many buckets, and one of them is the pivot.
+    met = stored(members.groupBy("key").agg(F.sum("size").alias("met")))
+    ranked = members.filter(F.col("size") > PAIRED).select("sig", "key").join(met, "key")
+    centres = stored(ranked.groupBy("sig").agg(F.max(F.struct("met", "key")).alias("m")).select("sig", F.col("m.key").alias("a")))
+    tied = ranked.join(centres, "sig").filter("a <> key").select("a", F.col("key").alias("b"))
+    found = components(_near_by_sketch(members, described, num, den).unionByName(tied))
+    central = found.join(met, "key").groupBy("root").agg(F.max(F.struct("met", "key")).alias("m"))
+    central = stored(central.select("root", F.col("m.key").alias("pivot")))
+    return stored(found.join(central, "root").select("key", F.col("pivot").alias("root")))
 
 
 def _sets(docs, described, needed, id_col, text_col, size) -> DataFrame:
-    """``key, n, elements`` of the needed sets, stored.  Only texts that may be needed are read again in full."""
-    needed = materialize(needed)
-    ids = materialize(described.join(needed.withColumnRenamed("key", "x_key"), "x_key", "left_semi").select("x_id"))
+    """``key, n, elements, root`` of the needed sets (``key, root``), stored.  Only texts that may be needed are read again in full."""
+    ids = materialize(described.join(needed.select(F.col("key").alias("x_key")), "x_key", "left_semi").select("x_id"))
     words = bloom.words_for(ids.count())
     rows = docs.select(field(id_col).alias("x_id"), field(text_col).alias("x_text"))
     table = bloom.members(ids, F.xxhash64("x_id"), words)
     likely = bloom.probe(rows, F.xxhash64("x_id"), table, words, "x_maybe").filter("x_maybe").select("x_text")
     found = map_rows(likely, _collect_sets(size), {"n": "long", "key": "long", "elements": "binary"}, drop=("x_text",))
     one = found.groupBy("key").agg(F.first("n").alias("n"), F.first("elements").alias("elements"))
-    return materialize(one.join(needed, "key", "left_semi"))
+    return materialize(one.join(needed, "key"))
 
 
 def _verify(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
@@ -266,20 +328,10 @@ def _verify(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
     return counted.filter(linked).select("a", "b")
 
 
-def _differences(members: DataFrame, sets: DataFrame) -> DataFrame:
+def _differences(sets: DataFrame) -> DataFrame:
     """``root, key, n, n_p, d, items``, stored: how each member of a cluster differs from its pivot."""
-    # A member that meets many others is as a rule the text that the others were made from.  Buckets are tied
-    # together at such members, which are the same in many buckets, and one of them is the pivot.
-    sizes = materialize(members.groupBy("sig").agg(F.count(F.lit(1)).alias("size")))
-    met = materialize(members.join(sizes, "sig").groupBy("key").agg(F.sum("size").alias("met")))
-    ranked = materialize(members.select("sig", "key").join(met, "key"))
-    centres = materialize(ranked.groupBy("sig").agg(F.max(F.struct("met", "key")).alias("m")).select("sig", F.col("m.key").alias("a")))
-    found = components(ranked.join(centres, "sig").filter("a <> key").select("a", F.col("key").alias("b")))
-    central = found.join(met, "key").groupBy("root").agg(F.max(F.struct("met", "key")).alias("m"))
-    central = materialize(central.select("root", F.col("m.key").alias("pivot")))
-    clusters = found.join(central, "root").select("key", F.col("pivot").alias("root"))
-    pivots = sets.select(F.col("key").alias("root"), F.col("n").alias("n_p"), F.col("elements").alias("x_right"))
-    of = clusters.join(sets.withColumnRenamed("elements", "x_left"), "key").join(pivots, "root")
+    pivots = sets.filter("key = root").select("root", F.col("n").alias("n_p"), F.col("elements").alias("x_right"))
+    of = sets.withColumnRenamed("elements", "x_left").join(pivots, "root")
     found = map_rows(of, lambda: _difference(), {"d": "long", "items": "array<long>"}, drop=("x_left", "x_right"))
     return materialize(found)
 
@@ -312,11 +364,11 @@ def links(docs: DataFrame, described: DataFrame, id_col: str, text_col: str, siz
     """``a, b``, stored: links between different sets.  They connect what is linked; a link between two sets
     that both link with the same pivot is left out."""
     members = buckets(described)
-    sets = _sets(docs, described, members.select("key").distinct(), id_col, text_col, size)
-    apart = _differences(members, sets)
+    sets = _sets(docs, described, clusters(members, described, num, den), id_col, text_col, size)
+    apart = _differences(sets)
     linked = F.col("d") * (den + num) <= (F.col("n") + F.col("n_p")) * (den - num)
     to_pivot = apart.filter(linked & F.expr("key <> root")).select(F.col("root").alias("a"), F.col("key").alias("b"))
-    pairs = materialize(_near_pairs(apart, linked, num, den))
+    pairs = stored(_near_pairs(apart, linked, num, den))
     return materialize(to_pivot.unionByName(_verify(pairs, sets, num, den)))
 
 
