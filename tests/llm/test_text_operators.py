@@ -397,6 +397,16 @@ def test_language_model_tells_words_of_a_bucket_apart(spark):
     assert all(s[t] == pytest.approx(got[0][t]) for s in got for t in texts)
 
 
+def test_language_model_scores_in_one_pass(spark):
+    rows = [(1, "a b c a"), (1, "a b c a"), (2, None), (3, "d e"), (None, "d e"), (4, " ")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = lm_scoring.score(docs, lm_scoring.train(docs, words=32, buckets=31, cached=0), words=32, buckets=31)
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 1
+    out = sorted(((r.doc_id, r.lm_tokens, r.log_likelihood) for r in found.collect()), key=str)
+    assert [r[:2] for r in out] == [(1, 4), (1, 4), (2, 0), (3, 2), (4, 0), (None, 2)]
+    assert out[0] == out[1] and out[3][2] == out[5][2] < 0 and out[2][2] == out[4][2] == 0
+
+
 def test_language_model_gradient():
     import numpy as np
 

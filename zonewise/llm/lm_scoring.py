@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from zonewise.llm.common import field, map_rows, stored
+from zonewise.llm.common import field, stored
 
 WORDS = 1024
 BUCKETS = 256
@@ -46,6 +46,8 @@ BLOCK = 32768
 CACHED = 1 << 17
 #: Words of one task counted together.
 COUNTED = 1 << 18
+#: Words beyond the listed ones whose place a task remembers.
+MET = 300_000
 SPELLING = float(np.log(257))
 
 
@@ -86,15 +88,29 @@ def hidden(net: Network, ids: np.ndarray, edge: int) -> tuple[np.ndarray, list[n
     padded = np.concatenate((np.full(span, edge, np.int32), ids, np.full(span, edge, np.int32)))
     places = [k for k in range(2 * span + 1) if k != span]
     contexts = [padded[k : k + len(ids)] for k in places]
-    state = net.around[0][contexts[0]]
+    state = np.take(net.around[0], contexts[0], axis=0)
     for table, context in zip(net.around[1:], contexts[1:]):
-        state = state + table[context]
-    return np.concatenate((np.tanh(state), np.ones((len(ids), 1), np.float32)), axis=1), contexts
+        state += np.take(table, context, axis=0)
+    return np.concatenate((np.tanh(state, out=state), np.ones((len(ids), 1), np.float32)), axis=1), contexts
 
 
-def _log_softmax(scores: np.ndarray) -> np.ndarray:
-    scores = scores - scores.max(axis=1, keepdims=True)
-    return scores - np.log(np.exp(scores).sum(axis=1, keepdims=True))
+def _levelled(scores: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``scores``, changed in place to have 0 as their largest in each row, and the logarithms of their normalisers."""
+    # A maximum along short rows is slow.
+    scores -= np.ascontiguousarray(scores.T).max(axis=0)[:, None]
+    return scores, np.log(np.exp(scores).sum(axis=1))
+
+
+def _softmax(scores: np.ndarray) -> np.ndarray:
+    scores, whole = _levelled(scores)
+    scores -= whole[:, None]
+    return np.exp(scores, out=scores)
+
+
+def _log_share(scores: np.ndarray, of: np.ndarray) -> np.ndarray:
+    """The logarithm of the softmax at the place ``of`` of each row."""
+    scores, whole = _levelled(scores)
+    return scores[np.arange(len(of)), of] - whole
 
 
 def log_probabilities(net: Network, ids: np.ndarray, edge: int) -> np.ndarray:
@@ -103,13 +119,13 @@ def log_probabilities(net: Network, ids: np.ndarray, edge: int) -> np.ndarray:
     real = np.flatnonzero(ids != edge)
     out, classes = np.zeros(len(ids)), net.to_class.shape[1]
     of_class, state = ids[real] % classes, state[real]
-    level = _log_softmax(state @ net.to_class)[np.arange(len(real)), of_class].astype(float)
+    level = _log_share(state @ net.to_class, of_class).astype(float)
     order = np.argsort(of_class, kind="stable")
     cuts = np.searchsorted(of_class[order], np.arange(classes + 1))
     for c in range(classes):
         rows = order[cuts[c] : cuts[c + 1]]
         if len(rows):
-            level[rows] += _log_softmax(state[rows] @ net.to_word[c])[np.arange(len(rows)), ids[real[rows]] // classes]
+            level[rows] += _log_share(state[rows] @ net.to_word[c], ids[real[rows]] // classes)
     out[real] = level
     return out
 
@@ -122,7 +138,7 @@ def train_step(net: Network, ids: np.ndarray, edge: int, rate: float) -> None:
         return
     classes, words = net.to_class.shape[1], ids[real]
     of_class, seen = words % classes, state[real]
-    share = np.exp(_log_softmax(seen @ net.to_class))
+    share = _softmax(seen @ net.to_class)
     share[np.arange(len(real)), of_class] -= 1
     back = share @ net.to_class[:-1].T
     scale = np.float32(rate / len(real))
@@ -131,16 +147,17 @@ def train_step(net: Network, ids: np.ndarray, edge: int, rate: float) -> None:
     for c in range(classes):
         rows = order[cuts[c] : cuts[c + 1]]
         if len(rows):
-            part = np.exp(_log_softmax(seen[rows] @ net.to_word[c]))
+            part = _softmax(seen[rows] @ net.to_word[c])
             part[np.arange(len(rows)), words[rows] // classes] -= 1
             back[rows] += part @ net.to_word[c, :-1].T
             net.to_word[c] -= scale * (seen[rows].T @ part)
     net.to_class -= scale * (seen.T @ share)
     slope = (back * (1 - seen[:, :-1] ** 2)).astype(np.float32)
-    width = slope.shape[1]
+    columns = np.ascontiguousarray(slope.T, dtype=float)
     for table, context in zip(net.around, contexts):
-        places = (context[real].astype(np.int64)[:, None] * width + np.arange(width)).ravel()
-        table -= scale * np.bincount(places, slope.ravel(), minlength=table.size).reshape(table.shape).astype(np.float32)
+        places = context[real].astype(np.int64)
+        for k, column in enumerate(columns):
+            table[:, k] -= scale * np.bincount(places, column, minlength=len(table)).astype(np.float32)
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -155,6 +172,7 @@ class Encoder:
 
         self.known = {w: i for i, w in enumerate(listed.split())}
         self.first, self.buckets, self.hash, self.edge = words - buckets, buckets, xxhash.xxh64_intdigest, words
+        self.seen = dict(self.known)
         rare = [self.first + self.bucket(w) for w in list(self.known)[self.first :]]
         # Tokens of the network; frequent words are dealt over the classes.
         self.tokens = np.concatenate((np.arange(min(self.first, len(self.known))), rare, self.first + np.arange(buckets))).astype(np.int32)
@@ -162,15 +180,20 @@ class Encoder:
     def bucket(self, word: bytes) -> int:
         return self.hash(word) % self.buckets
 
-    def places(self, text: str | None) -> np.ndarray:
-        known, out, size = self.known.get, [], len(self.known)
-        for word in words_of(text):
-            place = known(word)
-            out.append(size + self.hash(word) % self.buckets if place is None else place)
-        return np.array(out, np.int32)
+    def places(self, words: list[bytes]) -> np.ndarray:
+        try:
+            return np.fromiter(map(self.seen.get, words), np.int32, len(words))
+        except TypeError:  # a word that was not met before
+            if len(self.seen) > len(self.known) + MET:
+                self.seen = dict(self.known)
+            seen, size = self.seen, len(self.known)
+            for word in words:
+                if word not in seen:
+                    seen[word] = size + self.bucket(word)
+            return np.fromiter(map(seen.get, words), np.int32, len(words))
 
     def __call__(self, text: str | None) -> np.ndarray:
-        return self.tokens[self.places(text)]
+        return self.tokens[self.places(words_of(text))]
 
 
 @dataclass
@@ -304,40 +327,23 @@ def train(
     return Model(net, b" ".join(r["word"].encode() for r in rows), inner, np.log(np.maximum(types, 1)), counts.select("word", "n"))
 
 
-def _unlisted(shared):
-    """For each text its words that are not listed: ``times``, and the logarithm that stands for ``n`` if the word was never counted."""
+def _score(shared):
+    """For each text a row with its tokens and what the network and the listed words give, and one for each other word.
+
+    ``times`` is how often the word stands there; ``unseen`` the logarithm that stands for ``n`` if it was never counted.
+    """
+
     def run(batches):
         import pyarrow as pa
 
-        _, listed, size, buckets, _, unseen = shared.value
-        encode, unseen = Encoder(listed, size, buckets), unseen.tolist()
-        known = encode.known
+        net, listed, size, buckets, inner, unseen = shared.value
+        encode, span, unseen = Encoder(listed, size, buckets), len(net.around) // 2, unseen.tolist()
+        gap, known = np.full(span, encode.edge, np.int32), len(encode.known)
         for batch in batches:
-            rows, words, times, logs, first = [], [], [], [], []
-            for i, text in enumerate(batch.column(2).to_pylist()):
-                found = Counter([w for w in words_of(text) if w not in known])
-                rows += [i] * len(found)
-                words += [w.decode() for w in found]
-                times += found.values()
-                logs += [unseen[encode.bucket(w)] - (len(w) + 1) * SPELLING for w in found]
-                first += [k == 0 for k in range(len(found))]
-            if rows:
-                keys = [batch.column(k).take(pa.array(rows)) for k in (0, 1)]
-                rest = [pa.array(words, pa.string()), pa.array(times, pa.int64()), pa.array(logs, pa.float64()), pa.array(first, pa.bool_())]
-                yield pa.RecordBatch.from_arrays(keys + rest, names=["row", "of", "word", "times", "unseen", "first"])
-
-    return run
-
-
-def _score(shared, text_col: str):
-    def start():
-        net, listed, size, buckets, inner, _ = shared.value
-        encode, span = Encoder(listed, size, buckets), len(net.around) // 2
-
-        def work(batch):
-            texts = batch.column(batch.schema.get_field_index(text_col)).to_pylist()
+            texts = batch.column(2).to_pylist()
             sums, counts = np.zeros(len(texts)), np.zeros(len(texts), np.int64)
-            gap, waiting, owners, length = np.full(span, encode.edge, np.int32), [], [], 0
+            rows, names, times, logs = [], [], [], []
+            waiting, owners, length = [], [], 0
 
             def flush():
                 nonlocal waiting, owners, length
@@ -347,22 +353,34 @@ def _score(shared, text_col: str):
                 waiting, owners, length = [], [], 0
 
             for i, text in enumerate(texts):
-                places = encode.places(text)
-                ids = encode.tokens[places]
-                counts[i] = len(ids)
-                if len(ids):
-                    sums[i] += inner[places].sum()
-                    waiting += [ids, gap]
-                    owners.append(np.full(len(ids) + span, i))
-                    length += len(ids)
-                    if length >= BLOCK:
-                        flush()
+                words = words_of(text)
+                if not words:
+                    continue
+                places = encode.places(words)
+                counts[i] = len(words)
+                sums[i] += inner[places].sum()
+                waiting += [encode.tokens[places], gap]
+                owners.append(np.full(len(words) + span, i))
+                length += len(words)
+                rare = np.flatnonzero(places >= known).tolist()
+                if rare:
+                    found = Counter([words[k] for k in rare])
+                    rows += [i] * len(found)
+                    names += [w.decode() for w in found]
+                    times += found.values()
+                    logs += [unseen[encode.seen[w] - known] - (len(w) + 1) * SPELLING for w in found]
+                if length >= BLOCK:
+                    flush()
             flush()
-            return [counts.tolist(), sums.tolist(), [None] * len(texts)]
+            # No word has a space, so this row meets no count.
+            heads = [f" {key}" for key in batch.column(0).to_pylist()]
+            keys = [pa.concat_arrays([batch.column(k), batch.column(k).take(pa.array(rows, pa.int64()))]) for k in (0, 1)]
+            none, n = [0] * len(texts), len(rows)
+            rest = [pa.array(heads + names, pa.string()), pa.array(none + times, pa.int64()), pa.array(none + logs, pa.float64())]
+            rest += [pa.array([*counts.tolist(), *[None] * n], pa.int64()), pa.array([*sums.tolist(), *[None] * n], pa.float64())]
+            yield pa.RecordBatch.from_arrays(keys + rest, names=["x_lm_row", "x_lm_of", "word", "times", "unseen", "tokens", "value"])
 
-        return work
-
-    return start
+    return run
 
 
 def _hashable(kind: T.DataType) -> bool:
@@ -378,14 +396,17 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", words: int = WO
     whole = [field(f.name) for f in docs.schema if _hashable(f.dataType)]
     keys = [F.xxhash64(*whole).alias("x_lm_row"), F.xxhash64(field(text_col)).alias("x_lm_of")]
     found = docs.select(*keys, field(text_col).cast("string").alias("x_text")).mapInArrow(
-        _unlisted(shared), "row long, of long, word string, times long, unseen double, first boolean"
+        _score(shared), "x_lm_row long, x_lm_of long, word string, times long, unseen double, tokens long, value double"
     )
     value = F.col("times") * F.coalesce(F.log("n"), "unseen")
     # Equal rows give their words as often as they stand.
-    rest = found.join(model.counts, "word", "left").groupBy("row", "of").agg((F.sum(value) / F.count_if("first")).alias("x_lm_rest"))
-    scored = map_rows(docs.select("*", *keys), _score(shared, text_col), {"lm_tokens": "long", "log_likelihood": "double", "mean_log_likelihood": "double"})
-    both = scored.join(rest, (F.col("x_lm_row") == F.col("row")) & (F.col("x_lm_of") == F.col("of")), "left")
-    total = F.col("log_likelihood") + F.coalesce("x_lm_rest", F.lit(0.0))
-    mean = F.when(F.col("lm_tokens") > 0, total / F.col("lm_tokens"))
-    added = {"log_likelihood": total, "mean_log_likelihood": mean}
-    return both.select(*[added[c].alias(c) if c in added else field(c) for c in scored.columns if not c.startswith("x_lm_")])
+    scored = found.join(model.counts, "word", "left").groupBy("x_lm_row", "x_lm_of").agg(
+        F.max("tokens").alias("x_lm_tokens"), (F.max("value") + F.sum(value) / F.count("tokens")).alias("x_lm_total")
+    )
+    both = docs.select("*", *keys).join(scored, ["x_lm_row", "x_lm_of"])
+    added = {
+        "lm_tokens": F.col("x_lm_tokens"),
+        "log_likelihood": F.col("x_lm_total"),
+        "mean_log_likelihood": F.when(F.col("x_lm_tokens") > 0, F.col("x_lm_total") / F.col("x_lm_tokens")),
+    }
+    return both.select(*[field(c) for c in docs.columns if c.lower() not in added], *[c.alias(name) for name, c in added.items()])
