@@ -212,3 +212,42 @@ def test_positions_off_the_earth_are_outside(spark):
 
     got = rows.selectExpr(f"{position_cell_sql('lat', 'lon', 0, 0.01)} AS cell").collect()
     assert [r.cell is None for r in got] == [True, True, False, True]
+
+
+def _odd_zones(spark):
+    """Zones of three to twelve corners at random places, some of them repeated, unknown in part, or of one line."""
+    rng = random.Random(11)
+    rows = []
+    for i in range(40):
+        n, y, x = rng.randint(3, 12), rng.uniform(0, 0.05), rng.uniform(0, 0.05)
+        ring = [[y + rng.uniform(0, 0.02), x + rng.uniform(0, 0.02)] for _ in range(n)]
+        rows.append({"id": f"z{i % 35}", "kind": rng.choice(["exclusion", "containment", "dwell"]), "polygon": ring, "active": True})
+    rows.append({"id": None, "kind": "dwell", "polygon": [[0.01, 0.01], [0.03, 0.01], [0.03, 0.03], [0.01, 0.03], [0.01, 0.01]], "active": True})
+    rows.append({"id": "gap", "kind": "dwell", "polygon": [[0.01, 0.01], [0.03, None], [0.03, 0.03], [0.01, 0.03]], "active": True})
+    rows.append({"id": "wide", "kind": None, "polygon": [[-60.0, -90.0], [60.0, -90.0], [0.02, 0.02]], "active": True})
+    rows.append({"id": "line", "kind": "dwell", "polygon": [[0.01, 0.01], [0.02, 0.02], [0.01, 0.01]], "active": True})
+    return local_table(spark, rows, ZONE)
+
+
+@pytest.mark.parametrize("most", [5, 8])
+def test_many_zones_find_what_few_do(spark, monkeypatch, most):
+    """The index for many zones against the one for few: same crossings, kinds and names."""
+    rng = random.Random(3)
+    corners = [p for r in _odd_zones(spark).collect() for p in r.polygon if p[1] is not None][:60]
+    points = [rng.choice(corners) if rng.random() < 0.3 else (rng.uniform(-0.01, 0.08), rng.uniform(-0.01, 0.08)) for _ in range(300)]
+    points[7:9] = [(1e300, float("nan")), (0.02, float("nan"))]
+    rows = [
+        {"vehicleId": f"v{i % 3}", "seq": i, "timestamp": i, "location": {"latitude": float(a), "longitude": float(b)}}
+        for i, (a, b) in enumerate(points)
+    ]
+    rows[20]["location"] = {"latitude": 0.02}
+    telemetry = local_table(spark, rows, TELEMETRY)
+    for zone_set in (_odd_zones(spark), _odd_zones(spark).where(f"size(polygon) <= {most} AND id <> 'gap'")):
+        plain = [X.edges(telemetry, zone_set)]
+        with monkeypatch.context() as patch:
+            index = X.bit_index
+            patch.setattr(X, "bit_index", lambda zones, *base: index(zones, *base, few=0))
+            many = [X.edges(telemetry, zone_set)]
+        for a, b in zip(plain, many):
+            assert a.columns == b.columns and "__zone" in b._jdf.queryExecution().toString()
+            assert sorted(map(str, a.collect())) == sorted(map(str, b.collect())) and a.count() > 5

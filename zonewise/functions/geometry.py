@@ -12,7 +12,7 @@ per polygon and not once per position.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from zonewise.functions.once import let_sql
@@ -124,19 +124,29 @@ _OUTSIDE, _INSIDE, _MIXED = 0, 1, 2
 _MARGIN = f"{2 * ON_EDGE_EPS!r}D"
 
 
+def _near_sql(y: str, x: str, high: str, wide: str) -> str:
+    """Does the edge ``e`` come near the part around ``y, x`` that reaches ``high`` and ``wide`` to its sides?"""
+    return (
+        f"least(e.ay, e.by) <= {y} + {high} + {_MARGIN} AND greatest(e.ay, e.by) >= {y} - {high} - {_MARGIN} "
+        f"AND least(e.ax, e.bx) <= {x} + {wide} + {_MARGIN} AND greatest(e.ax, e.bx) >= {x} - {wide} - {_MARGIN} "
+        f"AND abs((e.bx - e.ax) * ({y} - e.ay) - (e.by - e.ay) * ({x} - e.ax)) "
+        f"<= abs(e.bx - e.ax) * ({high} + {_MARGIN}) + abs(e.by - e.ay) * ({wide} + {_MARGIN}) + {_MARGIN}"
+    )
+
+
+def edges_near_sql(y: str, x: str, half: str, edges: str) -> str:
+    """Does an edge come near the square part of the map around ``y, x`` that reaches ``half`` to each side?"""
+    return f"exists({edges}, e -> {_near_sql(y, x, half, half)})"
+
+
 def edges_mask_sql(edges: str, box: str) -> str:
     """``array<tinyint>``: for each part of the box, row by row, whether all of it is inside, all outside, or an edge comes near.
 
     An edge is near a part if their boxes meet and the edge's line passes through the part.
     """
     high, wide = f"(({box}.north - {box}.south) / {MASK_SIDE})", f"(({box}.east - {box}.west) / {MASK_SIDE})"
-    near = (
-        f"least(e.ay, e.by) <= c.y + {high} / 2 + {_MARGIN} AND greatest(e.ay, e.by) >= c.y - {high} / 2 - {_MARGIN} "
-        f"AND least(e.ax, e.bx) <= c.x + {wide} / 2 + {_MARGIN} AND greatest(e.ax, e.bx) >= c.x - {wide} / 2 - {_MARGIN} "
-        f"AND abs((e.bx - e.ax) * (c.y - e.ay) - (e.by - e.ay) * (c.x - e.ax)) "
-        f"<= abs(e.bx - e.ax) * ({high} / 2 + {_MARGIN}) + abs(e.by - e.ay) * ({wide} / 2 + {_MARGIN}) + {_MARGIN}"
-    )
-    usual = f"forall({edges}, e -> coalesce(abs(e.ax) + abs(e.ay) + abs(e.bx) + abs(e.by) <= 1e6D, false))"
+    near = _near_sql("c.y", "c.x", f"{high} / 2", f"{wide} / 2")
+    usual = usual_edges_sql(edges)
     part = (
         f"CASE WHEN exists({edges}, e -> {near}) THEN {_MIXED} "
         f"WHEN {edges_contain_sql('c.y', 'c.x', edges)} THEN {_INSIDE} ELSE {_OUTSIDE} END"
@@ -233,6 +243,88 @@ def distance_to_boundary_m(lat: str | float, lon: str | float, ring: str) -> Col
     return F.expr(let_sql("edges_", ring_edges_sql(ring), edges_distance_sql(lat, lon, "edges_")))
 
 
+# ---------------------------------------------------------------- few edges, one column each part
+
+
+#: What each field of ``flat_edges`` holds.
+FLAT_PARTS = {
+    "ax": "{e}.ax",
+    "ay": "{e}.ay",
+    "by": "{e}.by",
+    "dx": "{e}.bx - {e}.ax",
+    "dy": "{e}.by - {e}.ay",
+    "south": f"least({{e}}.ay, {{e}}.by) - {_EPS}",
+    "north": f"greatest({{e}}.ay, {{e}}.by) + {_EPS}",
+    "west": f"least({{e}}.ax, {{e}}.bx) - {_EPS}",
+    "east": f"greatest({{e}}.ax, {{e}}.bx) + {_EPS}",
+}
+
+
+def flat_edges(edges: str, n: int) -> Column:
+    """The first ``n`` edges as one struct of numbers, ``e0_ax, e0_ay, ...``, NaN where there is no such edge.
+
+    An edge of NaN is met by no test: Spark sorts NaN above all numbers.  For polygons that are ``flat_sql``.
+    """
+    fields = [
+        F.expr(f"coalesce({made.format(e=f'get({edges}, {i})')}, double('NaN'))").alias(f"e{i}_{part}")
+        for i in range(n)
+        for part, made in FLAT_PARTS.items()
+    ]
+    return F.struct(*fields)
+
+
+def flat_sql(edges: str) -> str:
+    """Do ``flat_edges`` tell all of the polygon?"""
+    return f"(size({edges}) <= {EDGES_WRITTEN_OUT} AND {usual_edges_sql(edges)})"
+
+
+def usual_edges_sql(edges: str) -> str:
+    """Are all coordinates there, and of a size that arithmetic near the tolerance bears?"""
+    return f"forall({edges}, e -> coalesce(abs(e.ax) + abs(e.ay) + abs(e.bx) + abs(e.by) <= 1e6D, false))"
+
+
+def flat_contain_sql(lat: str, lon: str, n: int) -> str:
+    """``edges_contain_sql`` over ``flat_edges`` in a column ``f``: the same arithmetic on fields that are read only where an edge is asked for."""
+    touches = " OR ".join(
+        f"({lat} BETWEEN f.e{i}_south AND f.e{i}_north AND {lon} BETWEEN f.e{i}_west AND f.e{i}_east "
+        f"AND abs(f.e{i}_dx * ({lat} - f.e{i}_ay) - f.e{i}_dy * ({lon} - f.e{i}_ax)) <= {_EPS})"
+        for i in range(n)
+    )
+    # The ends of an edge that is crossed differ in height, so nothing is divided by zero.
+    crossed = " + ".join(
+        f"if((f.e{i}_ay > {lat}) <> (f.e{i}_by > {lat}) AND {lon} < f.e{i}_dx * ({lat} - f.e{i}_ay) / f.e{i}_dy + f.e{i}_ax, 1, 0)"
+        for i in range(n)
+    )
+    return f"({touches} OR ({crossed}) % 2 = 1)"
+
+
+def flat_near_sql(y: str, x: str, half: str, n: int) -> str:
+    """``edges_near_sql`` over ``flat_edges``."""
+    reach = f"({half} + {_MARGIN})"
+    return " OR ".join(
+        f"(f.e{i}_south <= {y} + {reach} AND f.e{i}_north >= {y} - {reach} AND f.e{i}_west <= {x} + {reach} AND f.e{i}_east >= {x} - {reach} "
+        f"AND abs(f.e{i}_dx * ({y} - f.e{i}_ay) - f.e{i}_dy * ({x} - f.e{i}_ax)) <= (abs(f.e{i}_dx) + abs(f.e{i}_dy)) * {reach} + {_MARGIN})"
+        for i in range(n)
+    )
+
+
+def with_flat_distance(rows: DataFrame, name: str, lat: str, lon: str, n: int) -> DataFrame:
+    """Rows with ``edges_distance_sql`` over ``flat_edges`` of at least two edges: the same arithmetic, one step after the other.
+
+    In steps, as Spark computes a column once but an expression wherever it stands.
+    """
+    known = rows.columns
+    place = rows.selectExpr("*", f"coalesce({lat}, double('NaN')) AS __y", f"coalesce({lon}, double('NaN')) AS __x")
+    scaled = place.withColumn("__k", F.expr(metres_per_lon_sql("__y")))
+    parts = {"ax": "(f.e{i}_ax - __x) * __k", "ay": "(f.e{i}_ay - __y) * {m}", "dx": "f.e{i}_dx * __k", "dy": "f.e{i}_dy * {m}"}
+    local = scaled.selectExpr("*", *[f"{made.format(i=i, m=_METRES)} AS __{part}{i}" for i in range(n) for part, made in parts.items()])
+    share = "coalesce(try_divide(-(__ax{i} * __dx{i} + __ay{i} * __dy{i}), __dx{i} * __dx{i} + __dy{i} * __dy{i}), 0D)"
+    along = local.selectExpr("*", *[f"greatest(0D, least(1D, {share.format(i=i)})) AS __t{i}" for i in range(n)])
+    # Spark's ``least`` sorts NaN, the distance to an edge that is not there, above all numbers.
+    nearest = ", ".join(f"hypot(__ax{i} + __t{i} * __dx{i}, __ay{i} + __t{i} * __dy{i})" for i in range(n))
+    return along.selectExpr(*known, f"if({lat} IS NULL OR {lon} IS NULL, null, least({nearest})) AS {name}")
+
+
 # ---------------------------------------------------------------- tracks
 
 

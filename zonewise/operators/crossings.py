@@ -26,7 +26,16 @@ from zonewise.operators.ordered import (
     measured_segments,
     span_segment,
 )
-from zonewise.operators.spatial import BROADCAST_LIMIT_BYTES, NO_KEY, ZoneIndex, build_index, inside_pairs
+from zonewise.operators.spatial import (
+    BASE_CELL_DEG,
+    BROADCAST_LIMIT_BYTES,
+    NO_KEY,
+    BitIndex,
+    ZoneIndex,
+    bit_index,
+    build_index,
+    inside_pairs,
+)
 from zonewise.operators.zones import with_activity
 from zonewise.schemas import SIGNALS
 from zonewise.session import materialize
@@ -47,13 +56,17 @@ def detect_edge(was: Column, now: Column) -> Column:
     return F.when(~was & now, F.lit(ENTRY)).when(was & ~now, F.lit(EXIT))
 
 
-def is_breach(kind: str, edge: str) -> Column:
-    """Does this crossing (column names) go against the zone's purpose?"""
+def _breach_sql(kind: str, edge: str) -> str:
     rules = [
         f"({kind} = '{name}' AND {edge} IN ({', '.join(repr(e) for e in edges)}))"
         for name, edges in BREACHING_EDGES.items()
     ]
-    return F.expr(f"coalesce({' OR '.join(rules)}, false)")
+    return f"coalesce({' OR '.join(rules)}, false)"
+
+
+def is_breach(kind: str, edge: str) -> Column:
+    """Does this crossing (column names) go against the zone's purpose?"""
+    return F.expr(_breach_sql(kind, edge))
 
 
 def edges_of_sequence(flags: Column) -> Column:
@@ -108,24 +121,28 @@ def hops(
     )
 
 
-def _probes(moves: DataFrame, index: ZoneIndex, versioned: bool) -> DataFrame:
+def _probes(moves: DataFrame, index: ZoneIndex | BitIndex, versioned: bool) -> DataFrame:
     """Two lookups per hop: zones around the position (may be entered) and around its predecessor.
 
     ``at_*`` is the end of the hop looked up, ``off_*`` the other one.
     """
-    now = index.probe_keys("lat", "lon", "clock") or [NO_KEY]
-    before = index.probe_keys("prev_lat", "prev_lon", "prev_clock") or [NO_KEY]
-    asks = [f"struct(true AS enters, {key} AS key)" for key in now]
-    asks += [f"struct(false AS enters, {key} AS key)" for key in before]
-    ends = [
-        f"if(enters, {a}{name}, {b}{name}) AS {side}_{name}"
-        for side, a, b in (("at", "", "prev_"), ("off", "prev_", ""))
-        for name in (("lat", "lon", "clock") if versioned else ("lat", "lon"))
+    clocks = [("clock",), ("prev_clock",)] if versioned else [(), ()]
+    now = index.probe_keys("lat", "lon", *clocks[0]) or [NO_KEY]
+    before = index.probe_keys("prev_lat", "prev_lon", *clocks[1]) or [NO_KEY]
+    under = "bit" if isinstance(index, BitIndex) else "slot"
+    names = ("lat", "lon", "clock") if versioned else ("lat", "lon")
+    # As fields of what is exploded: else each use of an end below would repeat the choice between the two.
+    asks = [
+        f"struct({str(enters).lower()} AS enters, {key}.cell AS cell, {key}.{under} AS {under}, "
+        + ", ".join(f"{a}{name} AS at_{name}, {b}{name} AS off_{name}" for name in names)
+        + ")"
+        for enters, keys, a, b in ((True, now, "", "prev_"), (False, before, "prev_", ""))
+        for key in keys
     ]
     return (
         moves.withColumn("__ask", F.expr(f"explode(array({', '.join(asks)}))"))
-        .selectExpr(*moves.columns, "__ask.enters AS enters", "__ask.key.cell AS cell", "__ask.key.slot AS slot")
-        .selectExpr("*", f"if(enters, '{ENTRY}', '{EXIT}') AS edge", *ends)
+        .select(*moves.columns, "__ask.*")
+        .selectExpr("*", f"if(enters, '{ENTRY}', '{EXIT}') AS edge")
     )
 
 
@@ -148,6 +165,19 @@ def crossings(moves: DataFrame, index: ZoneIndex, breaches_only: bool = False) -
     )
 
 
+def bit_crossings(moves: DataFrame, index: BitIndex, breaches_only: bool = False) -> DataFrame:
+    """``crossings`` of many zones, with all columns of the zone."""
+    return index.only_one(_probes(moves, index, versioned=False), _breach_sql("zoneKind", "edge") if breaches_only else "true")
+
+
+def fixed_crossings(moves: DataFrame, zones: DataFrame, base_cell: float = BASE_CELL_DEG) -> DataFrame:
+    """``crossings`` of a fixed set of zones, by the index that suits it."""
+    many = bit_index(active_zones(zones), base_cell)
+    if many is None:
+        return crossings(moves, build_index(active_zones(zones), base_cell))
+    return bit_crossings(moves, many).select(*moves.columns, *_ZONE_COLUMNS, "edge", "edges")
+
+
 # ---------------------------------------------------------------- breach events
 
 
@@ -185,9 +215,8 @@ def inside_flags(telemetry: DataFrame, zones: DataFrame, base_cell: float | None
 
 def edges(telemetry: DataFrame, zones: DataFrame, segment: Column | None = None) -> DataFrame:
     """All entries and exits of a fixed zone set, breach or not."""
-    index = build_index(active_zones(zones))
     positions = flat_positions(telemetry).select("vehicleId", "seq", "timestamp", "lat", "lon")
-    return crossings(hops(positions, segment=segment), index)
+    return fixed_crossings(hops(positions, segment=segment), zones)
 
 
 def breaches(telemetry: DataFrame, zones: DataFrame, segment: Column | None = None) -> DataFrame:
@@ -198,9 +227,8 @@ def breaches(telemetry: DataFrame, zones: DataFrame, segment: Column | None = No
 
 def grid_edges(telemetry: DataFrame, zones: DataFrame, cell_deg: float) -> DataFrame:
     """``edges`` with a chosen finest cell, for zone sets much denser or sparser than a city's."""
-    index = build_index(active_zones(zones), base_cell=cell_deg)
     positions = flat_positions(telemetry).select("vehicleId", "seq", "timestamp", "lat", "lon")
-    return crossings(hops(positions), index)
+    return fixed_crossings(hops(positions), zones, cell_deg)
 
 
 # ---------------------------------------------------------------- live-edited zones

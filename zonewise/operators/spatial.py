@@ -6,6 +6,9 @@ rows.  A position looks up its own cell on each level the zones use.  The join i
 equi-join on the cell; the bounding box and the exact polygon test then run on the few
 candidates.  Versions of a zone are indexed by time slots in the same manner.
 
+Many zones of a fixed set have an index of their own (``BitIndex``): a cell tells with two bits for each of its 8 by 8 parts
+whether the zone covers the part or has an edge near it, so that few candidates need an edge.
+
 Whether the index is broadcast is decided from its measured size.  Beyond the limit the
 join shuffles by cell, and adaptive execution splits a cell that holds too many positions.
 """
@@ -18,6 +21,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from zonewise.functions import geometry as G
+from zonewise.functions.once import once
+from zonewise.session import materialize
 
 BASE_CELL_DEG = 0.01
 CELL_GROWTH = 4
@@ -35,6 +40,13 @@ BROADCAST_LIMIT_BYTES = 64 << 20
 #: Zones whose masks one task makes; more are spread over tasks first.
 ZONES_PER_TASK = 256
 
+#: A cell of a ``BitIndex`` has so many parts on a side; all of them fit the bits of a long.
+BIT_SIDE = 8
+#: Edges whose distances Spark computes in one compiled method; Java interprets methods of more than 8000 bytes.
+EDGES_IN_STEPS = 6
+#: Bytes of a cell of a zone in the broadcast.
+_PART_BYTES = 64
+
 NO_KEY = "named_struct('cell', -1L, 'slot', 0L)"  # matches nothing: there are no zones
 
 # A cell key is (level, y, x) in one long, a slot key (level, slot).
@@ -185,3 +197,126 @@ def inside_pairs(positions: DataFrame, index: ZoneIndex, lat: str = "lat", lon:
         *positions.columns, F.col("__key.cell").alias("cell"), F.col("__key.slot").alias("slot")
     )
     return index.join(probes).where(index.contains_sql(lat, lon)).drop("mask")
+
+
+# ---------------------------------------------------------------- many zones
+
+
+@dataclass(frozen=True)
+class BitIndex:
+    """Many zones, each once, and their cells as a number of the zone and bits: small enough to be broadcast."""
+
+    parts: DataFrame  # cell, zone, sure, near: a bit for each part of the cell that the zone covers, or has an edge near
+    shapes: DataFrame  # one row per zone, with its box and, if it is ``flat``, its edges as plain numbers
+    levels: tuple[int, ...]
+    base_cell: float
+    edges: int  # most edges of a flat zone
+    all_flat: bool
+
+    def with_distance(self, rows: DataFrame, name: str, lat: str, lon: str) -> DataFrame:
+        """Rows of ``only_one`` with the metres from a position to the zone's boundary."""
+        if self.all_flat and self.edges <= EDGES_IN_STEPS:
+            return G.with_flat_distance(rows, name, lat, lon, self.edges)
+        scaled = rows.withColumn("__kx", F.expr(G.metres_per_lon_sql(lat)))
+        return scaled.withColumn(name, F.expr(G.edges_distance_fast_sql(lat, lon, "edges", "__kx"))).drop("__kx")
+
+    def probe_keys(self, lat: str, lon: str) -> list[str]:
+        """SQL structs ``(cell, bit)`` under which a position finds its zones; null for coordinates that no place on earth has."""
+        keys = []
+        for level in self.levels:
+            size = f"{self.base_cell * CELL_GROWTH**level!r}D"
+            row, column = (f"int(floor(({v} / {size} - floor({v} / {size})) * {BIT_SIDE}))" for v in (lat, lon))
+            key = (
+                f"named_struct('cell', {position_cell_sql(lat, lon, level, self.base_cell)}, "
+                f"'bit', shiftleft(1L, {row} * {BIT_SIDE} + {column}))"
+            )
+            keys.append(f"CASE WHEN {lat} BETWEEN -1000 AND 1000 AND {lon} BETWEEN -1000 AND 1000 THEN {key} END")
+        return keys
+
+    def only_one(self, probes: DataFrame, condition: str = "true") -> DataFrame:
+        """Probes (``cell, bit``, an end ``at_lat, at_lon`` and another ``off_lat, off_lon``) with the zones that contain the
+        first end and not the other, and for which ``condition`` (over columns of probes and zone) holds.
+
+        The tests are a semi-join, so what they read of a zone is not copied into the rows.
+        """
+        found = probes.join(F.broadcast(self.parts), "cell").where("((sure | near) & bit) <> 0")
+        found = found.withColumn("known", F.expr("(sure & bit) <> 0")).drop("cell", "bit", "sure", "near")
+        tests = self.shapes.select(
+            F.col("zone").alias("__zone"), "zoneKind", "south", "north", "west", "east", "flat", "f", F.expr("if(flat, null, edges)").alias("edges")
+        )
+        on = F.expr(f"zone = __zone AND ({condition}) AND {self._only_one_sql('at', 'off')}")
+        names = self.shapes.select("zone", "zoneId", "zoneName", "zoneKind", "edges", "flat", "f")
+        return found.join(F.broadcast(tests), on, "left_semi").join(F.broadcast(names), "zone").drop("zone", "known")
+
+    def _only_one_sql(self, at: str, off: str) -> str:
+        """CASE keeps Spark from computing what the tests share before it is known which are needed."""
+        tests = []
+        for end in (at, off):
+            lat, lon = f"{end}_lat", f"{end}_lon"
+            exact = f"WHEN flat THEN {G.flat_contain_sql(lat, lon, self.edges)} ELSE {G.edges_contain_sql(lat, lon, 'edges')} END"
+            outside = f"NOT coalesce({lat} BETWEEN south AND north AND {lon} BETWEEN west AND east, false)"
+            known = "WHEN known THEN true " if end == at else ""
+            tests.append(f"CASE {known}WHEN {outside} THEN false {exact}")
+        return f"CASE WHEN {tests[0]} THEN NOT ({tests[1]}) ELSE false END"
+
+
+def bit_index(
+    zones: DataFrame, base_cell: float = BASE_CELL_DEG, broadcast_limit: int = BROADCAST_LIMIT_BYTES, few: int = ZONES_PER_TASK
+) -> BitIndex | None:
+    """The index of a fixed set of more than ``few`` zones, if it can be broadcast; else null."""
+    prepared = prepare_zones(zones).where(F.size("edges") >= 3).withColumn("cover", _cover(base_cell))
+    cells = "(cover.y1 - cover.y0 + 1) * (cover.x1 - cover.x0 + 1)"
+    # Nine numbers and a share of ``edges`` for each edge, 256 for the rest of the row.
+    facts = prepared.withColumn("flat", F.expr(G.flat_sql("edges"))).agg(
+        F.count(F.lit(1)).alias("zones"),
+        F.max(F.expr("if(flat, size(edges), 0)")).alias("edges"),
+        F.sum(F.expr(f"{cells} * {_PART_BYTES}")).alias("parts_bytes"),
+        F.sum(F.expr("size(edges) * 48 + 256")).alias("shapes_bytes"),
+        F.expr("sort_array(collect_set(cover.level))").alias("levels"),
+        F.bool_and("flat").alias("all_flat"),
+    ).first()
+    if facts["zones"] <= few:
+        return None
+    n = max(facts["edges"], 3)
+    if max(facts["parts_bytes"], facts["shapes_bytes"] + facts["zones"] * n * 72) > broadcast_limit:
+        return None
+    tasks = int(zones.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # The number of a zone holds because its row is kept.
+    shapes = materialize(
+        prepared.repartition(tasks).select(
+            F.monotonically_increasing_id().alias("zone"),
+            *[c for c in prepared.columns if c != "box"],
+            "box.*",
+            F.expr(G.flat_sql("edges")).alias("flat"),
+            F.expr(G.usual_edges_sql("edges")).alias("usual"),
+            G.flat_edges("edges", n).alias("f"),
+        )
+    )
+    return BitIndex(_bit_parts(shapes, base_cell, n), shapes.drop("cover", "usual"), tuple(facts["levels"]), base_cell, n, facts["all_flat"])
+
+
+def _bit_parts(shapes: DataFrame, base_cell: float, n: int) -> DataFrame:
+    """``cell, zone, sure, near`` of the rows of ``bit_index``."""
+    sizes = ", ".join(f"{base_cell * CELL_GROWTH**level!r}D" for level in range(CELL_LEVELS))
+    place = f"""struct((cover.level * {_WIDTH}L + y + {_OFFSET}) * {_WIDTH}L + x + {_OFFSET} AS cell, part,
+                       (y + (part div {BIT_SIDE} + 0.5D) / {BIT_SIDE}) * size AS cy, (x + (part % {BIT_SIDE} + 0.5D) / {BIT_SIDE}) * size AS cx,
+                       size / {2 * BIT_SIDE} AS half)"""
+    places = (
+        shapes.withColumn("size", F.expr(f"get(array({sizes}), cover.level)"))
+        .withColumn("y", F.expr("explode(sequence(cover.y0, cover.y1))"))
+        .withColumn("x", F.expr("explode(sequence(cover.x0, cover.x1))"))
+        .withColumn("part", F.expr(f"explode(sequence(0, {BIT_SIDE**2 - 1}))"))
+        .withColumn("place", once(F.expr(place)))
+        .select("zone", "place.*", "edges", "flat", "usual", "f")
+    )
+    at = ("cy", "cx")
+    kind = f"""CASE WHEN flat THEN CASE WHEN {G.flat_near_sql(*at, 'half', n)} THEN 2 WHEN {G.flat_contain_sql(*at, n)} THEN 1 ELSE 0 END
+                    WHEN usual THEN CASE WHEN {G.edges_near_sql(*at, 'half', 'edges')} THEN 2 WHEN {G.edges_contain_sql(*at, 'edges')} THEN 1 ELSE 0 END
+                    ELSE 2 END"""
+    bit = "shiftleft(1L, part)"
+    return (
+        places.select("cell", "zone", "part", F.expr(kind).alias("kind"))
+        .groupBy("cell", "zone")
+        .agg(F.expr(f"bit_or(if(kind = 1, {bit}, 0L))").alias("sure"), F.expr(f"bit_or(if(kind = 2, {bit}, 0L))").alias("near"))
+        .where("(sure | near) <> 0")
+    )
