@@ -231,7 +231,7 @@ def _odd_zones(spark):
 
 @pytest.mark.parametrize("most", [5, 8])
 def test_many_zones_find_what_few_do(spark, monkeypatch, most):
-    """The index for many zones against the one for few: same crossings, kinds and names."""
+    """The index for many zones against the one for few: same crossings, kinds, names and distances."""
     rng = random.Random(3)
     corners = [p for r in _odd_zones(spark).collect() for p in r.polygon if p[1] is not None][:60]
     points = [rng.choice(corners) if rng.random() < 0.3 else (rng.uniform(-0.01, 0.08), rng.uniform(-0.01, 0.08)) for _ in range(300)]
@@ -243,11 +243,11 @@ def test_many_zones_find_what_few_do(spark, monkeypatch, most):
     rows[20]["location"] = {"latitude": 0.02}
     telemetry = local_table(spark, rows, TELEMETRY)
     for zone_set in (_odd_zones(spark), _odd_zones(spark).where(f"size(polygon) <= {most} AND id <> 'gap'")):
-        plain = [X.edges(telemetry, zone_set)]
+        plain = [X.breaches(telemetry, zone_set), X.edges(telemetry, zone_set)]
         with monkeypatch.context() as patch:
             index = X.bit_index
             patch.setattr(X, "bit_index", lambda zones, *base: index(zones, *base, few=0))
-            many = [X.edges(telemetry, zone_set)]
+            many = [X.breaches(telemetry, zone_set), X.edges(telemetry, zone_set)]
         for a, b in zip(plain, many):
             assert a.columns == b.columns and "__zone" in b._jdf.queryExecution().toString()
             assert sorted(map(str, a.collect())) == sorted(map(str, b.collect())) and a.count() > 5
